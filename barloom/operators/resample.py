@@ -7,8 +7,8 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# The bar lengths offered, as Spark interval text.
-INTERVALS = {"1m": "1 minute", "5m": "5 minutes", "1h": "1 hour", "1d": "1 day"}
+# The bar lengths offered, in minutes.
+INTERVALS = {"1m": 1, "5m": 5, "1h": 60, "1d": 1440}
 
 # Prices carry four decimals, so a price times this is a whole number.
 PRICE_UNITS = 10_000
@@ -35,7 +35,13 @@ def tick_order(ts: str = "event_time", tie_breaker: str | None = None) -> Column
     return (micros * F.lit(Decimal(10**19)) + F.col(tie_breaker)).cast("decimal(38,0)")
 
 
-def aggregate_ticks(price: str, size: str, order: Column) -> list[Column]:
+def bar_start(ts: Column, minutes: int) -> Column:
+    """Start of the bar a moment falls into; bars are counted from the epoch in UTC."""
+    micros = F.unix_micros(ts)
+    return F.timestamp_micros(micros - F.pmod(micros, F.lit(minutes * 60_000_000).cast("bigint")))
+
+
+def aggregate_ticks(price: str, size: str, order: str) -> list[Column]:
     """The aggregates of a bar. Sums are of integers, so order never changes them."""
     return [
         F.min_by(price, order).alias("open"),
@@ -48,9 +54,12 @@ def aggregate_ticks(price: str, size: str, order: Column) -> list[Column]:
     ]
 
 
+BAR = ["bar_start", "open", "high", "low", "close", "volume", "num_trades"]
+
+
 def resample_ohlcv(
     ticks: DataFrame,
-    interval: str,
+    minutes: int,
     *,
     key: str = "symbol",
     ts: str = "event_time",
@@ -58,30 +67,37 @@ def resample_ohlcv(
     size: str = "size",
     tie_breaker: str | None = None,
 ) -> DataFrame:
-    """Bars of ``interval`` from ticks; works on a batch or, with a watermark, a stream.
+    """Bars of ``minutes`` from ticks; works on a batch or, with a watermark, a stream.
 
     One scan, one partial aggregation per map task, one shuffle of bars. A busy
-    symbol is reduced to its bars before the shuffle.
+    symbol is reduced to its bars before the shuffle. A stream groups by ``window``, which
+    tells Spark when a bar is complete; a batch groups by the bar's start, a plain number.
     """
-    bars = ticks.groupBy(key, F.window(ts, interval).alias("_w")).agg(
-        *aggregate_ticks(price, size, tick_order(ts, tie_breaker))
+    ordered = ticks.select(
+        key, ts, price, size, tick_order(ts, tie_breaker).alias("_nth")
     )
-    return bars.select(
-        key,
-        F.col("_w.start").alias("bar_start"),
-        "open", "high", "low", "close", "volume", "num_trades",
-        _vwap().alias("vwap"),
-        "notional_units",
-    )
-
-
-def rollup_bars(bars: DataFrame, interval: str, *, key: str = "symbol") -> DataFrame:
+    if ticks.isStreaming:
+        bars = (
+            ordered.groupBy(key, F.window(ts, f"{minutes} minutes").alias("_w"))
+            .agg(*aggregate_ticks(price, size, "_nth"))
+            .withColumn("bar_start", F.col("_w.start"))
+        )
+    else:
+        bars = (
+            ordered.filter(F.col(ts).isNotNull())
+            .groupBy(key, bar_start(F.col(ts), minutes).alias("bar_start"))
+            .agg(*aggregate_ticks(price, size, "_nth"))
+        )
+    return bars.select(key, *BAR, _vwap().alias("vwap"), "notional_units")
+
+
+def rollup_bars(bars: DataFrame, minutes: int, *, key: str = "symbol") -> DataFrame:
     """Longer bars from shorter ones; same result as resampling the ticks.
 
     The longer interval must be a multiple of the shorter. Bar starts are unique per
     key, so opens and closes need no tie breaker.
     """
-    rolled = bars.groupBy(key, F.window("bar_start", interval).alias("_w")).agg(
+    rolled = bars.groupBy(key, bar_start(F.col("bar_start"), minutes).alias("_start")).agg(
         F.min_by("open", "bar_start").alias("open"),
         F.max("high").alias("high"),
         F.min("low").alias("low"),
@@ -90,12 +106,8 @@ def rollup_bars(bars: DataFrame, interval: str, *, key: str = "symbol") -> DataF
         F.sum("num_trades").alias("num_trades"),
         F.sum("notional_units").alias("notional_units"),
     )
-    return rolled.select(
-        key,
-        F.col("_w.start").alias("bar_start"),
-        "open", "high", "low", "close", "volume", "num_trades",
-        _vwap().alias("vwap"),
-        "notional_units",
+    return rolled.withColumnRenamed("_start", "bar_start").select(
+        key, *BAR, _vwap().alias("vwap"), "notional_units"
     )
 
 

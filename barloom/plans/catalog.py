@@ -201,7 +201,7 @@ def _run(query) -> None:
 
 
 def stream_ohlcv_1h(spark, sf):
-    bars = stream_resample(_tick_stream(spark, sf), "1 hour", tie_breaker="tick_id")
+    bars = stream_resample(_tick_stream(spark, sf), 60, tie_breaker="tick_id")
     path = shared_path(spark, "stream-bars")
     _run(start_to_parquet(bars.select(*BAR_COLUMNS), path, shared_path(spark, "offsets")))
     return spark.read.parquet(path)

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barloom import functions as B
+from barloom.operators.resample import bar_start
 from barloom.operators.resample import daily_summary as collapse_days
 from barloom.operators.rolling import DAY_MS, trailing_mean
 
@@ -306,12 +307,10 @@ def health_bands(bars: DataFrame, as_of: Day = None) -> DataFrame:
     )
 
 
-def ingest_lag(bronze: DataFrame, period: str = "1 hour") -> DataFrame:
+def ingest_lag(bronze: DataFrame, minutes: int = 60) -> DataFrame:
     """How far ingestion ran behind the bars, per period of ingestion time."""
-    at = F.timestamp_millis("ingestion_time")
     lag = F.col("ingestion_time") - F.col("timestamp")
-    return (
-        bronze.groupBy(F.window(at, period).alias("_w"))
-        .agg(F.max(lag).alias("max_lag_ms"), F.count("*").alias("record_count"))
-        .select(F.col("_w.start").alias("period_start"), "max_lag_ms", "record_count")
+    period = bar_start(F.timestamp_millis("ingestion_time"), minutes)
+    return bronze.groupBy(period.alias("period_start")).agg(
+        F.max(lag).alias("max_lag_ms"), F.count("*").alias("record_count")
     )

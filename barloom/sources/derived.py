@@ -40,7 +40,7 @@ def bronze_from_ticks(ticks: DataFrame, bar_minutes: int = 60) -> DataFrame:
     All choices hang on ``hx``, the number of the bar since the epoch.
     """
     bar_ms = bar_minutes * 60_000
-    bars = resample_ohlcv(ticks, f"{bar_minutes} minutes", tie_breaker="tick_id")
+    bars = resample_ohlcv(ticks, bar_minutes, tie_breaker="tick_id")
     hx = F.expr(f"timestamp div {bar_ms}")
     first = F.col("timestamp") + (hx * 7919 + F.col("num_trades")) % 150_000
     arrivals = F.when(hx % 5 == 0, F.array(first, first + 10_000)).otherwise(F.array(first))
@@ -85,7 +85,7 @@ def bars_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
         nth.cast("decimal(38,0)").alias("nth"),
     )
     bars = lines.groupBy("symbol", "timestamp").agg(
-        *aggregate_ticks("price", "size", F.col("nth"))
+        *aggregate_ticks("price", "size", "nth")
     )
     vwap = F.col("notional_units") / F.nullif(F.col("volume"), F.lit(0)) / 10_000
     day = F.expr(f"timestamp div {DAY_MS}")

@@ -40,19 +40,20 @@ def decode_messages(records: DataFrame, data: str = "data") -> DataFrame:
     a failure of that record alone.
     """
     text = F.try_validate_utf8(F.try_to_binary(F.col(data), F.lit("base64")).cast("string"))
-    parsed = F.from_json(
-        text, _PARSED, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
-    )
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
     return (
         records.withColumn("_text", text)
-        .withColumn("bar", parsed)
+        .withColumn("_parsed", F.from_json("_text", _PARSED, options))
+        # One row in, one row out. Filters on what follows stay above this step, so
+        # none of them is answered by parsing the text a second time.
+        .withColumn("bar", F.explode(F.array("_parsed")))
         .withColumn(
             "failure",
             F.when(F.col("_text").isNull(), "encoding").when(
                 F.col("bar").isNull() | F.col(f"bar.{_CORRUPT}").isNotNull(), "json"
             ),
         )
-        .drop("_text")
+        .drop("_text", "_parsed")
     )
 
 

@@ -29,15 +29,14 @@ def stream_dedup(bars: DataFrame, delay: str = "1 day") -> DataFrame:
 
 
 def stream_resample(
-    ticks: DataFrame, interval: str, delay: str | None = None, tie_breaker: str | None = None
+    ticks: DataFrame, minutes: int, delay: str | None = None, tie_breaker: str | None = None
 ) -> DataFrame:
     """Bars from a stream of ticks; a bar is emitted once no tick can still change it.
 
     State holds one row per open (symbol, bar). ``delay`` defaults to one bar.
     """
-    return resample_ohlcv(
-        ticks.withWatermark("event_time", delay or interval), interval, tie_breaker=tie_breaker
-    )
+    ticks = ticks.withWatermark("event_time", delay or f"{minutes} minutes")
+    return resample_ohlcv(ticks, minutes, tie_breaker=tie_breaker)
 
 
 def start_to_parquet(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:

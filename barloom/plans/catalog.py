@@ -37,6 +37,7 @@ from barloom.sources.universe import restrict_to
 from barloom.streaming.bars import (
     start_to_parquet,
     stream_dedup,
+    stream_first_arrival,
     stream_resample,
     stream_rolling_volume,
 )
@@ -217,6 +218,17 @@ def stream_dedup_keys(spark, sf):
     return spark.read.schema("symbol string, timestamp bigint").parquet(path)
 
 
+def stream_first_copies(spark, sf):
+    """First copies of all bars older than a day before the newest."""
+    source = shared_path(spark, "stream-in")
+    bronze = _bronze(spark, sf)
+    bronze.write.parquet(source)
+    bars = stream_first_arrival(spark.readStream.schema(bronze.schema).parquet(source))
+    path = shared_path(spark, "stream-out")
+    _run(start_to_parquet(bars, path, shared_path(spark, "offsets")))
+    return spark.read.schema(bronze.schema).parquet(path)
+
+
 def stream_rolling(spark, sf):
     """Clean bars delivered in two parts, in time order, as two micro-batches or more."""
     source, path = shared_path(spark, "stream-in"), shared_path(spark, "stream-out")
@@ -380,6 +392,7 @@ QUERIES: dict[str, Query] = {
     # streams
     "stream_ohlcv_1h": stream_ohlcv_1h,
     "stream_dedup": stream_dedup_keys,
+    "stream_first_arrival": stream_first_copies,
     "stream_rolling_volume": stream_rolling,
     "stream_bronze": stream_ingest,
 }

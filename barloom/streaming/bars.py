@@ -28,6 +28,26 @@ def stream_dedup(bars: DataFrame, delay: str = "1 day") -> DataFrame:
     )
 
 
+def stream_first_arrival(bars: DataFrame, delay: str = "1 day") -> DataFrame:
+    """The first-arriving copy of each bar, emitted once no copy can still come.
+
+    Unlike :func:`stream_dedup` it is exact about which copy is kept, and copies are
+    reduced before the shuffle, so a bar repeated without end costs one row per task.
+    """
+    keys = ["symbol", "timestamp"]
+    rest = [c for c in bars.columns if c not in (*keys, "ingestion_time")]
+    row = F.struct(F.col("ingestion_time").isNull().alias("_unknown"), "ingestion_time", *rest)
+    kept = (
+        bars.withColumn("event_time", F.timestamp_millis("timestamp"))
+        .withWatermark("event_time", delay)
+        .groupBy(*keys, "event_time")
+        .agg(F.min(row).alias("_first"))
+    )
+    return kept.select(
+        *[F.col(c) if c in keys else F.col(f"_first.{c}").alias(c) for c in bars.columns]
+    )
+
+
 def stream_resample(
     ticks: DataFrame, minutes: int, delay: str | None = None, tie_breaker: str | None = None
 ) -> DataFrame:

@@ -389,6 +389,10 @@ samples AS (SELECT make_timestamp(ingestion_time * 1000) AS seen, 1 AS value
             f"ms + {hour} <= (SELECT epoch_us(MAX(event_time)) // 1000 FROM ticks) - {hour}",
         ),
         "stream_dedup": f"{HOURLY} SELECT DISTINCT symbol, timestamp FROM bronze",
+        "stream_first_arrival": f"""{HOURLY}
+SELECT {BRONZE_COLUMNS} FROM bronze
+WHERE timestamp <= (SELECT MAX(timestamp) FROM bronze) - 86400000
+QUALIFY row_number() OVER (PARTITION BY symbol, timestamp ORDER BY ingestion_time) = 1""",
         "stream_rolling_volume": f"{KEPT} SELECT symbol, timestamp, volume, {HISTORY_MEAN} "
         "AS avg_volume_10bar FROM kept",
         "stream_bronze": f"{HOURLY},{RECORDS.format(ms=hour)} "

@@ -13,6 +13,10 @@ _COMPARE = {">": operator.gt, ">=": operator.ge, "<": operator.lt, "<=": operato
 _STATISTIC = {"sum": F.sum, "max": F.max, "min": F.min, "avg": F.avg}
 
 
+# Periods laid out at once.
+_STRETCH = 1_440
+
+
 @dataclass(frozen=True)
 class Rule:
     """``statistic`` per ``period_s`` compared with ``threshold``, ``periods`` in a row."""
@@ -70,8 +74,10 @@ def eval_alarm(
         "_vote",
         F.when(F.col("_later") == 0, F.col("metric")).alias("metric"),
     )
-    # The grid is one row per period and series, laid out from its two end points. A
-    # series counts its metrics so that both branches read the same shuffle.
+    # The grid is one row per period and series, laid out from its two end points, a
+    # stretch at a time so that no long array is built. A series counts its metrics so
+    # that both branches read the same shuffle.
+    stretch = step * _STRETCH
     grid = (
         metric.groupBy(*dims)
         .agg(
@@ -80,7 +86,9 @@ def eval_alarm(
             F.count("metric").alias("_periods"),
         )
         .filter("_periods > 0")
-        .select(*dims, F.explode(F.sequence("_lo", "_hi", step)).alias("_second"))
+        .select(*dims, "_hi", F.explode(F.sequence("_lo", "_hi", stretch)).alias("_from"))
+        .withColumn("_to", F.least(F.col("_hi"), F.col("_from") + stretch - step))
+        .select(*dims, F.explode(F.sequence("_from", "_to", step)).alias("_second"))
         .withColumn("_on_grid", F.lit(True))
     )
     return (

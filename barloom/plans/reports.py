@@ -45,7 +45,7 @@ def bars_for_date(bars: DataFrame, as_of: Day = None) -> DataFrame:
         on_day(bars, as_of)
         .orderBy("symbol", F.col("event_time").desc())
         .select(
-            "symbol", "trade_date", "event_time", "open", "high", "low", "close",
+            "symbol", "trade_date", "open", "high", "low", "close",
             "volume", "vwap", "price_change_pct", "is_market_hours",
         )
     )
@@ -81,7 +81,7 @@ def symbol_history(bars: DataFrame, symbol: str, rows: int = HISTORY_ROWS) -> Da
     """The latest bars of one symbol; the symbol is a bound parameter."""
     return bars.sparkSession.sql(
         """
-        SELECT trade_date, event_time,
+        SELECT trade_date,
                CAST(open AS DOUBLE) AS open, CAST(high AS DOUBLE) AS high,
                CAST(low AS DOUBLE) AS low, CAST(close AS DOUBLE) AS close, volume
         FROM {bars}
@@ -225,11 +225,10 @@ def daily_summary_as_written(
     )
     return (
         rows.join(ends, ["symbol", "trade_date"])
+        .orderBy("symbol", F.desc("trade_date"), "event_time")
         .select(
-            "symbol", "trade_date", "event_time",
-            "day_open", "day_high", "day_low", "day_close", "day_volume",
+            "symbol", "trade_date", "day_open", "day_high", "day_low", "day_close", "day_volume"
         )
-        .orderBy("symbol", F.desc("trade_date"), "event_time")
     )
 
 

@@ -48,14 +48,19 @@ def has_new_data(spark: SparkSession, path: str, now: datetime | None = None) ->
 
 
 def register_table(
-    spark: SparkSession, path: str, name: str, known: T.StructType | None = None
+    spark: SparkSession,
+    path: str,
+    name: str,
+    known: T.StructType | None = None,
+    merge: bool = True,
 ) -> DataFrame:
     """Make a folder of Parquet files queryable under ``name``.
 
-    Files may have gained columns over time. If ``known`` is given, a table that lost
-    or retyped one of its columns is refused.
+    Files may have gained columns over time, so their schemas are merged, which opens
+    every file's footer once; ``merge=False`` takes one file's word for all. If ``known``
+    is given, a table that lost or retyped one of its columns is refused.
     """
-    df = spark.read.option("mergeSchema", "true").parquet(path)
+    df = spark.read.option("mergeSchema", str(merge).lower()).parquet(path)
     errors = evolution_errors(known, df.schema) if known is not None else []
     if errors:
         raise ValueError(f"{name}: " + "; ".join(errors))

@@ -304,7 +304,8 @@ FROM (SELECT *, event_time AT TIME ZONE 'UTC' AT TIME ZONE 'America/New_York' AS
         "ohlcv_1d": _ohlcv(1440),
         "ohlcv_1d_rolled_up": _ohlcv(1440),
         "ohlcv_1d_lineitem": f"WITH {DAILY_BRONZE} SELECT {BRONZE_COLUMNS} FROM bronze",
-        "bars_for_date": f"{SILVER} SELECT {_BAR} FROM silver WHERE {DAY}",
+        "bars_for_date": f"{SILVER} SELECT symbol, trade_date, open, high, low, close, volume, "
+        f"vwap, price_change_pct, is_market_hours FROM silver WHERE {DAY}",
         "latest_bar_per_symbol": f"{SILVER} SELECT {_BAR} FROM silver QUALIFY row_number() OVER "
         "(PARTITION BY symbol ORDER BY timestamp_ms DESC) = 1",
         "latest_bar_per_symbol_daily": f"{DAILY} SELECT {_BAR} FROM silver QUALIFY row_number() "
@@ -335,14 +336,13 @@ FROM silver WHERE {DAY}
 ORDER BY latency_ms DESC, symbol, timestamp_ms LIMIT 20""",
         "daily_summary": f"{SILVER} {_SUMMARY.format(where=_LAST_7)}",
         "daily_summary_all_days": f"{SILVER} {_SUMMARY.format(where='TRUE')}",
-        "daily_summary_as_written": f"""{SILVER}
-SELECT symbol, trade_date, event_time,
-       FIRST_VALUE(open) OVER (PARTITION BY symbol, trade_date ORDER BY event_time ASC) AS day_open,
-       MAX(high) AS day_high, MIN(low) AS day_low,
-       LAST_VALUE(close) OVER (PARTITION BY symbol, trade_date ORDER BY event_time ASC
-         ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS day_close,
-       CAST(SUM(volume) AS BIGINT) AS day_volume
-FROM silver WHERE {_LAST_7} GROUP BY symbol, trade_date, open, close, event_time""",
+        "daily_summary_as_written": f"""{SILVER},
+recent AS (SELECT * FROM silver WHERE {_LAST_7}),
+ends AS (SELECT symbol, trade_date, arg_min(open, event_time) AS day_open,
+                arg_max(close, event_time) AS day_close FROM recent GROUP BY ALL)
+SELECT symbol, trade_date, day_open, high AS day_high, low AS day_low, day_close,
+       volume AS day_volume
+FROM recent JOIN ends USING (symbol, trade_date)""",
         "completeness": f"""{SILVER}
 SELECT trade_date, symbol, COUNT(*) AS bar_count, MIN(event_time) AS first_bar,
        MAX(event_time) AS last_bar FROM silver GROUP BY trade_date, symbol""",
@@ -358,7 +358,7 @@ FROM silver GROUP BY trade_date ORDER BY trade_date DESC LIMIT 10""",
         "avg_latency": f"{SILVER} SELECT {_MEAN_LATENCY} AS avg_latency_ms FROM silver WHERE {DAY}",
         "record_count": f"{SILVER} SELECT COUNT(*) AS record_count FROM silver WHERE {DAY}",
         "symbol_history": f"""{SILVER}
-SELECT trade_date, event_time, CAST(open AS DOUBLE) AS open, CAST(high AS DOUBLE) AS high,
+SELECT trade_date, CAST(open AS DOUBLE) AS open, CAST(high AS DOUBLE) AS high,
        CAST(low AS DOUBLE) AS low, CAST(close AS DOUBLE) AS close, volume
 FROM silver WHERE symbol = 'purchase'
 ORDER BY trade_date DESC, event_time DESC LIMIT 30""",

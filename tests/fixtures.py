@@ -4,7 +4,7 @@ from pyspark.sql import Row
 
 from barloom.schemas import BRONZE
 
-# The four raw bars every deduplication and cleaning case starts from.
+# The four raw bars every deduplication and cleaning case starts from.
 RAW = [
     ("AAPL", 150.0, 155.0, 148.0, 153.5, 1000000.0, 152.0, 1700000000000, 5000.0, 1700000010000),
     ("AAPL", 150.0, 155.0, 148.0, 153.5, 1000000.0, 152.0, 1700000000000, 5000.0, 1700000020000),

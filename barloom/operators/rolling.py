@@ -14,11 +14,11 @@ def _tails(points: DataFrame, key: str, order: str, value: str, rows: int) -> Da
     The rank filter is applied on the map side first, so at most ``rows`` points per
     map task and bucket are shuffled.
     """
-    latest_first = Window.partitionBy(key, "_bucket").orderBy(F.col(order).desc())
+    latest_first = Window.partitionBy("_bucket", key).orderBy(F.col(order).desc())
     return (
         points.withColumn("_rank", F.row_number().over(latest_first))
         .filter(F.col("_rank") <= rows)
-        .groupBy(key, "_bucket")
+        .groupBy("_bucket", key)
         .agg(F.sort_array(F.collect_list(F.struct(order, value)), asc=False).alias("_tail"))
     )
 
@@ -80,7 +80,7 @@ def trailing_mean(
         # Earlier bars may share the bucket that the first new bars fall into.
         halo = halo.unionByName(earlier.withColumn("_halo", F.lit(True)))
 
-    frame = Window.partitionBy(key, "_bucket").orderBy(order).rowsBetween(-rows, -1)
+    frame = Window.partitionBy("_bucket", key).orderBy(order).rowsBetween(-rows, -1)
     return (
         bars.withColumn("_halo", F.lit(False))
         .unionByName(halo, allowMissingColumns=True)

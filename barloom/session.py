@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -36,17 +35,11 @@ def local_session(cores: str = "*", partitions: int = 8, **conf: str) -> SparkSe
 def shared_root(spark: SparkSession) -> str:
     """The folder every executor can reach: ``spark.checkpoint.dir``.
 
-    Only a local session may go without the setting; it then gets a folder of
-    its own, kept for the life of the session.
+    A session that sets none keeps the files in its warehouse, which is shared as well.
     """
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
-    if root:
-        return root
-    if not sc.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
-    sc.setCheckpointDir(tempfile.mkdtemp(prefix="barloom-"))
-    return sc.getCheckpointDir()
+    return root or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_between"
 
 
 def shared_path(spark: SparkSession, purpose: str) -> str:

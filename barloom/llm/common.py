@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,3 +52,38 @@ def held_out(doc_id: str = "doc_id") -> F.Column:
 def hash_order(column: str, seed: int = 7) -> F.Column:
     """A fixed order that has nothing to do with the values; samples are cut from it."""
     return F.xxhash64(F.lit(seed), F.col(column))
+
+
+def in_groups(
+    df: DataFrame, keys: list[str], order: list, schema: str, work: Callable[[pa.Table], Iterator[pa.RecordBatch]]
+) -> DataFrame:
+    """Apply ``work`` to the rows of each value of ``keys`` (integers, never null), sorted by ``order``.
+
+    The groups of a partition stream by; one group is in memory at a time, so callers bound their groups.
+    """
+    return df.repartition(*keys).sortWithinPartitions(*keys, *order).mapInArrow(_grouped(keys, work), schema)
+
+
+def _grouped(keys: list[str], work):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        last = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            columns = [batch.column(batch.schema.get_field_index(k)).to_numpy(zero_copy_only=False) for k in keys]
+            change = np.zeros(batch.num_rows, dtype=bool)
+            for c in columns:
+                change[1:] |= c[1:] != c[:-1]
+            cuts = [0, *np.flatnonzero(change).tolist(), batch.num_rows]
+            for i, (a, b) in enumerate(zip(cuts, cuts[1:])):
+                key = tuple(c[a] for c in columns)
+                if held and key != last:
+                    yield from work(pa.Table.from_batches(held))
+                    held = []
+                held.append(batch.slice(a, b - a))
+                last = key
+        if held:
+            yield from work(pa.Table.from_batches(held))
+
+    return run

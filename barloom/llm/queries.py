@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import chat_windows, crf_language, gru_toxicity, host_reputation, spm_bpe
+from barloom.llm import chat_windows, crf_language, gru_toxicity, host_reputation, simhash_decontam, spm_bpe
 from barloom.llm.common import held_out, table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -41,6 +41,10 @@ def op7_spm_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spm_bpe.encode_digests(docs, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN, ["doc_id"])
 
 
+def op9_simhash_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_decontam.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     return host_reputation.judge(pages, host_reputation.bad_page(F.col("html")))
@@ -52,6 +56,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_gru_toxicity": op3_gru_toxicity,
         "op5_chat_windows": op5_chat_windows,
         "op7_spm_bpe": op7_spm_bpe,
+        "op9_simhash_decontam": op9_simhash_decontam,
         "op10_host_reputation": op10_host_reputation,
     }
 

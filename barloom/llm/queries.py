@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import chat_windows, crf_language, gru_toxicity, host_reputation, simhash_decontam, spm_bpe
+from barloom.llm import chat_windows, crf_language, gru_toxicity, host_reputation, simhash_decontam, spm_bpe, unit_dedup
 from barloom.llm.common import held_out, table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -17,6 +17,11 @@ EXTRA_TURN = "<|im_end|><|im_start|>assistant ok"
 EXTRA = [(-1, 0, "user", EXTRA_TURN), (-1, 1, "assistant", EXTRA_TURN)]
 
 
+def op1_unit_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = unit_dedup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.withColumn("n_removed", F.size("removed"))
+
+
 def op2_crf_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = crf_language.identify(docs, crf_language.learn(docs), ["doc_id"])
@@ -52,6 +57,7 @@ def op10_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_unit_dedup": op1_unit_dedup,
         "op2_crf_language": op2_crf_language,
         "op3_gru_toxicity": op3_gru_toxicity,
         "op5_chat_windows": op5_chat_windows,

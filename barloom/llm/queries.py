@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import chat_windows, crf_language, gru_toxicity, host_reputation, simhash_decontam, spm_bpe, unit_dedup
+from barloom.llm import chat_windows, crf_language, gru_toxicity, host_reputation, simhash_decontam, spm_bpe, trie_join, unit_dedup
 from barloom.llm.common import held_out, table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -35,6 +35,10 @@ def op3_gru_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumns({"held_out": held_out(), "predicted": (F.col("score") >= 0.5).cast("int")})
 
 
+def op4_trie_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie_join.groups(table(spark, sf_dir, "documents"), width=3, percent=90)
+
+
 def op5_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     talks = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     talks = talks.unionByName(spark.createDataFrame(EXTRA, "conv_id long, turn long, role string, text string"))
@@ -60,6 +64,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_unit_dedup": op1_unit_dedup,
         "op2_crf_language": op2_crf_language,
         "op3_gru_toxicity": op3_gru_toxicity,
+        "op4_trie_join": op4_trie_join,
         "op5_chat_windows": op5_chat_windows,
         "op7_spm_bpe": op7_spm_bpe,
         "op9_simhash_decontam": op9_simhash_decontam,

@@ -200,5 +200,5 @@ def identify(docs: DataFrame, model: Model, keys: list[str], text: str = "text")
         made = [pa.array(names, pa.string()), pa.array(scores, pa.float64())]
         return pa.RecordBatch.from_arrays([*batch.columns[: len(keys)], *made], [*keys, "lang_pred", "score"])
 
-    rows = docs.select(*[F.col(f"`{k}`") for k in keys], F.col(text).cast("string"))
+    rows = docs.select(*[F.col(f"`{k}`") for k in keys], F.col(text).cast("string").alias("__text"))
     return in_batches(rows, f"{kinds}, lang_pred string, score double", work, lambda: Model(*parts))

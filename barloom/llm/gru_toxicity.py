@@ -307,5 +307,5 @@ def score(docs: DataFrame, scorer: Scorer, keys: list[str], text: str = "text")
         scores = [s for i in range(0, len(texts), 500) for s in own.score(texts[i : i + 500])]
         return pa.RecordBatch.from_arrays([*batch.columns[: len(keys)], pa.array(scores, pa.float64())], [*keys, "score"])
 
-    rows = docs.select(*[F.col(f"`{k}`") for k in keys], F.col(text).cast("string"))
+    rows = docs.select(*[F.col(f"`{k}`") for k in keys], F.col(text).cast("string").alias("__text"))
     return in_batches(rows, f"{kinds}, score double", work, lambda: Scorer(*parts))

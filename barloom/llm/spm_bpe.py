@@ -147,7 +147,7 @@ def encode(docs: DataFrame, path: str, pattern: str, keys: list[str], text: str
         ]
         return pa.RecordBatch.from_arrays([*batch.columns[: len(keys)], *made], [*keys, "n_tokens", "ids", "decoded"])
 
-    rows = docs.select(*[F.col(f"`{k}`") for k in keys], F.col(text).cast("string"))
+    rows = docs.select(*[F.col(f"`{k}`") for k in keys], F.col(text).cast("string").alias("__text"))
     return in_batches(rows, f"{kinds}, n_tokens long, ids binary, decoded binary", work, factory)
 
 
@@ -168,5 +168,5 @@ def encode_digests(docs: DataFrame, path: str, pattern: str, keys: list[str], te
             [*batch.columns[: len(keys)], *made], [*keys, "n_tokens", "ids_sha256", "decoded_sha256"]
         )
 
-    rows = docs.select(*[F.col(f"`{k}`") for k in keys], F.col(text).cast("string"))
+    rows = docs.select(*[F.col(f"`{k}`") for k in keys], F.col(text).cast("string").alias("__text"))
     return in_batches(rows, f"{kinds}, n_tokens long, ids_sha256 string, decoded_sha256 string", work, factory)

@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barloom.llm import chat_windows, crf_language, gru_toxicity, host_reputation, simhash_decontam, spm_bpe, trie_join, unit_dedup
+from barloom.llm import (
+    chat_windows,
+    crf_language,
+    gru_toxicity,
+    host_reputation,
+    kmeans_tree,
+    simhash_decontam,
+    spm_bpe,
+    trie_join,
+    unit_dedup,
+    warc_derivatives,
+)
 from barloom.llm.common import held_out, table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -45,11 +56,19 @@ def op5_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_windows.read_back(chat_windows.windows(talks, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN))
 
 
+def op6_kmeans_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kmeans_tree.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op7_spm_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return spm_bpe.encode_digests(docs, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN, ["doc_id"])
 
 
+def op8_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_derivatives.derivatives(warc_derivatives.as_responses(table(spark, sf_dir, "pages")))
+
+
 def op9_simhash_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_decontam.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -66,7 +85,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_gru_toxicity": op3_gru_toxicity,
         "op4_trie_join": op4_trie_join,
         "op5_chat_windows": op5_chat_windows,
+        "op6_kmeans_tree": op6_kmeans_tree,
         "op7_spm_bpe": op7_spm_bpe,
+        "op8_warc_derivatives": op8_warc_derivatives,
         "op9_simhash_decontam": op9_simhash_decontam,
         "op10_host_reputation": op10_host_reputation,
     }

@@ -185,20 +185,20 @@ def learn(docs: DataFrame, key: str = "doc_id", text: str = "text", label: str =
     return train([r[1] for r in taken], [r[2] for r in taken])
 
 
-def identify(docs: DataFrame, model: Model, keys: list[str], text: str = "text") -> DataFrame:
-    """``keys``, lang_pred and score for every row."""
+def identify(docs: DataFrame, model: Model, keys: list[str], text: str = "text", names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """``keys``, lang_pred and score (or other ``names``, where keys are named so) for every row."""
     kinds = ", ".join(f"`{k}` {docs.schema[k].dataType.simpleString()}" for k in keys)
     parts = (model.languages, model.weights, model.trans)
 
     def work(batch: pa.RecordBatch, own: Model) -> pa.RecordBatch:
-        names, scores = [], []
+        found, scores = [], []
         texts = batch.column(len(keys)).to_pylist()
         for i in range(0, len(texts), 1000):
             a, b = own.predict(texts[i : i + 1000])
-            names += a
+            found += a
             scores += b
-        made = [pa.array(names, pa.string()), pa.array(scores, pa.float64())]
-        return pa.RecordBatch.from_arrays([*batch.columns[: len(keys)], *made], [*keys, "lang_pred", "score"])
+        made = [pa.array(found, pa.string()), pa.array(scores, pa.float64())]
+        return pa.RecordBatch.from_arrays([*batch.columns[: len(keys)], *made], [*keys, *names])
 
     rows = docs.select(*[F.col(f"`{k}`") for k in keys], F.col(text).cast("string").alias("__text"))
-    return in_batches(rows, f"{kinds}, lang_pred string, score double", work, lambda: Model(*parts))
+    return in_batches(rows, f"{kinds}, `{names[0]}` string, `{names[1]}` double", work, lambda: Model(*parts))

@@ -38,6 +38,8 @@ MARKUP = r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->|<[^>]
 MIN_LETTERS, MAX_SYMBOLS = 50, 0.1
 #: The bound lies so many posterior deviations below the mean; hosts above the rate are blocked.
 DEVIATIONS, MAX_BAD = 2.0, 0.5
+#: Bounds of the correlation within a level: a prior weighs between 4 and about 10,000 pages.
+LEAST_RHO, MOST_RHO = 1e-4, 0.2
 
 
 def host_of(url: Column) -> Column:
@@ -99,10 +101,14 @@ def correlation(level: DataFrame, parents: list[str], n: str = "n", bad: str = "
     return min(max(row["between"] / row["scale"], 0.0), 1.0)
 
 
+def prior_weight(rho: float) -> float:
+    """Pages that the prior of a level counts for."""
+    return 1 / min(max(rho, LEAST_RHO), MOST_RHO) - 1
+
+
 def shrunk(prior: Column, rho: float) -> Column:
     """Posterior mean of a group under a prior mean whose weight follows from ``rho``."""
-    rho = min(max(rho, 1e-4), 1 - 1e-4)
-    weight = F.lit(1 / rho - 1)
+    weight = F.lit(prior_weight(rho))
     return (F.col("bad") + weight * prior) / (F.col("n") + weight)
 
 
@@ -119,8 +125,7 @@ def reputation(outcomes: DataFrame, deviations: float = DEVIATIONS) -> DataFrame
     base = (whole["bad"] or 0) / whole["n"] if whole and whole["n"] else 0.0
     suffix_rate = suffixes.select("suffix", shrunk(F.lit(base), rho[0]).alias("suffix_rate"))
     domain_rate = domains.join(suffix_rate, "suffix").select("suffix", "domain", shrunk(F.col("suffix_rate"), rho[1]).alias("domain_rate"))
-    weight = F.lit(1 / min(max(rho[2], 1e-4), 1 - 1e-4) - 1)
-    size = F.col("n") + weight
+    size = F.col("n") + F.lit(prior_weight(rho[2]))
     posterior = hosts.join(domain_rate, ["suffix", "domain"]).withColumn("mean", shrunk(F.col("domain_rate"), rho[2]))
     deviation = F.sqrt(F.col("mean") * (1 - F.col("mean")) / (size + 1))
     return posterior.select("host", "n", "bad", "mean", (F.col("mean") - F.lit(deviations) * deviation).alias("lower"))
@@ -182,7 +187,7 @@ WITH split AS (
   SELECT level, sum(n) AS n_all, sum(bad) / sum(n) AS p, count(*) AS g, sum(n * n) AS n2, sum(bad * bad / n) AS q FROM groups GROUP BY level, parent
 ), spread AS (
   SELECT level, sum(q - n_all * p * p - p * (1 - p) * (g - 1)) AS a, sum(p * (1 - p) * (n_all - n2 / n_all - (g - 1))) AS b FROM parents GROUP BY level
-), weights AS (SELECT level, 1 / least(greatest(CASE WHEN b > 0 THEN a / b ELSE 0 END, 1e-4), 1 - 1e-4) - 1 AS w FROM spread
+), weights AS (SELECT level, 1 / least(greatest(CASE WHEN b > 0 THEN a / b ELSE 0 END, {LEAST_RHO}), {MOST_RHO}) - 1 AS w FROM spread
 ), base AS (SELECT sum(bad) / sum(n) AS p FROM hosts
 ), s1 AS (SELECT suffix, (bad + w * p) / (n + w) AS rate FROM suffixes, base, weights WHERE level = 1
 ), s2 AS (SELECT suffix, domain, (bad + w * rate) / (n + w) AS rate FROM domains JOIN s1 USING (suffix), weights WHERE level = 2

@@ -151,4 +151,5 @@ def matches(docs: DataFrame, benchmark: DataFrame, radius: int = RADIUS, similar
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id") -> DataFrame:
     """The documents without a match."""
-    return docs.join(matches(docs, benchmark, key=key).select(key).distinct(), key, "left_anti")
+    found = matches(docs, benchmark, key=key).select(F.col(key).alias("__key")).distinct()
+    return docs.join(found, F.col(f"`{key}`").eqNullSafe(F.col("__key")), "left_anti")

@@ -84,8 +84,8 @@ def removals(text: str, taken: dict[bytes, int], key: int) -> list[tuple[int, in
     return sorted(spans, key=lambda s: s[0])
 
 
-def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", rank: str | None = None) -> DataFrame:
-    """``docs`` with units cut out of ``text`` and ``removed``: array of (start, end, first).
+def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", rank: str | None = None, removed: str = "removed") -> DataFrame:
+    """``docs`` with units cut out of ``text`` and ``removed`` (or another name): array of (start, end, first).
 
     ``first`` is the rank of the keeping document, null for short units between removed ones. ``rank``
     names an integer column, the key by default; of two documents of one rank both count as one.
@@ -94,10 +94,10 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", rank: str |
     rows = docs.select(place, F.col(text).cast("string")).mapInArrow(_digests, "doc long, h1 long, h2 long")
     shared = rows.groupBy("h1", "h2").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first < last")
     lost = rows.join(shared.select("h1", "h2", "first"), ["h1", "h2"]).where("doc > first")
-    lost = lost.groupBy("doc").agg(F.collect_list(F.struct("h1", "h2", "first")).alias("_lost"))
-    kept = [c for c in docs.columns if c != "removed"]
-    joined = docs.select(*[F.col(f"`{c}`") for c in kept], place.alias("_doc")).join(
-        lost.withColumnRenamed("doc", "_doc"), "_doc", "left"
+    lost = lost.groupBy("doc").agg(F.collect_list(F.struct("h1", "h2", "first")).alias("__lost"))
+    kept = [c for c in docs.columns if c != removed]
+    joined = docs.select(*[F.col(f"`{c}`") for c in kept], place.alias("__doc")).join(
+        lost.withColumnRenamed("doc", "__doc"), "__doc", "left"
     )
     at = kept.index(text)
 
@@ -118,10 +118,10 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", rank: str |
                 spans.append([{"start": a, "end": b, "first": f} for a, b, f in gone])
             columns = [batch.column(i + 1) for i in range(len(kept))]
             columns[at] = pa.array(clean, pa.string())
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(spans, SPANS)], [*kept, "removed"])
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(spans, SPANS)], [*kept, removed])
 
     fields = ", ".join(
         f"`{c}` {'string' if c == text else docs.schema[c].dataType.simpleString()}" for c in kept
     )
-    ordered = joined.select("_doc", *[F.col(f"`{c}`") for c in kept], "_lost")
-    return ordered.mapInArrow(cut, f"{fields}, removed array<struct<start:bigint,end:bigint,first:bigint>>")
+    ordered = joined.select("__doc", *[F.col(f"`{c}`") for c in kept], "__lost")
+    return ordered.mapInArrow(cut, f"{fields}, `{removed}` array<struct<start:bigint,end:bigint,first:bigint>>")

@@ -291,6 +291,7 @@ def learn(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     for value, n in counts.items():
         share = F.when(F.col(label) == value, min(1.0, sample / n)).otherwise(share)
     drawn = marked.where((hash_order(key) + F.lit(0)) / F.lit(2.0**64) + 0.5 < share).dropDuplicates([key])
+    drawn = F.broadcast(drawn.orderBy(hash_order(key)).limit(3 * sample))  # a sample of known size: the texts do not move
     rows = docs.select(key, text).where(F.col(text).isNotNull() & (F.length(text) <= SAMPLE_CHARS)).join(drawn, key)
     taken = rows.orderBy(hash_order(key), text).limit(4 * sample).collect()
     whole = counts.get(1, 0) / max(1, sum(counts.values()))

@@ -8,6 +8,8 @@ by shingle and shingles of a single set are dropped. Sets of equal content are o
 Within a posting the sets are stored in a trie along the global order. A probe walks the trie: sets with
 the same beginning share the overlap counted so far, and a subtree is left as soon as the shingles that
 remain on either side cannot make up the overlap its sizes require. What arrives at a set's end is an exact comparison.
+Prefixes are a little longer than one shared shingle needs, so that similar sets share a known number of them;
+documents whose prefix holds fewer shingles that others post have no partner and leave before their sets are looked at.
 
 Groups of thousands of near copies would make every posting quadratic. So each node is first compared with
 one node, the one of lowest priority it meets in any posting, and linked if it is similar enough; only
@@ -38,6 +40,8 @@ CELLS, PARTS = 1 << 18, 16
 #: Sets in one walk, and tokens in one step of it.
 BLOCK, STEP = 1500, 64
 NO_KEY = (1 << 63) - 1
+#: Percent of a set that its prefix is longer than it had to be.
+MARGIN = 6
 
 
 def sketch(texts: DataFrame, width: int) -> np.ndarray:
@@ -206,40 +210,55 @@ def required(n: int, percent: int) -> int:
     return -(-percent * n // 100)
 
 
-def _sets(texts: DataFrame, width: int) -> DataFrame:
-    """doc, shingles (binary of 64-bit hashes) of rows (doc, text)."""
+def margin(n: int) -> int:
+    """By how many shingles the prefix of a set of ``n`` is longer than nothing that sets must share."""
+    return max(1, MARGIN * n // 100)
+
+
+def prefix_length(n: int, percent: int) -> int:
+    return n - required(n, percent) + margin(n)
+
+
+def _sets(texts: DataFrame, width: int, percent: int, cells: np.ndarray) -> DataFrame:
+    """doc, n, prefix in the global order and shingles (binary of 64-bit hashes) of rows (doc, text)."""
 
     def work(batch: pa.RecordBatch, shingler: Shingler) -> pa.RecordBatch:
-        sets = [shingler.set(t).tobytes() for t in batch.column(1).to_pylist()]
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["doc", "shingles"])
+        sets = [shingler.set(t) for t in batch.column(1).to_pylist()]
+        prefixes = [s[in_order(s, cells)[: prefix_length(len(s), percent)]] for s in sets]
+        columns = [pa.array([len(s) for s in sets], pa.int64()), _lists(prefixes), pa.array([s.tobytes() for s in sets], pa.binary())]
+        return pa.RecordBatch.from_arrays([batch.column(0), *columns], ["doc", "n", "prefix", "shingles"])
 
-    return in_batches(texts, "doc long, shingles binary", work, lambda: Shingler(width))
+    return in_batches(texts, "doc long, n long, prefix array<bigint>, shingles binary", work, lambda: Shingler(width))
+
+
+def _lists(arrays: list[np.ndarray]) -> pa.Array:
+    ends = np.concatenate([[0], np.cumsum([len(a) for a in arrays])]).astype(np.int32)
+    flat = np.concatenate(arrays).view(np.int64) if arrays else np.zeros(0, np.int64)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
 
 
 def _signatures(texts: DataFrame, width: int, percent: int, cells: np.ndarray) -> DataFrame:
-    """doc, n, two halves of the set's digest and its prefix in the global order."""
+    """doc, n, two halves of the set's digest and its prefix; of equal sets in a batch only the first has its prefix."""
 
     def work(batch: pa.RecordBatch, shingler: Shingler) -> pa.RecordBatch:
-        n, halves, prefixes = [], [], []
+        n, halves, prefixes, seen = [], [], [], set()
         for text in batch.column(1).to_pylist():
             own = shingler.set(text)
+            digest = xxhash.xxh3_128_digest(own.tobytes())
             n.append(len(own))
-            halves.append(xxhash.xxh3_128_digest(own.tobytes()))
-            keep = len(own) - required(len(own), percent) + 1 if len(own) else 0
-            prefixes.append(own[in_order(own, cells)[:keep]].view(np.int64))
+            halves.append(digest)
+            keep = prefix_length(len(own), percent) if len(own) and digest not in seen else 0
+            prefixes.append(own[in_order(own, cells)[:keep]] if keep else own[:0])
+            seen.add(digest)
         digest = np.frombuffer(b"".join(halves), "<i8").reshape(-1, 2)
-        ends = np.concatenate([[0], np.cumsum([len(p) for p in prefixes])]).astype(np.int32)
-        flat = np.concatenate(prefixes) if prefixes else np.zeros(0, np.int64)
-        return pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(n, pa.int64()), pa.array(digest[:, 0]), pa.array(digest[:, 1]), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))],
-            ["doc", "n", "f1", "f2", "prefix"],
-        )
+        columns = [pa.array(n, pa.int64()), pa.array(digest[:, 0]), pa.array(digest[:, 1]), _lists(prefixes)]
+        return pa.RecordBatch.from_arrays([batch.column(0), *columns], ["doc", "n", "f1", "f2", "prefix"])
 
     return in_batches(texts, "doc long, n long, f1 long, f2 long, prefix array<bigint>", work, lambda: Shingler(width))
 
 
 def _postings(prefixes: DataFrame) -> DataFrame:
-    """From (token, priority, doc, n) the rows of tokens that several documents post, with the first of them as ``hub``."""
+    """From (token, doc, n) the rows of tokens that several documents post, with the one of lowest priority as ``hub``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None  # the last row so far, not given out if it is the only one of its token
@@ -247,7 +266,7 @@ def _postings(prefixes: DataFrame) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            token, doc, n = (batch.column(i).to_numpy() for i in (0, 2, 3))
+            token, doc, n = (batch.column(i).to_numpy() for i in (0, 1, 2))
             if held is not None:
                 token, doc, n = (np.concatenate([[h], c]) for h, c in zip(held, (token, doc, n)))
             begins = np.concatenate([[held is None or hub is None], token[1:] != token[:-1]])
@@ -270,7 +289,7 @@ def _postings(prefixes: DataFrame) -> DataFrame:
     def batch_of(*columns):
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["token", "doc", "n", "hub", "hub_n"])
 
-    sorted_rows = prefixes.repartition("token").sortWithinPartitions("token", "priority", "doc")
+    sorted_rows = prefixes.repartition("token").sortWithinPartitions("token", F.xxhash64("doc"), "doc")
     return sorted_rows.mapInArrow(run, "token long, doc long, n long, hub long, hub_n long")
 
 
@@ -281,12 +300,16 @@ def groups(docs: DataFrame, width: int = 5, percent: int = 80, key: str = "doc_i
     signed = stored(_signatures(texts, width, percent, cells), "signatures")
     classes = signed.where("n > 0").groupBy("f1", "f2").agg(F.min("doc").alias("rep"))
     classes = stored(classes, "classes")
-    same = (F.col("doc") == F.col("rep")) & (F.col("s.f1") == F.col("c.f1")) & (F.col("s.f2") == F.col("c.f2"))
-    reps = signed.alias("s").join(classes.alias("c"), same, "left_semi").select("doc", "n", F.explode("prefix").alias("token"))
-    reps = reps.select("token", F.xxhash64("doc").alias("priority"), "doc", "n")
-    postings = stored(_postings(reps), "postings")
+    # Who shares enough of what it posts. The first k shingles that two similar sets share lie in both prefixes for all k up
+    # to the larger margin, less one because both the overlap and the margin are rounded to whole shingles.
+    shared = _postings(signed.select(F.explode("prefix").alias("token"), "doc", "n")).groupBy("doc").agg(F.count("*").alias("shared"))
+    enough = F.greatest(F.lit(1), F.expr(f"n * {MARGIN} div 100") - 1)
+    involved = shared.join(signed.select("doc", "n", "f1", "f2"), "doc").where(F.col("shared") >= enough).select("f1", "f2").distinct()
+    reps = stored(classes.join(involved, ["f1", "f2"]).select(F.col("rep").alias("doc")).distinct(), "involved")
+    sets = stored(_sets(texts.join(reps, "doc", "left_semi").dropDuplicates(["doc"]), width, percent, cells), "sets")
+    postings = stored(_postings(sets.select(F.explode("prefix").alias("token"), "doc", "n")), "postings")
+    sets = sets.select("doc", "shingles")
     fits = lambda a, b: (100 * F.col(a) >= percent * F.col(b)) & (100 * F.col(b) >= percent * F.col(a))
-    sets = stored(_sets(texts.join(postings.select("doc").distinct(), "doc", "left_semi").dropDuplicates(["doc"]), width), "sets")
     # one comparison for each node
     pairs = postings.where((F.col("doc") != F.col("hub")) & fits("n", "hub_n"))
     pairs = pairs.select("doc", "hub").distinct().groupBy("doc").agg(F.min(F.struct(F.xxhash64("hub").alias("p"), "hub")).alias("h")).select("doc", "h.hub")

@@ -12,10 +12,11 @@ Prefixes are a little longer than one shared shingle needs, so that similar sets
 documents whose prefix holds fewer shingles that others post have no partner and leave before their sets are looked at.
 
 Groups of thousands of near copies would make every posting quadratic. So each node is first compared with
-one node, the one of lowest priority it meets in any posting, and linked if it is similar enough; only
-postings that still hold nodes of different groups are walked, equal postings once, long ones in
-blocks of neighbouring sizes. A walk skips subtrees that lie in the probe's group already: links inside a
-group cannot change any group, links between groups are all found.
+one node, of the lowest-priority nodes of its postings the one it meets most often, and linked if it is similar
+enough; only postings that still hold nodes of different groups are walked. Postings that hang together are one
+family and share one trie, so that a set is sent once; where a family is too large for a task its postings are
+walked one by one, equal ones once, long ones in blocks of neighbouring sizes. A walk skips subtrees that lie in the
+probe's group already: links inside a group cannot change any group, links between groups are all found.
 
 Texts that are null or hold no word have the empty set and are linked with nothing. Rows that repeat a key are
 one document; null keys count as one key. Other columns are not read.
@@ -42,6 +43,8 @@ BLOCK, STEP = 1500, 64
 NO_KEY = (1 << 63) - 1
 #: Percent of a set that its prefix is longer than it had to be.
 MARGIN = 6
+#: Times that nodes with too few mixed postings leave before the rest is walked.
+PEEL = 3
 
 
 def sketch(texts: DataFrame, width: int) -> np.ndarray:
@@ -312,19 +315,35 @@ def groups(docs: DataFrame, width: int = 5, percent: int = 80, key: str = "doc_i
     fits = lambda a, b: (100 * F.col(a) >= percent * F.col(b)) & (100 * F.col(b) >= percent * F.col(a))
     # one comparison for each node
     pairs = postings.where((F.col("doc") != F.col("hub")) & fits("n", "hub_n"))
-    pairs = pairs.select("doc", "hub").distinct().groupBy("doc").agg(F.min(F.struct(F.xxhash64("hub").alias("p"), "hub")).alias("h")).select("doc", "h.hub")
+    met = pairs.groupBy("doc", "hub").agg(F.count("*").alias("times"))
+    pairs = met.groupBy("doc").agg(F.max(F.struct("times", F.xxhash64("hub").alias("p"), "hub")).alias("h")).select("doc", "h.hub")
     near = _verified(pairs, sets, percent)
     first = stored(near, "hub-links")
     labels = stored(components(first, "doc", "hub"), "hub-groups")
     # walks where groups still differ
     label = lambda rows: rows.join(labels.withColumnRenamed("node", "doc"), "doc", "left").withColumn("component", F.coalesce("component", "doc"))
     posted = label(postings.select("token", "doc", "n"))
-    mixed = posted.groupBy("token").agg(
+    sums = [
         F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size"),
         F.sum(F.xxhash64("doc").bitwiseAND(0xFFFFFFFFFF)).alias("m1"), F.bit_xor(F.xxhash64(F.lit(1), "doc")).alias("m2"),
-    ).where("low < high")
+    ]
+    for _ in range(PEEL):  # similar nodes of different groups share enough of these postings, so who has fewer leaves
+        mixed = posted.groupBy("token").agg(*sums).where("low < high").select("token")
+        left = posted.join(mixed, "token", "left_semi")
+        busy = left.groupBy("doc", "n").agg(F.count("*").alias("shared")).where(F.col("shared") >= enough).select("doc")
+        posted = stored(left.join(busy, "doc", "left_semi"), "mixed-postings")
+    mixed = posted.groupBy("token").agg(*sums).where("low < high")
     walks = stored(mixed.groupBy("size", "m1", "m2").agg(F.min("token").alias("token")).select("token", "size"), "walks")
     rows = stored(posted.join(walks, "token"), "walk-rows")
+    # a family: postings that share documents
+    tied = rows.groupBy("token").agg(F.min("doc").alias("least"))
+    tied = rows.join(tied, "token").where("doc <> least").select("doc", "least").distinct()
+    family = stored(components(tied, "doc", "least").select(F.col("node").alias("doc"), F.col("component").alias("family")), "families")
+    sizes = family.groupBy("family").agg(F.count("*").alias("members"))
+    small = family.join(sizes.where(F.col("members") <= BLOCK), "family").select("doc", F.col("family").alias("token"), F.col("members").alias("size"))
+    once = rows.select("doc", "n", "component").distinct().join(small, "doc").select("token", "doc", "n", "component", "size")
+    apart = rows.join(small.select("doc"), "doc", "left_anti").select("token", "doc", "n", "component", "size")
+    rows = stored(once.unionByName(apart), "walk-families")
     links = first.select(F.col("doc").alias("a"), F.col("hub").alias("b")).unionByName(_walked(rows, sets, cells, percent))
     joined = components(links)
     final = classes.join(joined.withColumnRenamed("node", "rep"), "rep", "left").select("f1", "f2", F.coalesce("component", "rep").alias("component"))

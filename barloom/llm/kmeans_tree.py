@@ -7,7 +7,8 @@ by brute force over all vectors, and visits are widened until enough of those ne
 
 Equal vectors are one entry of the index with their smallest ids, as many as a result can hold, so a vector
 that is repeated without end fills no leaf. Leaves are searched in blocks: a bounded number of vectors against
-a bounded number of queries in a task.
+a bounded number of queries in a task. The first leaves of every query are searched first; their worst kept score
+is a bound below which the other leaves need not report anything.
 
 Vectors that are null, zero, of another length than the others or that hold null or non-finite components take no part. Ties in
 score fall to the smaller id; an id's own rows are never among its neighbours. Repeated rows count once. Other
@@ -27,8 +28,10 @@ from pyspark.sql import functions as F
 
 from barloom.llm.common import in_batches, in_groups, stored
 
-#: Vectors the tree is fitted on, children of a node, vectors a leaf should hold, leaves at most.
-SAMPLE, BRANCH, LEAF, LEAVES = 20_000, 8, 200, 2048
+#: Vectors the tree is fitted on, children of a node, leaves for each root of the number of vectors, leaves at most.
+SAMPLE, BRANCH, SPREAD, LEAVES = 20_000, 8, 0.5, 2048
+#: Leaves that each query searches before the others.
+FIRST = 2
 #: Neighbours wanted, queries the visits are calibrated on, and the recall to reach there.
 NEAREST, CALIBRATION, RECALL = 5, 400, 0.95
 #: Vectors and queries of one block.
@@ -230,7 +233,7 @@ def search(vectors: DataFrame, query: Column, key: str = "vec_id", vector: str =
     n = whole.count()
     sample = [r[0] for r in whole.select("vec").orderBy(F.xxhash64("h1"), "h1", "h2").limit(SAMPLE).collect()]
     fitted = np.frombuffer(b"".join(sample), np.float64).reshape(len(sample), -1)
-    leaves = min(LEAVES, max(1, n // LEAF))
+    leaves = min(LEAVES, max(1, int(SPREAD * n**0.5)))
     tree = Tree(fitted, max(2, len(sample) // leaves)) if len(sample) else Tree(np.zeros((0, sizes["n"])), 1)
 
     def place(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -245,29 +248,34 @@ def search(vectors: DataFrame, query: Column, key: str = "vec_id", vector: str =
     limit = calibrated(tree, trial, exact(trial, index, keep).collect(), recall) if trial else 1
 
     sized = lambda df, per: {r[0]: -(-r[1] // per) for r in df.groupBy("leaf").count().collect()}  # noqa: E731  at most LEAVES rows
-    schema = "leaf long, h1 long, h2 long, vec binary"
+    schema = "leaf long, turn long, h1 long, h2 long, vec binary"
 
     def visit(batch: pa.RecordBatch) -> pa.RecordBatch:
         x = _matrix(batch.column(2)) if batch.num_rows else np.zeros((0, 1))
         orders = [tree.visits(r, limit) for r in x]
         take = pa.array(np.repeat(np.arange(len(x)), [len(o) for o in orders]))
-        flat = [leaf for o in orders for leaf in o]
-        return pa.RecordBatch.from_arrays([pa.array(flat, pa.int64()), *[c.take(take) for c in batch.columns]], ["leaf", "h1", "h2", "vec"])
+        flat, turns = [leaf for o in orders for leaf in o], [t for o in orders for t in range(len(o))]
+        columns = [pa.array(flat, pa.int64()), pa.array(turns, pa.int64()), *[c.take(take) for c in batch.columns]]
+        return pa.RecordBatch.from_arrays(columns, ["leaf", "turn", "h1", "h2", "vec"])
 
     visited = stored(in_batches(distinct.select("h1", "h2", "vec"), schema, visit), "visits")
-    over_v, over_q = sized(index, VECTORS), sized(visited, QUERIES)
-    blocks = spark.createDataFrame([(k, v, over_q.get(k, 0)) for k, v in over_v.items()], "leaf long, vs long, qs long")
-    blocks = F.broadcast(blocks)  # at most LEAVES rows
+    over_v = sized(index, VECTORS)
     h = F.xxhash64(F.col("vec"))
-    mine = index.join(blocks, "leaf").where("qs > 0").select(
-        "leaf", F.pmod(h, F.col("vs")).alias("vb"), F.explode(F.sequence(F.lit(0), F.col("qs") - 1)).alias("qb"),
-        F.lit(0).alias("kind"), F.lit(0).cast("long").alias("h1"), F.lit(0).cast("long").alias("h2"), "vec", "ids",
-    )
-    theirs = visited.join(blocks, "leaf").select(
-        "leaf", F.explode(F.sequence(F.lit(0), F.col("vs") - 1)).alias("vb"), F.pmod(h, F.col("qs")).alias("qb"),
-        F.lit(1).alias("kind"), "h1", "h2", "vec", F.lit(None).cast("array<bigint>").alias("ids"),
-    )
-    ints = ["leaf", "vb", "qb"]
+
+    def searched(visits: DataFrame) -> DataFrame:
+        """The best entries in the visited leaves; visits: leaf, bound, h1, h2, vec."""
+        over_q = sized(visits, QUERIES)
+        sizes = spark.createDataFrame([(k, v, over_q.get(k, 0)) for k, v in over_v.items()], "leaf long, vs long, qs long")
+        blocks = F.broadcast(sizes)  # at most LEAVES rows
+        mine = index.join(blocks, "leaf").where("qs > 0").select(
+            "leaf", F.pmod(h, F.col("vs")).alias("vb"), F.explode(F.sequence(F.lit(0), F.col("qs") - 1)).alias("qb"),
+            F.lit(0).alias("kind"), F.lit(-2.0).alias("bound"), F.lit(0).cast("long").alias("h1"), F.lit(0).cast("long").alias("h2"), "vec", "ids",
+        )
+        theirs = visits.join(blocks, "leaf").select(
+            "leaf", F.explode(F.sequence(F.lit(0), F.col("vs") - 1)).alias("vb"), F.pmod(h, F.col("qs")).alias("qb"),
+            F.lit(1).alias("kind"), "bound", "h1", "h2", "vec", F.lit(None).cast("array<bigint>").alias("ids"),
+        )
+        return in_groups(mine.unionByName(theirs), ["leaf", "vb", "qb"], ["kind"], FOUND, compare)
 
     def compare(group: pa.Table) -> Iterator[pa.RecordBatch]:
         group = group.combine_chunks()
@@ -278,12 +286,16 @@ def search(vectors: DataFrame, query: Column, key: str = "vec_id", vector: str =
         vec = group.column("vec").combine_chunks()
         x, q = _matrix(vec[:split]), _matrix(vec[split:])
         ids = group.column("ids")[:split].to_pylist()
-        h1, h2 = (group.column(c).to_numpy()[split:] for c in ("h1", "h2"))
+        h1, h2, bound = (group.column(c).to_numpy()[split:] for c in ("h1", "h2", "bound"))
         for i in range(0, len(q), 512):
             best = _best(q[i : i + 512], x, ids, keep)
-            yield _found([(int(h1[i + a]), int(h2[i + a]), s, 0, ids[b]) for a, b, s in best])
+            yield _found([(int(h1[i + a]), int(h2[i + a]), s, 0, ids[b]) for a, b, s in best if s >= bound[i + a]])
 
-    met = in_groups(mine.unionByName(theirs), ints, ["kind"], FOUND, compare)
+    near = stored(_top(searched(visited.where(F.col("turn") < FIRST).withColumn("bound", F.lit(-2.0))), keep), "first-found")
+    bounds = near.groupBy("h1", "h2").agg(F.min("score").alias("least"), F.count("*").alias("c"))
+    bounds = bounds.select("h1", "h2", F.when(F.col("c") >= keep, F.col("least")).otherwise(-2.0).alias("bound"))
+    rest = visited.where(F.col("turn") >= FIRST).join(bounds, ["h1", "h2"], "left").withColumn("bound", F.coalesce("bound", F.lit(-2.0)))
+    met = near.unionByName(searched(rest))
 
     def listed(group: pa.Table) -> Iterator[pa.RecordBatch]:
         pairs = [(-s, i) for s, ids in zip(group.column("score").to_pylist(), group.column("ids").to_pylist()) for i in ids]

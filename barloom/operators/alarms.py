@@ -88,6 +88,7 @@ def eval_alarm(
         .filter("_periods > 0")
         .select(*dims, "_hi", F.explode(F.sequence("_lo", "_hi", stretch)).alias("_from"))
         .withColumn("_to", F.least(F.col("_hi"), F.col("_from") + stretch - step))
+        .repartition(*dims, "_from")  # one series' stretches are laid out by many tasks
         .select(*dims, F.explode(F.sequence("_from", "_to", step)).alias("_second"))
         .withColumn("_on_grid", F.lit(True))
     )

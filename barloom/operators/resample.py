@@ -7,6 +7,8 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from barloom.operators.clean import fits
+
 # The bar lengths offered, in minutes.
 INTERVALS = {"1m": 1, "5m": 5, "1h": 60, "1d": 1440}
 
@@ -22,6 +24,24 @@ def _vwap() -> Column:
     return F.col("notional_units") / F.nullif(F.col("volume"), F.lit(0)) / PRICE_UNITS
 
 
+def usable_tick(ts: str, price: str, size: str) -> Column:
+    """A tick counts if its time, price and size are known, the price is a number within the stored type,
+    and price times size is a whole number that can be added up."""
+    units = F.when(fits(F.col(price)), _units(F.col(price)))
+    return F.col(ts).isNotNull() & F.try_multiply(units, F.col(size)).isNotNull()
+
+
+def unusable_ticks(
+    ticks: DataFrame, ts: str = "event_time", price: str = "price", size: str = "size"
+) -> DataFrame:
+    """The dead letters among ticks: what :func:`resample_ohlcv` leaves out, with the reason."""
+    missing = F.col(price).isNull() | F.isnan(price)
+    reason = (
+        F.when(F.col(ts).isNull(), "time").when(missing, "price").when(F.col(size).isNull(), "size").otherwise("range")
+    )
+    return ticks.filter(~usable_tick(ts, price, size)).withColumn("reason", reason)
+
+
 def tick_order(ts: str = "event_time", tie_breaker: str | None = None) -> Column:
     """What "first" and "last" tick mean: by time, then by a non-negative id.
 
@@ -72,8 +92,9 @@ def resample_ohlcv(
     One scan, one partial aggregation per map task, one shuffle of bars. A busy
     symbol is reduced to its bars before the shuffle. A stream groups by ``window``, which
     tells Spark when a bar is complete; a batch groups by the bar's start, a plain number.
+    Ticks that :func:`unusable_ticks` names are left out.
     """
-    ordered = ticks.select(
+    ordered = ticks.filter(usable_tick(ts, price, size)).select(
         key, ts, price, size, tick_order(ts, tie_breaker).alias("_nth")
     )
     if ticks.isStreaming:
@@ -84,8 +105,7 @@ def resample_ohlcv(
         )
     else:
         bars = (
-            ordered.filter(F.col(ts).isNotNull())
-            .groupBy(key, bar_start(F.col(ts), minutes).alias("bar_start"))
+            ordered.groupBy(key, bar_start(F.col(ts), minutes).alias("bar_start"))
             .agg(*aggregate_ticks(price, size, "_nth"))
         )
     return bars.select(key, *BAR, _vwap().alias("vwap"), "notional_units")

@@ -21,18 +21,18 @@ from barloom.operators.dedup import (
 )
 from barloom.operators.clean import usable
 from barloom.operators.derive import add_price_columns, add_session_column, add_time_columns
-from barloom.operators.resample import INTERVALS, daily_summary, resample_ohlcv, rollup_bars
+from barloom.operators.resample import INTERVALS, daily_summary, resample_ohlcv, rollup_bars, unusable_ticks
 from barloom.operators.retention import retention_tiers
 from barloom.operators.rolling import trailing_mean
 from barloom.plans import reports as R
 from barloom.plans.silver import distinct_bars, finish, silver
 from barloom.schemas import BRONZE, GOLD, SILVER
 from barloom.session import pin_utc, shared_path
-from barloom.sinks.tables import refresh_gold_date, refresh_gold_full, write_bronze
+from barloom.sinks.tables import refresh_gold_date, refresh_gold_full, write_bronze, write_silver
 from barloom.sources import derived as D
 from barloom.sources.envelopes import parse_prev_envelope, parse_snapshot_envelope
 from barloom.sources.messages import decode_messages, decode_stats, split_good_bad
-from barloom.sources.tables import read_bronze
+from barloom.sources.tables import read_bronze, register_table
 from barloom.sources.universe import restrict_to
 from barloom.streaming.bars import (
     start_to_parquet,
@@ -151,6 +151,63 @@ def incremental_silver(spark, sf):
     return read_silver(spark, out).select(*SILVER.fieldNames())
 
 
+def gold_date_emptied(spark, sf):
+    """Full load, then a refresh of the latest day from a silver that no longer has it."""
+    bars = _silver(spark, sf)
+    latest = bars.agg(F.max("trade_date").alias("d")).first().d
+    path = refresh_gold_full(bars, shared_path(spark, "gold"), "gold_bars")
+    refresh_gold_date(bars.filter(F.col("trade_date") < F.lit(latest)), path, latest)
+    return spark.read.schema(GOLD).parquet(path).select(*GOLD.fieldNames())
+
+
+def _late(bronze: DataFrame) -> F.Column:
+    """Every third hour and the first days: what a late delivery brings."""
+    hx = F.expr("timestamp div 3600000")
+    return (hx % 3 == 0) | (F.to_date(F.timestamp_millis("timestamp")) < F.lit("2024-01-04").cast("date"))
+
+
+def incremental_late_bars(spark, sf):
+    """Bars that come after the bars that follow them; their neighbours' means are mended."""
+    bronze = _bronze(spark, sf)
+    raw, out, state, done = (shared_path(spark, n) for n in ("raw", "silver", "tails", "files"))
+    for delivery in (bronze.filter(~_late(bronze)), bronze.filter(_late(bronze))):
+        write_bronze(delivery, raw, PROCESSED_AT)
+        run_incremental(spark, raw, out, state, done)
+    return read_silver(spark, out).select(*SILVER.fieldNames())
+
+
+def incremental_new_checkpoint(spark, sf):
+    """The second run has lost its checkpoint and state and reads everything again."""
+    bronze = _bronze(spark, sf)
+    raw, out = shared_path(spark, "raw"), shared_path(spark, "silver")
+    first = F.to_date(F.timestamp_millis("timestamp")) < F.lit(SPLIT_DAY).cast("date")
+    for delivery in (bronze.filter(first), bronze.filter(~first)):
+        write_bronze(delivery, raw, PROCESSED_AT)
+        run_incremental(spark, raw, out, shared_path(spark, "tails"), shared_path(spark, "files"))
+    return read_silver(spark, out).select(*SILVER.fieldNames())
+
+
+def silver_partitioned_report(spark, sf):
+    """The latest day of a silver table in date folders, of which one is read."""
+    path = shared_path(spark, "silver")
+    write_silver(_slim(spark, sf), path, ["trade_date"])
+    return R.on_day(register_table(spark, path, "silver_by_date")).select("symbol", "timestamp_ms", "close")
+
+
+def dead_letter_bars(spark, sf):
+    bad = unusable_bars(D.faulty_bronze(_bronze(spark, sf)))
+    return bad.select("symbol", "timestamp", "ingestion_time", "reason")
+
+
+def dead_letter_ticks(spark, sf):
+    return unusable_ticks(D.faulty_ticks(D.ticks_from_events(spark, sf))).select("tick_id", "reason")
+
+
+def ohlcv_1h_faulty_ticks(spark, sf):
+    ticks = D.faulty_ticks(D.ticks_from_events(spark, sf))
+    return resample_ohlcv(ticks, INTERVALS["1h"], tie_breaker="tick_id").select(*BAR_COLUMNS)
+
+
 def append_new(spark, sf):
     bars = _slim(spark, sf)
     stored = bars.filter(F.col("trade_date") < F.lit(SPLIT_DAY).cast("date"))
@@ -242,6 +299,30 @@ def stream_rolling(spark, sf):
     return spark.read.parquet(path).select("symbol", "timestamp", "volume", "avg_volume_10bar")
 
 
+def stream_rolling_late(spark, sf):
+    """As :func:`stream_rolling`, with every third hour and the first days delivered last."""
+    source, path = shared_path(spark, "stream-in"), shared_path(spark, "stream-out")
+    state, offsets = shared_path(spark, "tails"), shared_path(spark, "offsets")
+    bars = distinct_bars(_bronze(spark, sf)).select("symbol", "timestamp", "volume")
+    for part in (bars.filter(~_late(bars)), bars.filter(_late(bars))):
+        part.write.mode("append").parquet(source)
+        stream = spark.readStream.schema(part.schema).parquet(source)
+        _run(stream_rolling_volume(stream, path, state, offsets))
+    return spark.read.parquet(path).select("symbol", "timestamp", "volume", "avg_volume_10bar")
+
+
+def stream_bronze_two_runs(spark, sf):
+    """Two streams with a checkpoint each, both starting at batch 0, land in one bronze folder."""
+    bronze, bad = shared_path(spark, "bronze"), shared_path(spark, "quarantine")
+    records = _records(spark, sf)
+    half = F.crc32("sequenceNumber") % 2 == 0
+    for part in (records.filter(half), records.filter(~half)):
+        source = shared_path(spark, "messages")
+        part.write.parquet(source)
+        _run(stream_bronze(read_messages(spark, source), bronze, bad, shared_path(spark, "offsets")))
+    return read_bronze(spark, bronze).select(*BRONZE.fieldNames())
+
+
 def stream_ingest(spark, sf):
     """Transport records through the streaming ingest; bronze as it was written."""
     source, bronze, bad, offsets = (
@@ -325,7 +406,16 @@ QUERIES: dict[str, Query] = {
     "unusable_bars": lambda spark, sf: unusable_bars(_bronze(spark, sf)),
     "bronze_scan": bronze_scan,
     "gold_refresh": gold_refresh,
+    "gold_date_emptied": gold_date_emptied,
     "incremental_silver": incremental_silver,
+    "incremental_late_bars": incremental_late_bars,
+    "incremental_new_checkpoint": incremental_new_checkpoint,
+    "silver_partitioned_report": silver_partitioned_report,
+    "dead_letter_bars": dead_letter_bars,
+    "dead_letter_ticks": dead_letter_ticks,
+    "ohlcv_1h_faulty_ticks": ohlcv_1h_faulty_ticks,
+    "stream_rolling_late": stream_rolling_late,
+    "stream_bronze_two_runs": stream_bronze_two_runs,
     "append_new_only": append_new,
     "contract_violations": lambda spark, sf: check_contract(_unchecked(spark, sf)),
     "duplicate_keys": lambda spark, sf: duplicate_keys(_unchecked(spark, sf)),

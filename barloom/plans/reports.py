@@ -15,6 +15,7 @@ from barloom import functions as B
 from barloom.operators.resample import bar_start
 from barloom.operators.resample import daily_summary as collapse_days
 from barloom.operators.rolling import DAY_MS, trailing_mean
+from barloom.schemas import FOLDER_OF
 
 Day = date | str | None
 
@@ -28,12 +29,17 @@ SUMMARY_DAYS = 7
 
 def _day(bars: DataFrame, as_of: Day) -> Column:
     if as_of is None:
-        return bars.agg(F.max("trade_date")).scalar()
+        folder = FOLDER_OF["trade_date"]
+        return bars.agg(F.max(folder if folder in bars.columns else "trade_date")).scalar()
     return F.lit(as_of).cast("date")
 
 
 def on_day(bars: DataFrame, as_of: Day = None) -> DataFrame:
-    return bars.filter(F.col("trade_date") == _day(bars, as_of))
+    """Bars of one day; of a table in date folders, only that folder is read."""
+    day = _day(bars, as_of)
+    rows = bars.filter(F.col("trade_date") == day)
+    folder = FOLDER_OF["trade_date"]
+    return rows.filter(F.col(folder) == day) if folder in bars.columns else rows
 
 
 # --- bars ---------------------------------------------------------------------

@@ -8,9 +8,11 @@ from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from barloom.operators.contract import apply_defaults
-from barloom.schemas import BRONZE, GOLD, SILVER, conform
+from barloom.schemas import BRONZE, FOLDER_OF, GOLD, SILVER, conform
+from barloom.sources.files import remove
 
 
 def day_folders(at) -> dict:
@@ -23,17 +25,27 @@ def day_folders(at) -> dict:
 
 
 def write_bronze(
-    df: DataFrame, path: str, now: datetime | None = None, batch: str | None = None
+    df: DataFrame,
+    path: str,
+    now: datetime | None = None,
+    batch: str | None = None,
+    at: str | None = None,
 ) -> None:
     """Append raw bars under the year/month/day on which they are processed.
 
-    With ``batch`` the files sit one folder deeper and a repeat of the batch replaces
-    them. The batch is written as it is partitioned, so one day's files are spread over
-    all tasks. An empty batch writes nothing.
+    The day is that of ``now``, or of the column ``at``. With ``batch`` the files sit one
+    folder deeper and a repeat of the batch replaces them. The batch is written as it is
+    partitioned, so one day's files are spread over all tasks. An empty batch writes
+    nothing.
     """
-    at = (now or datetime.now(timezone.utc)).astimezone(timezone.utc)
-    folders = day_folders(F.lit(at.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp"))
-    rows = conform(df, BRONZE).withColumns(folders)
+    if at is None:
+        moment = (now or datetime.now(timezone.utc)).astimezone(timezone.utc)
+        folders = day_folders(F.lit(moment.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp"))
+        rows = conform(df, BRONZE).withColumns(folders)
+    else:
+        folders = day_folders(F.col(at))
+        rows = df.withColumns(folders)
+        rows = conform(rows, T.StructType([*BRONZE.fields, *(T.StructField(c, T.StringType()) for c in folders)]))
     by = list(folders)
     writer = rows.write.mode("append")
     if batch is not None:
@@ -46,10 +58,6 @@ def write_bronze(
     writer.partitionBy(*by).option("compression", "snappy").parquet(path)
 
 
-# Names of the folders a partitioned silver table may be split by.
-FOLDER_OF = {"trade_date": "by_date", "symbol": "by_symbol"}
-
-
 def write_silver(
     df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "append"
 ) -> None:
@@ -75,7 +83,7 @@ def layout_gold(df: DataFrame) -> DataFrame:
     third of all rows becomes many neighbouring files instead of one.
     """
     return df.repartitionByRange("symbol", "trade_date", "event_time").sortWithinPartitions(
-        "trade_date", "event_time"
+        "symbol", "trade_date", "event_time"
     )
 
 
@@ -108,8 +116,14 @@ def refresh_gold_full(silver: DataFrame, root: str, view: str) -> str:
 
 
 def refresh_gold_date(silver: DataFrame, path: str, day: date | str) -> None:
-    """Replace one date of the gold table and leave the other dates alone."""
+    """Replace one date of the gold table and leave the other dates alone.
+
+    A date without rows is removed.
+    """
     rows = silver.filter(F.col("trade_date") == F.lit(day).cast("date"))
+    if rows.isEmpty():
+        remove(silver.sparkSession, f"{path.rstrip('/')}/trade_date={day}")
+        return
     (
         _gold_rows(rows)
         .write.mode("overwrite")

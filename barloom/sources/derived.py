@@ -66,6 +66,33 @@ def bronze_from_events(spark: SparkSession, sf_dir: str, bar_minutes: int = 60)
     return bronze_from_ticks(ticks_from_events(spark, sf_dir), bar_minutes)
 
 
+def faulty_bronze(bronze: DataFrame, bar_minutes: int = 60) -> DataFrame:
+    """Raw bars some of which miss their key or hold prices that cannot be stored."""
+    hx = F.expr(f"timestamp div {bar_minutes * 60_000}")
+    return bronze.withColumns(
+        {
+            "open": F.when(hx % 19 == 0, F.lit(float("inf"))).otherwise(F.col("open")),
+            "high": F.when(hx % 31 == 0, F.lit(float("nan"))).otherwise(F.col("high")),
+            "close": F.when(hx % 29 == 0, F.lit(123_456_789.0)).otherwise(F.col("close")),
+            "symbol": F.when(hx % 23 != 0, F.col("symbol")),
+        }
+    )
+
+
+def faulty_ticks(ticks: DataFrame) -> DataFrame:
+    """Ticks some of which miss a price or a size or hold a price that cannot be stored."""
+    n = F.col("tick_id")
+    return ticks.withColumns(
+        {
+            "price": F.when(n % 41 == 0, F.lit(float("nan")))
+            .when(n % 43 == 0, F.lit(None))
+            .when(n % 47 == 0, F.lit(1e12))
+            .otherwise(F.col("price")),
+            "size": F.when(n % 53 != 0, F.col("size")),
+        }
+    )
+
+
 def bars_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily raw bars per supplier: many symbols, one bar a day.
 
@@ -113,8 +140,8 @@ def transport_from_bronze(
     data = to_base64(F.col("value"))
     if planted:
         data = (
-            F.when(F.col("hx") % 13 == 0, F.lit("!!!not-base64!!!"))
-            .when(F.col("hx") % 17 == 0, to_base64(F.lit("not json at all")))
+            F.when(F.col("hx") % 13 == 0, F.lit("?? no letters of that code ??"))
+            .when(F.col("hx") % 17 == 0, to_base64(F.lit("[ cut off here")))
             .otherwise(data)
         )
     return messages.select(

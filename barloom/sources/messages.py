@@ -57,10 +57,10 @@ def decode_messages(records: DataFrame, data: str = "data") -> DataFrame:
     )
 
 
-def split_good_bad(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Raw bars of the readable records, and the unreadable records as they came."""
+def split_good_bad(decoded: DataFrame, keep: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """Raw bars of the readable records (with the columns in ``keep``), and the unreadable records as they came."""
     good = decoded.filter(F.col("failure").isNull()).select(
-        *[F.col(f"bar.{c}").alias(c) for c in BRONZE.fieldNames()]
+        *[F.col(f"bar.{c}").alias(c) for c in BRONZE.fieldNames()], *keep
     )
     bad = decoded.filter(F.col("failure").isNotNull()).drop("bar")
     return good, bad

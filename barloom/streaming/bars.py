@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,6 +10,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from barloom.operators.resample import resample_ohlcv
 from barloom.operators.rolling import DAY_MS, trailing_mean
+from barloom.sources.files import complete_folders, exists, remove
+from barloom.streaming.late import late_symbols, revise
+from barloom.streaming.runs import batch_mark
 
 TAIL = T.StructType(
     [
@@ -83,33 +87,34 @@ def last_bars(bars: DataFrame, rows: int = 10, order: str = "timestamp") -> Data
 class TailStore:
     """The last bars of every symbol after each micro-batch, as one small folder per batch.
 
-    Batch ``n`` reads what batch ``n - 1`` left and writes its own folder, so running a
-    batch again gives the same result. Size: a few rows per symbol, however long the
-    stream.
+    A batch continues from the newest folder that another batch left, whichever run that
+    was, and writes its own, so running a batch again gives the same result. Size: a few
+    rows per symbol, however long the stream; old folders are removed.
     """
 
+    KEPT = 10
+
     def __init__(self, path: str, rows: int = 10):
         self.path = path.rstrip("/")
         self.rows = rows
 
-    def before(self, spark: SparkSession, batch_id: int) -> DataFrame | None:
-        if batch_id == 0:
-            return None
-        return spark.read.schema(TAIL).parquet(f"{self.path}/batch={batch_id - 1}")
+    def before(self, spark: SparkSession, mark: str) -> DataFrame | None:
+        others = [name for name in complete_folders(spark, self.path) if name != f"batch={mark}"]
+        return spark.read.schema(TAIL).parquet(f"{self.path}/{others[-1]}") if others else None
 
-    def save(self, bars: DataFrame, earlier: DataFrame | None, batch_id: int) -> None:
+    def save(self, bars: DataFrame, earlier: DataFrame | None, mark: str) -> None:
         slim = bars.select("symbol", "timestamp", "volume")
         if earlier is not None:
             slim = slim.unionByName(earlier)
-        last_bars(slim, self.rows).write.mode("overwrite").parquet(
-            f"{self.path}/batch={batch_id}"
-        )
+        last_bars(slim, self.rows).write.mode("overwrite").parquet(f"{self.path}/batch={mark}")
+        for name in complete_folders(bars.sparkSession, self.path)[: -self.KEPT]:
+            remove(bars.sparkSession, f"{self.path}/{name}")
 
 
-def write_batch(df: DataFrame, path: str, batch_id: int, by: tuple[str, ...] = ()) -> None:
+def write_batch(df: DataFrame, path: str, mark: str, by: tuple[str, ...] = ()) -> None:
     """Write a micro-batch so that a repeat of it replaces the first try."""
     (
-        df.withColumn("batch", F.lit(batch_id))
+        df.withColumn("batch", F.lit(mark))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*by, "batch")
@@ -128,16 +133,48 @@ def stream_rolling_volume(
     """Add the trailing mean to a stream of clean bars, across micro-batches.
 
     Each micro-batch runs the batch operator with the last bars before it as history,
-    so a busy symbol is spread over tasks here too. Equal to the batch result if no bar
-    arrives after the micro-batch of a later bar of its symbol.
+    so a busy symbol is spread over tasks here too. If bars come after later bars of
+    their symbol, they are placed among the stored ones and the means that they change are
+    written anew; so the table always equals the batch result.
     """
     tails = TailStore(state, rows)
+    schema = T.StructType(
+        [
+            *bars.schema.fields,
+            T.StructField("avg_volume_10bar", T.DoubleType()),
+            T.StructField("batch", T.StringType()),
+        ]
+    )
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        earlier = tails.before(batch.sparkSession, batch_id)
-        rolled = trailing_mean(batch, rows=rows, bucket_ms=bucket_ms, history=earlier)
-        write_batch(rolled, path, batch_id)
-        tails.save(batch, earlier, batch_id)
+        session = batch.sparkSession
+        mark = batch_mark(session, checkpoint, batch_id)
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            stored = (
+                session.read.schema(schema).parquet(path).filter(F.col("batch") != mark)
+                if exists(session, path)
+                else None
+            )
+            slim = stored.select("symbol", "timestamp", "volume") if stored is not None else None
+            earlier = tails.before(session, mark)
+            if earlier is None and slim is not None:  # the state was lost
+                earlier = last_bars(slim, rows)
+            history, symbols = earlier, None
+            if stored is not None:
+                symbols = late_symbols(batch, earlier)
+                if symbols.isEmpty():
+                    symbols = None
+                else:
+                    history = slim.join(symbols, "symbol", "left_semi").unionByName(
+                        earlier.join(symbols, "symbol", "left_anti")
+                    )
+            write_batch(trailing_mean(batch, rows=rows, bucket_ms=bucket_ms, history=history), path, mark)
+            tails.save(batch, earlier, mark)
+            if symbols is not None:  # last, as it replaces files that the steps before it read
+                revise(stored, batch, symbols, path, ("batch",), order="timestamp", rows=rows, bucket_ms=bucket_ms)
+        finally:
+            batch.unpersist()
 
     return (
         bars.writeStream.foreachBatch(process)

@@ -12,14 +12,17 @@ from barloom.operators.rolling import DAY_MS
 from barloom.plans.silver import distinct_bars, finish
 from barloom.schemas import BRONZE, SILVER
 from barloom.sinks.tables import FOLDER_OF
-from barloom.streaming.bars import TailStore, write_batch
+from barloom.sources.files import exists
+from barloom.streaming.bars import TailStore, last_bars, write_batch
+from barloom.streaming.late import late_symbols, revise
+from barloom.streaming.runs import batch_mark
 
 _BY_DATE = FOLDER_OF["trade_date"]
 _STORED = T.StructType(
     [
         *SILVER.fields,
         T.StructField(_BY_DATE, T.DateType()),
-        T.StructField("batch", T.LongType()),
+        T.StructField("batch", T.StringType()),
     ]
 )
 
@@ -42,35 +45,58 @@ def run_incremental(
     """Process the bronze files that no earlier run has seen; returns the rows added.
 
     Which files are done is in the checkpoint. Keys that silver already holds are left
-    out, looked up only in the dates the new bars fall on. The trailing mean continues
-    from the stored last bars of each symbol. A batch that is run again replaces what
-    its first try wrote.
+    out, whichever run wrote them, looked up only in the dates the new bars fall on. The
+    trailing mean continues from the stored last bars of each symbol; bars that come after
+    later ones change the means stored for those, which are written anew. A batch that is
+    run again replaces what its first try wrote; a new checkpoint adds nothing twice.
     """
     tails = TailStore(state)
     added = [0]
 
     def process(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        bars = distinct_bars(batch).withColumns(
+        mark = batch_mark(session, checkpoint, batch_id)
+        usable = distinct_bars(batch).withColumns(
             {"timestamp_ms": F.col("timestamp"), _BY_DATE: F.to_date(F.timestamp_millis("timestamp"))}
         )
-        if batch_id > 0:
-            stored = read_silver(session, silver).filter(F.col("batch") < batch_id)
-            bars = append_new_only(bars, stored, within=_BY_DATE)
+        usable = usable.persist(StorageLevel.MEMORY_AND_DISK)
+        stored = None
+        bars = usable
+        if exists(session, silver):
+            stored = read_silver(session, silver).filter(F.col("batch") != mark)
+            bars = append_new_only(usable, stored, within=_BY_DATE)
         bars = bars.select(*BRONZE.fieldNames()).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            earlier = tails.before(session, batch_id)
-            rows = finish(bars, history=earlier, market_hours=market_hours, bucket_ms=bucket_ms)
+            earlier = tails.before(session, mark)
+            history, symbols = earlier, None
+            if stored is not None:
+                slim = stored.select("symbol", F.col("timestamp_ms").alias("timestamp"), "volume")
+                if earlier is None:  # the state was lost
+                    earlier = history = last_bars(slim)
+                symbols = late_symbols(bars, earlier)
+                if symbols.isEmpty():
+                    symbols = None
+                else:
+                    history = slim.join(symbols, "symbol", "left_semi").unionByName(
+                        earlier.join(symbols, "symbol", "left_anti")
+                    )
+            rows = finish(bars, history=history, market_hours=market_hours, bucket_ms=bucket_ms)
             write_batch(
                 rows.withColumn(_BY_DATE, F.col("trade_date")).hint("rebalance", _BY_DATE),
                 silver,
-                batch_id,
+                mark,
                 by=(_BY_DATE,),
             )
-            tails.save(bars, earlier, batch_id)
+            tails.save(bars, earlier, mark)
+            if symbols is not None:  # last, as it replaces files that the steps before it read
+                revise(
+                    stored, bars, symbols, silver, (_BY_DATE, "batch"),
+                    order="timestamp_ms", rows=10, bucket_ms=bucket_ms,
+                )
             added[0] += bars.count()
         finally:
             bars.unpersist()
+            usable.unpersist()
 
     reader = spark.readStream.schema(BRONZE).option("recursiveFileLookup", "true")
     if max_files is not None:

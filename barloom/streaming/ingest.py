@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timezone
-
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from barloom.sinks.tables import write_bronze
 from barloom.sources.messages import decode_messages, split_good_bad
+from barloom.streaming.runs import batch_mark
 
 TRANSPORT = T.StructType(
     [
@@ -51,17 +50,20 @@ def stream_bronze(
     """Write readable records to bronze and the others, as they came, to quarantine.
 
     A micro-batch is parsed once and kept while both parts are written. Both writes
-    replace what an earlier try of the same batch left. A failing write fails the query,
-    and the batch runs again from the checkpoint.
+    replace what an earlier try of the same batch left and nothing else: folders are named after
+    the run and the batch, and the day is the one on which the batch was first
+    planned, which the checkpoint remembers. A failing write fails the query, and the
+    batch runs again from the checkpoint.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        mark = batch_mark(batch.sparkSession, checkpoint, batch_id)
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            good, bad = split_good_bad(batch)
-            write_bronze(good, bronze, datetime.now(timezone.utc), batch=str(batch_id))
+            good, bad = split_good_bad(batch, keep=["_planned"])
+            write_bronze(good, bronze, at="_planned", batch=mark)
             (
-                bad.withColumn("batch", F.lit(batch_id))
+                bad.drop("_planned").withColumn("batch", F.lit(mark))
                 .write.mode("overwrite")
                 .option("partitionOverwriteMode", "dynamic")
                 .partitionBy("batch")
@@ -72,6 +74,7 @@ def stream_bronze(
 
     return (
         observed(records)
+        .withColumn("_planned", F.current_timestamp())
         .writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

@@ -1,0 +1,74 @@
+"""Trailing means that stay right when bars arrive after later ones were stored."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from barloom.operators.rolling import trailing_mean
+from barloom.session import shared_path
+
+
+def late_symbols(new: DataFrame, tails: DataFrame) -> DataFrame:
+    """Symbols with a new bar (symbol, timestamp) before the last one known."""
+    last = tails.groupBy("symbol").agg(F.max("timestamp").alias("_last"))
+    return new.join(last, "symbol").filter("timestamp < _last").select("symbol").distinct()
+
+
+def revise(
+    stored: DataFrame,
+    new: DataFrame,
+    symbols: DataFrame,
+    path: str,
+    by: tuple[str, ...],
+    *,
+    order: str,
+    rows: int,
+    bucket_ms: int,
+    out: str = "avg_volume_10bar",
+) -> None:
+    """Rewrite the folders of ``stored`` that hold a bar whose mean the new bars change.
+
+    ``stored`` is what lies at ``path`` without the batch at hand, ``by`` its folder columns. Means
+    are computed again from the volumes of the late symbols, so doing it twice changes nothing.
+    Other folders are not touched. The rewritten rows pass through a folder of their own,
+    because files cannot be replaced while they are read.
+    """
+    spark = stored.sparkSession
+    slim = stored.select("symbol", F.col(order).alias("timestamp"), "volume", F.col(out).alias("_was"), *by)
+    again = trailing_mean(
+        slim.join(symbols, "symbol", "left_semi"),
+        rows=rows,
+        out="_mean",
+        bucket_ms=bucket_ms,
+        history=new.join(symbols, "symbol", "left_semi").select("symbol", "timestamp", "volume"),
+    )
+    kind = stored.schema[out].dataType
+    changed = again.withColumn("_mean", F.col("_mean").try_cast(kind)).filter(~F.col("_mean").eqNullSafe(F.col("_was")))
+    marks = shared_path(spark, "changed-means")
+    changed.select("symbol", "timestamp", "_mean", *by).write.parquet(marks)
+    changed = spark.read.schema(
+        f"symbol string, timestamp bigint, _mean {kind.simpleString()}, "
+        + ", ".join(f"{c} {stored.schema[c].dataType.simpleString()}" for c in by)
+    ).parquet(marks)
+    fixed = (
+        stored.join(changed.select(*by).distinct(), list(by), "left_semi")
+        .join(
+            changed.select("symbol", F.col("timestamp").alias(order), "_mean", F.lit(True).alias("_changed")),
+            ["symbol", order],
+            "left",
+        )
+        .withColumn(out, F.when(F.col("_changed"), F.col("_mean")).otherwise(F.col(out)))
+        .select(*stored.columns)
+    )
+    between = shared_path(spark, "revised")
+    fixed.write.parquet(between)
+    (
+        spark.read.schema(stored.schema)
+        .parquet(between)
+        .hint("rebalance", *by)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*by)
+        .parquet(path)
+    )

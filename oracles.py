@@ -241,8 +241,8 @@ def oracle_sql() -> dict[str, str]:
         "decoded_bars": f"{HOURLY},{RECORDS.format(ms=hour)} "
         f"SELECT {BRONZE_COLUMNS} FROM records WHERE failure IS NULL",
         "quarantined_records": f"""{HOURLY},{RECORDS.format(ms=hour)}
-SELECT symbol AS key, CASE failure WHEN 'encoding' THEN '!!!not-base64!!!'
-         ELSE base64(CAST('not json at all' AS BLOB)) END AS data,
+SELECT symbol AS key, CASE failure WHEN 'encoding' THEN '?? no letters of that code ??'
+         ELSE base64(CAST('[ cut off here' AS BLOB)) END AS data,
        symbol || '-' || timestamp || '-' || ingestion_time AS "sequenceNumber",
        CAST(ingestion_time AS DOUBLE) / 1000 AS "approximateArrivalTimestamp", failure
 FROM records WHERE failure IS NOT NULL""",
@@ -251,7 +251,36 @@ FROM records WHERE failure IS NOT NULL""",
         "bronze_scan": f"{HOURLY} SELECT {BRONZE_COLUMNS}, 2024 AS year, 2 AS month, 1 AS day "
         "FROM bronze",
         "gold_refresh": f"{SILVER} SELECT * REPLACE (COALESCE(volume, 0) AS volume) FROM silver",
+        "gold_date_emptied": f"{SILVER} SELECT * REPLACE (COALESCE(volume, 0) AS volume) FROM silver "
+        "WHERE trade_date <> (SELECT MAX(trade_date) FROM silver)",
         "incremental_silver": f"{SILVER} SELECT * FROM silver",
+        "incremental_late_bars": f"{SILVER} SELECT * FROM silver",
+        "incremental_new_checkpoint": f"{SILVER} SELECT * FROM silver",
+        "silver_partitioned_report": f"{SILVER} SELECT symbol, timestamp_ms, close FROM silver WHERE {DAY}",
+        "dead_letter_bars": f"""{HOURLY},
+planted AS (
+  SELECT CASE WHEN hx % 23 <> 0 THEN symbol END AS symbol, timestamp, ingestion_time,
+         CASE WHEN hx % 19 = 0 THEN 'infinity'::DOUBLE ELSE open END AS open,
+         CASE WHEN hx % 31 = 0 THEN 'nan'::DOUBLE ELSE high END AS high, low,
+         CASE WHEN hx % 29 = 0 THEN 123456789.0 ELSE close END AS close
+  FROM (SELECT *, timestamp // 3600000 AS hx FROM bronze))
+SELECT * FROM (
+  SELECT symbol, timestamp, ingestion_time,
+         CASE WHEN symbol IS NULL THEN 'key'
+              WHEN open IS NULL OR high IS NULL OR low IS NULL OR close IS NULL OR isnan(open) OR isnan(high)
+                   OR isnan(low) OR isnan(close) THEN 'prices'
+              WHEN isinf(open) OR abs(close) >= 100000000 THEN 'range' END AS reason
+  FROM planted) WHERE reason IS NOT NULL""",
+        "dead_letter_ticks": f"""WITH {TICKS}
+SELECT * FROM (
+  SELECT tick_id, CASE WHEN tick_id % 41 = 0 OR tick_id % 43 = 0 OR price IS NULL THEN 'price'
+              WHEN tick_id % 53 = 0 OR size IS NULL THEN 'size'
+              WHEN tick_id % 47 = 0 THEN 'range' END AS reason FROM ticks) WHERE reason IS NOT NULL""",
+        "ohlcv_1h_faulty_ticks": _ohlcv(60).replace(
+            "FROM events)",
+            "FROM events WHERE event_id % 41 <> 0 AND event_id % 43 <> 0 AND event_id % 47 <> 0 AND event_id % 53 <> 0)",
+            1,
+        ),
         "append_new_only": f"{SILVER} SELECT symbol, timestamp_ms, trade_date, close FROM silver "
         "WHERE trade_date >= DATE '2024-01-16'",
         "contract_violations": _violations(),
@@ -395,6 +424,10 @@ WHERE timestamp <= (SELECT MAX(timestamp) FROM bronze) - 86400000
 QUALIFY row_number() OVER (PARTITION BY symbol, timestamp ORDER BY ingestion_time) = 1""",
         "stream_rolling_volume": f"{KEPT} SELECT symbol, timestamp, volume, {HISTORY_MEAN} "
         "AS avg_volume_10bar FROM kept",
+        "stream_rolling_late": f"{KEPT} SELECT symbol, timestamp, volume, {HISTORY_MEAN} "
+        "AS avg_volume_10bar FROM kept",
+        "stream_bronze_two_runs": f"{HOURLY},{RECORDS.format(ms=hour)} "
+        f"SELECT {BRONZE_COLUMNS} FROM records WHERE failure IS NULL",
         "stream_bronze": f"{HOURLY},{RECORDS.format(ms=hour)} "
         f"SELECT {BRONZE_COLUMNS} FROM records WHERE failure IS NULL",
     }

@@ -1,12 +1,14 @@
-"""Every registered query against its SQL twin."""
+"""Every query of the catalogue against its SQL twin."""
 
 import pytest
 from compare import connect, differences, run_sql
 
 import __spark_entry__ as entry_points
+import oracles
+from barloom.plans.catalog import catalog
 
-QUERIES = entry_points.queries()
-ORACLES = entry_points.oracle_sql()
+QUERIES = catalog()
+ORACLES = oracles.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -14,8 +16,9 @@ def con(sf_dir):
     return connect(sf_dir)
 
 
-def test_every_query_has_a_twin():
+def test_every_query_has_a_twin_and_is_registered():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry_points.queries()) and set(ORACLES) <= set(entry_points.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

@@ -67,6 +67,20 @@ def test_unusable_rows_are_told_apart(spark):
     assert sorted(r.reason for r in unusable_bars(df).collect()) == ["key", "key", "prices", "prices"]
 
 
+@pytest.mark.parametrize("price", [math.inf, -math.inf, 123_456_789.0, -1e300, 99_999_999.99996])
+def test_prices_that_silver_cannot_hold_are_dead_letters(spark, price):
+    df = bronze(spark, [bar(open=price), bar(timestamp=2, high=price), bar(timestamp=3)])
+    assert [r.reason for r in unusable_bars(df).collect()] == ["range", "range"]
+    rows = silver(df).collect()
+    assert len(rows) == 1 and rows[0].open is not None
+
+
+@pytest.mark.parametrize("vwap", [math.nan, math.inf, 1e12, None])
+def test_close_stands_in_for_a_vwap_that_is_no_price(spark, vwap):
+    row = silver(bronze(spark, [bar(vwap=vwap)])).first()
+    assert row.vwap == row.close
+
+
 def test_silver_columns(spark):
     out = silver(bronze(spark, RAW))
     assert out.schema.simpleString() == SILVER.simpleString()

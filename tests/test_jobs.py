@@ -40,22 +40,21 @@ def test_shared_folder_is_the_one_the_session_names(spark):
     assert a != b and a.startswith(named)
 
 
-def test_a_cluster_must_name_its_shared_folder():
-    class Conf:
+def test_without_the_setting_files_go_to_the_warehouse(spark, tmp_path):
+    class Unset:
         def get(self, key):
-            return None
-
-    class Context:
-        master = "yarn"
+            return f"{tmp_path}/warehouse" if key == "spark.sql.warehouse.dir" else None
 
         def getConf(self):
-            return Conf()
+            return self
 
         def getCheckpointDir(self):
             return None
 
     class Session:
-        sparkContext = Context()
+        sparkContext = conf = Unset()
 
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        shared_root(Session())
+    root = shared_root(Session())
+    assert root.startswith(f"{tmp_path}/warehouse/")
+    spark.range(3).write.parquet(f"{root}/some")
+    assert spark.read.parquet(f"{root}/some").count() == 3

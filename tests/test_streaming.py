@@ -160,3 +160,36 @@ def test_incremental_equals_one_batch_and_a_rerun_adds_nothing(spark, tmp_path):
     want = silver(bronze(spark, rows))
     assert sorted(got.collect(), key=repr) == sorted(want.collect(), key=repr)
     assert {p.name for p in Path(args[1]).glob("by_date=*")} and distinct_bars(bronze(spark, rows)).count() == got.count()
+
+
+def test_two_runs_into_one_silver(spark, tmp_path):
+    rows = [bar(symbol=s, timestamp=t * 5 * HOUR, volume=float(t % 7)) for t in range(60) for s in "AB"]
+    raw, out = str(tmp_path / "raw"), str(tmp_path / "silver")
+    parts = [rows[0::3], rows[1::3], rows]
+    for i, part in enumerate(parts):  # a new checkpoint and no state each time, late bars in the second and third
+        write_bronze(bronze(spark, part), raw)
+        run_incremental(spark, raw, out, str(tmp_path / f"state{i}"), str(tmp_path / f"cp{i}"))
+    got = read_silver(spark, out).select(*SILVER.fieldNames())
+    assert sorted(got.collect(), key=repr) == sorted(silver(bronze(spark, rows)).collect(), key=repr)
+
+
+def test_a_late_bar_mends_the_means_after_it(spark, tmp_path):
+    rows = [bar(timestamp=T0 + i * 60_000, volume=float(i)) for i in range(30)]
+    args = [str(tmp_path / n) for n in ("raw", "silver", "state", "cp")]
+    for part in ([r for i, r in enumerate(rows) if i not in (0, 5)], [rows[5]], [rows[0]]):
+        write_bronze(bronze(spark, part), args[0])
+        assert run_incremental(spark, *args) == len(part)
+    got = read_silver(spark, args[1]).select(*SILVER.fieldNames())
+    assert sorted(got.collect(), key=repr) == sorted(silver(bronze(spark, rows)).collect(), key=repr)
+
+
+def test_a_batch_keeps_its_day_when_it_is_tried_again(spark, tmp_path):
+    deliver(messages(spark, b64(json.dumps(PAYLOAD)), *BAD), tmp_path / "in")
+    (tmp_path / "bad").write_text("in the way")
+    with pytest.raises(Exception):
+        ingest(spark, tmp_path)  # bronze is written, quarantine is not
+    day = {p.relative_to(tmp_path) for p in (tmp_path / "bronze").rglob("batch=*")}
+    (tmp_path / "bad").rename(tmp_path / "elsewhere")
+    ingest(spark, tmp_path)
+    assert {p.relative_to(tmp_path) for p in (tmp_path / "bronze").rglob("batch=*")} == day
+    assert read_bronze(spark, str(tmp_path / "bronze")).count() == 1

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from barloom.operators.contract import apply_defaults, check_contract, evolution_errors
 from barloom.operators.retention import retention_tier, unexpired
+from barloom.plans.reports import on_day
 from barloom.plans.silver import silver
 from barloom.schemas import BRONZE, GOLD, SILVER
 from barloom.sinks.tables import (
@@ -124,7 +125,7 @@ def test_layout_sorts_and_splits_a_hot_symbol(spark, tmp_path):
     for r in rows:
         by_part.setdefault(r.p, []).append(r)
     for part in by_part.values():
-        keys = [(r.trade_date, r.event_time) for r in part]
+        keys = [(r.symbol, r.trade_date, r.event_time) for r in part]
         assert keys == sorted(keys)
     hot_parts = [p for p, rs in by_part.items() if any(r.symbol == "HOT" for r in rs)]
     assert len(rows) == 20_000
@@ -176,3 +177,20 @@ def test_retention(spark):
     got = [r.t for r in df.select(retention_tier(F.col("trade_date"), as_of).alias("t")).collect()]
     assert got == ["hot", "hot", "cold", "cold", "expired"]
     assert unexpired(df, as_of).count() == 4
+
+
+def test_an_emptied_date_leaves_gold(spark, tmp_path, bars):
+    path = refresh_gold_full(bars, str(tmp_path / "gold"), "gold_to_empty")
+    refresh_gold_date(bars.filter("trade_date <> '1970-01-03'"), path, "1970-01-03")
+    left = {str(r.trade_date) for r in spark.read.parquet(path).select("trade_date").distinct().collect()}
+    assert left == {"1970-01-02", "1970-01-04"}
+
+
+@pytest.mark.parametrize("as_of", [None, "1970-01-03"])
+def test_a_day_of_partitioned_silver_is_one_folder(spark, tmp_path, bars, as_of):
+    path = str(tmp_path / "silver")
+    write_silver(bars, path, ["trade_date"])
+    day = on_day(register_table(spark, path, "silver_to_prune"), as_of)
+    assert {str(r.trade_date) for r in day.collect()} == {as_of or "1970-01-04"} and day.count() == 10
+    plan = day._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(by_date" in plan

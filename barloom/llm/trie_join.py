@@ -14,8 +14,8 @@ documents whose prefix holds fewer shingles that others post have no partner and
 Groups of thousands of near copies would make every posting quadratic. So each node is first compared with
 one node, of the lowest-priority nodes of its postings the one it meets most often, and linked if it is similar
 enough; only postings that still hold nodes of different groups are walked. Postings that hang together are one
-family and share one trie, so that a set is sent once; where a family is too large for a task its postings are
-walked one by one, equal ones once, long ones in blocks of neighbouring sizes. A walk skips subtrees that lie in the
+family and share one trie, so that a set is sent once; a family too large for a task is walked in blocks of neighbouring
+sizes, and beyond some blocks by its single postings, equal ones once, long ones in such blocks. A walk skips subtrees that lie in the
 probe's group already: links inside a group cannot change any group, links between groups are all found.
 
 Texts that are null or hold no word have the empty set and are linked with nothing. Rows that repeat a key are
@@ -38,8 +38,8 @@ from barloom.llm.shingle_sets import Shingler
 
 #: Cells of the sketch of document counts, and the rows it travels in.
 CELLS, PARTS = 1 << 18, 16
-#: Sets in one walk, and tokens in one step of it.
-BLOCK, STEP = 1500, 64
+#: Sets in one block, blocks a family may have, and tokens in one step of a walk.
+BLOCK, BLOCKS, STEP = 1500, 16, 64
 NO_KEY = (1 << 63) - 1
 #: Percent of a set that its prefix is longer than it had to be.
 MARGIN = 6
@@ -184,27 +184,30 @@ class Trie:
         return np.concatenate(found)
 
 
-def join_group(sets: list[np.ndarray], labels: np.ndarray, cells: np.ndarray, percent: int, probes: range | None = None) -> list[tuple[int, int]]:
-    """Links between sets (hashes in any order) of different labels, enough to connect all that are linked."""
+def join_group(sets: list[np.ndarray], labels: np.ndarray, cells: np.ndarray, percent: int, split: int = 0) -> list[tuple[int, int]]:
+    """Links between sets (hashes in any order) of different labels, enough to connect all that are linked.
+
+    With ``split`` only the sets before it are compared with those from it on.
+    """
     hashes, ranks = np.unique(np.concatenate(sets), return_inverse=True)
     rank = np.empty(len(hashes), np.int64)
     rank[in_order(hashes, cells)] = np.arange(len(hashes))
     sequences = [np.sort(s) for s in np.split(rank[ranks], np.cumsum([len(s) for s in sets])[:-1])]
-    trie = Trie(sequences)
+    trie = Trie(sequences[split:])
     links, labels = [], labels.copy()
-    trie.group(labels)
-    for i in probes or range(len(sets)):
+    trie.group(labels[split:])
+    for i in range(split or len(sets)):
         held = np.zeros(len(hashes), bool)
         held[sequences[i]] = True
         moved = False
-        for j in trie.walk(sequences[i], held, labels[i], percent).tolist():
+        for j in (trie.walk(sequences[i], held, labels[i], percent) + split).tolist():
             if labels[i] != labels[j]:
                 links.append((i, j))
                 low, high = sorted((labels[i], labels[j]))
                 labels[labels == high] = low
                 moved = True
         if moved:
-            trie.group(labels)
+            trie.group(labels[split:])
     return links
 
 
@@ -340,7 +343,7 @@ def groups(docs: DataFrame, width: int = 5, percent: int = 80, key: str = "doc_i
     tied = rows.join(tied, "token").where("doc <> least").select("doc", "least").distinct()
     family = stored(components(tied, "doc", "least").select(F.col("node").alias("doc"), F.col("component").alias("family")), "families")
     sizes = family.groupBy("family").agg(F.count("*").alias("members"))
-    small = family.join(sizes.where(F.col("members") <= BLOCK), "family").select("doc", F.col("family").alias("token"), F.col("members").alias("size"))
+    small = family.join(sizes.where(F.col("members") <= BLOCK * BLOCKS), "family").select("doc", F.col("family").alias("token"), F.col("members").alias("size"))
     once = rows.select("doc", "n", "component").distinct().join(small, "doc").select("token", "doc", "n", "component", "size")
     apart = rows.join(small.select("doc"), "doc", "left_anti").select("token", "doc", "n", "component", "size")
     rows = stored(once.unionByName(apart), "walk-families")
@@ -380,10 +383,12 @@ def _walked(rows: DataFrame, sets: DataFrame, cells: np.ndarray, percent: int) -
     other = ranges.select("token", F.col("block").alias("upper"), F.col("least").alias("other_least"))
     # sizes grow with the blocks: a block meets those above it that its largest set can still be similar to
     meet = ranges.join(other, "token").where((F.col("upper") >= F.col("block")) & (100 * F.col("most") >= percent * F.col("other_least")))
-    left = blocks.join(meet.select("token", "block", "upper"), ["token", "block"]).select("token", "block", "upper", "doc", "component")
+    left = blocks.join(meet.select("token", "block", "upper"), ["token", "block"])
+    left = left.select("token", "block", "upper", F.lit(0).alias("side"), "doc", "component")
     right = blocks.withColumnRenamed("block", "upper").join(meet.where("upper > block").select("token", "block", "upper"), ["token", "upper"])
-    dealt = left.unionByName(right.select("token", "block", "upper", "doc", "component"))
-    short = rows.where(F.col("size") <= BLOCK).select("token", F.lit(0).cast("long").alias("block"), F.lit(0).cast("long").alias("upper"), "doc", "component")
+    dealt = left.unionByName(right.select("token", "block", "upper", F.lit(1).alias("side"), "doc", "component"))
+    none = F.lit(0).cast("long")
+    short = rows.where(F.col("size") <= BLOCK).select("token", none.alias("block"), none.alias("upper"), F.lit(0).alias("side"), "doc", "component")
     full = short.unionByName(dealt).join(sets, "doc")
 
     def walk(group: pa.Table) -> Iterator[pa.RecordBatch]:
@@ -392,9 +397,10 @@ def _walked(rows: DataFrame, sets: DataFrame, cells: np.ndarray, percent: int) -
             return
         docs = group.column("doc").to_numpy()
         held = [np.frombuffer(x.as_buffer(), np.uint64) for x in group.column("shingles")]
-        links = join_group(held, labels, cells, percent)
+        split = int(np.searchsorted(group.column("side").to_numpy(), 1)) % len(held)
+        links = join_group(held, labels, cells, percent, split)
         if links:
             a, b = np.array(links).T
             yield pa.RecordBatch.from_arrays([pa.array(docs[a], pa.int64()), pa.array(docs[b], pa.int64())], ["a", "b"])
 
-    return in_groups(full, ["token", "block", "upper"], [], "a long, b long", walk)
+    return in_groups(full, ["token", "block", "upper"], ["side"], "a long, b long", walk)

@@ -64,6 +64,11 @@ def test_walks_against_all_pairs(percent):
         found = T.join_group([np.array(sorted(s), np.uint64) for s in own], labels, cells, percent)
         assert set(found) <= {p for a, b in pairs for p in ((a, b), (b, a))}
         assert roots(labels.tolist(), found) == roots(labels.tolist(), pairs)
+        half = len(own) // 2
+        if half:
+            across = [p for p in pairs if (p[0] < half) != (p[1] < half)]
+            found = T.join_group([np.array(sorted(s), np.uint64) for s in own], labels, cells, percent, half)
+            assert roots(labels.tolist(), found) == roots(labels.tolist(), across)
 
 
 def test_query_against_all_pairs(spark, sf_dir):
@@ -71,9 +76,10 @@ def test_query_against_all_pairs(spark, sf_dir):
     assert got(op4_trie_join(spark, sf_dir)) == plain(texts, 3, 90)
 
 
-@pytest.mark.parametrize("block, width, percent", [(4, 3, 80), (1500, 5, 80)])
+@pytest.mark.parametrize("block, width, percent", [(4, 3, 80), (8, 3, 80), (1500, 5, 80)])
 def test_families_of_near_copies(spark, monkeypatch, block, width, percent):
     monkeypatch.setattr(T, "BLOCK", block)
+    monkeypatch.setattr(T, "BLOCKS", 16 if block > 4 else 1)
     rng = random.Random(block)
     texts, key = {}, 0
     for family in range(4):

@@ -231,10 +231,12 @@ def search(vectors: DataFrame, query: Column, key: str = "vec_id", vector: str =
     rows = packed(vectors, key, vector, sizes["n"])
     whole = stored(entries(rows, keep), "entries")
     n = whole.count()
+    if not n:
+        return spark.createDataFrame([], out)
     sample = [r[0] for r in whole.select("vec").orderBy(F.xxhash64("h1"), "h1", "h2").limit(SAMPLE).collect()]
     fitted = np.frombuffer(b"".join(sample), np.float64).reshape(len(sample), -1)
     leaves = min(LEAVES, max(1, int(SPREAD * n**0.5)))
-    tree = Tree(fitted, max(2, len(sample) // leaves)) if len(sample) else Tree(np.zeros((0, sizes["n"])), 1)
+    tree = Tree(fitted, max(2, len(sample) // leaves))
 
     def place(batch: pa.RecordBatch) -> pa.RecordBatch:
         leaf = tree.assign(_matrix(batch.column(0))) if batch.num_rows else np.zeros(0, np.int64)

@@ -1,7 +1,7 @@
 """Time the headline queries and print one JSON line.
 
 BENCH_SF_DIR names the tables (default sf 0.1), BENCH_CPUS the cores, BENCH_RUNS the timed
-runs per query after one warm-up; the figure is their median.
+runs per query after one warm-up; the figure is their median, the spread their range.
 """
 
 from __future__ import annotations
@@ -9,13 +9,12 @@ from __future__ import annotations
 import json
 import os
 import statistics
-import tempfile
 import time
 
 from barloom.plans import reports as R
 from barloom.plans.catalog import QUARTER_MS, catalog
 from barloom.plans.silver import silver
-from barloom.session import local_session
+from barloom.session import local_session, shared_path
 from barloom.sinks.tables import layout_gold
 from barloom.sources.derived import bars_from_lineitem
 
@@ -61,24 +60,27 @@ STORED = {
 }
 
 
-def timed(run) -> float:
+SPREAD: dict[str, float] = {}
+
+
+def timed(name: str, run) -> float:
     taken = []
     for _ in range(RUNS + 1):
         start = time.perf_counter()
         run().write.format("noop").mode("overwrite").save()
         taken.append(time.perf_counter() - start)
+    SPREAD[name] = round(max(taken[1:]) - min(taken[1:]), 3)
     return round(statistics.median(taken[1:]), 3)
 
 
 def main() -> None:
-    shared = tempfile.mkdtemp(prefix="barloom-bench-")
-    spark = local_session(CPUS, partitions=int(CPUS), spark__checkpoint__dir=shared)
+    spark = local_session(CPUS, partitions=int(CPUS))
     queries = catalog()
-    seconds = {name: timed(lambda q=queries[name]: q(spark, SF_DIR)) for name in WHOLE}
-    table = f"{shared}/stored-bars"
+    seconds = {name: timed(name, lambda q=queries[name]: q(spark, SF_DIR)) for name in WHOLE}
+    table = shared_path(spark, "stored-bars")
     layout_gold(silver(bars_from_lineitem(spark, SF_DIR), bucket_ms=QUARTER_MS)).write.parquet(table)
     for name, report in STORED.items():
-        seconds[name] = timed(lambda r=report: r(spark.read.parquet(table)))
+        seconds[name] = timed(name, lambda r=report: r(spark.read.parquet(table)))
     print(
         json.dumps(
             {
@@ -86,6 +88,7 @@ def main() -> None:
                 "value": round(sum(seconds.values()), 3),
                 "unit": "sec",
                 "queries": seconds,
+                "spread": SPREAD,
                 "sf": SF_DIR.rstrip("/").rsplit("sf", 1)[-1],
                 "cpus": int(CPUS),
             }

@@ -3,8 +3,10 @@
 A text is read as lines, and lines as sentences. Units are normalised (lower case, single spaces) and
 hashed to 128 bits; digests are grouped over all documents and the document of the lowest rank
 keeps the unit, all others lose it; within one document the first place keeps it. Units of fewer than
-three words are too common to count: they go with the units around them. A run of repeated
-units goes only if it has eight words in all, so a chance repetition of a short sentence stays.
+three words are too common to count alone: they are looked up joined with their neighbours, in windows of
+eight words or more that start or end at them. Between removed units, fewer than eight words in such units go
+along. A run of repeated units goes only if it has eight words in all, so a chance repetition of a short
+sentence stays. Words are counted by spaces, and by letters in scripts that have none.
 
 What each document loses is reported as spans of its original text, with the document that keeps the
 unit. Digests are counted map-side first and joined back by shuffle, which Spark splits where one line
@@ -26,22 +28,64 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CUT = re.compile(r"\n|(?<=[.!?])\s+")
+CUT = re.compile(r"\n|(?<=[.!?])\s+|(?<=[\u3002\uff01\uff1f\uff61])")
+#: Letters of scripts written without spaces, and how many of them count as a word.
+UNSPACED = (
+    (re.compile("[\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9d\U00020000-\U0003ffff]"), 2),
+    (re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff]"), 4),
+)
 #: Words a unit needs to be looked up, and words a run of repeated units needs to be removed.
 MIN_UNIT, MIN_RUN = 3, 8
 LAST = (1 << 63) - 1
 SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("first", pa.int64())]))
 
 
-def units(text: str) -> Iterator[tuple[int, int, int, bytes | None]]:
-    """(start, end, words, digest) of the units, which together are the text; short units have no digest."""
-    at = 0
+def _count(words: list[str], unspaced: bool) -> int:
+    """Words in ``words``; in scripts without spaces two ideographs or kana, or four other letters, make one."""
+    n = len(words)
+    for word in words if unspaced else ():
+        n += max(0, sum(len(r.findall(word)) // per for r, per in UNSPACED) - 1)
+    return n
+
+
+def pieces(text: str) -> tuple[list[tuple[int, int, int, bytes | None]], list[tuple[int, int, bytes]]]:
+    """(start, end, words, digest) of the units, which together are the text, and (first, last, digest) of the windows.
+
+    A short unit has no digest. It starts a window and ends one: its neighbours are joined to it until
+    there are MIN_RUN words. A window's digest is of its units.
+    """
+    found, bodies, at = [], [], 0
+    unspaced = not text.isascii() and any(r.search(text) for r, _ in UNSPACED)
     for end in [*(m.end() for m in CUT.finditer(text)), len(text)]:
         if end > at:
             words = text[at:end].lower().split()
-            digest = xxhash.xxh3_128_digest(" ".join(words).encode()) if len(words) >= MIN_UNIT else None
-            yield at, end, len(words), digest
+            body, n = " ".join(words).encode(), _count(words, unspaced)
+            found.append((at, end, n, xxhash.xxh3_128_digest(body) if n >= MIN_UNIT else None))
+            bodies.append(body)
             at = end
+    sizes, spans = [u[2] for u in found], set()
+    for i, n in enumerate(sizes):
+        if 0 < n < MIN_UNIT:
+            for step in (1, -1):
+                j, total = i, n
+                while total < MIN_RUN and 0 <= j + step < len(found):
+                    j += step
+                    total += sizes[j]
+                if total >= MIN_RUN:
+                    spans.add((min(i, j), max(i, j)))
+    windows = []
+    for i, j in sorted(spans):
+        joined = [found[k][3] or bodies[k] for k in range(i, j + 1) if sizes[k]]
+        windows.append((i, j, xxhash.xxh3_128_digest(b"\n".join([b"", *joined]))))
+    return found, windows
+
+
+def units(text: str) -> Iterator[tuple[int, int, int, bytes | None]]:
+    """(start, end, words, digest) of the units, which together are the text; then of each window, at the end and empty."""
+    found, windows = pieces(text)
+    yield from found
+    for _, _, digest in windows:
+        yield len(text), len(text), 0, digest
 
 
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -59,24 +103,37 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def removals(text: str, taken: dict[bytes, int], key: int) -> list[tuple[int, int, int]]:
     """Spans of ``text`` to remove: units in ``taken`` (digest to owner) and later ones of its own."""
-    found = list(units(text))
+    found, windows = pieces(text)
     seen: set[bytes] = set()
     owners: list[int | None] = []
     for _, _, _, digest in found:
         owners.append(taken.get(digest, key if digest in seen else None) if digest else None)
         if digest:
             seen.add(digest)
+    ends: dict[bytes, int] = {}  # last unit of a window's first place, which stays
+    for i, j, digest in windows:
+        owner, begin = taken.get(digest), i
+        if owner is None:
+            if digest not in ends:
+                ends[digest] = j
+                continue
+            owner, begin = key, max(i, ends[digest] + 1)
+        for k in range(begin, j + 1):
+            if owners[k] is None:
+                owners[k] = owner
     spans, i = [], 0
     while i < len(found):
         if owners[i] is None:
             i += 1
             continue
-        j, words = i, 0
+        j, words, gap = i, 0, 0
         for k in range(i, len(found)):
             if owners[k] is not None:
-                j, words = k + 1, words + found[k][2]
-            elif found[k][3] is not None:
-                break
+                j, words, gap = k + 1, words + found[k][2], 0
+            else:
+                gap += found[k][2]
+                if found[k][3] is not None or gap >= MIN_RUN:
+                    break
         if words >= MIN_RUN:
             spans += [(found[k][0], found[k][1], owners[k]) for k in range(i, j) if owners[k] is not None]
             spans += [(found[k][0], found[k][1], None) for k in range(i, j) if owners[k] is None]
@@ -87,7 +144,7 @@ def removals(text: str, taken: dict[bytes, int], key: int) -> list[tuple[int, in
 def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", rank: str | None = None, removed: str = "removed") -> DataFrame:
     """``docs`` with units cut out of ``text`` and ``removed`` (or another name): array of (start, end, first).
 
-    ``first`` is the rank of the keeping document, null for short units between removed ones. ``rank``
+    ``first`` is the rank of the keeping document, null for unrepeated short units between removed ones. ``rank``
     names an integer column, the key by default; of two documents of one rank both count as one.
     """
     place = F.coalesce(F.col(rank or key).cast("long"), F.lit(LAST)).alias("doc")

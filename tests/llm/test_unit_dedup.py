@@ -83,3 +83,27 @@ def test_a_line_in_every_document(spark):
     rows = spark.range(2000).select(F.col("id").alias("doc_id"), F.concat(F.lit("One line that all of the documents do share here.\n"), F.concat_ws(" ", *[F.concat(F.lit(c), F.col("id")) for c in "abcdefghij"])).alias("text"))
     kept = U.dedup(rows).where(F.col("text").contains("all of the documents")).select("doc_id").collect()
     assert [r[0] for r in kept] == [0]
+
+
+def test_short_units_are_looked_up_with_their_neighbours(spark):
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choices("abcdefgh", k=6))
+    sentences, lines = "!! ".join(word() for _ in range(60)) + "!!", "\n".join(word() for _ in range(60))
+    chinese = "\n".join("".join(chr(rng.randrange(0x4E00, 0x9FA0)) for _ in range(30)) for _ in range(4)) + "".join(chr(rng.randrange(0x4E00, 0x9FA0)) for _ in range(30)) + "。" + "".join(chr(rng.randrange(0x4E00, 0x9FA0)) for _ in range(20)) + "。"
+    stubs = f"{word()}! {' '.join(word() for _ in range(20))}. {word()}!"
+    texts = [sentences, lines, chinese, stubs]
+    frame = [f"{' '.join(word() for _ in range(9))}.\n" for _ in range(4)]
+    rows = [*enumerate(texts), *[(10 + i, t) for i, t in enumerate(texts)], *[(20 + i, frame[i] + t) for i, t in enumerate(texts)]]
+    out = got(U.dedup(spark.createDataFrame(rows, "doc_id long, text string")))
+    for i, text in enumerate(texts):
+        assert out[i] == (text, []) and out[10 + i][0] == "" and out[20 + i][0] == frame[i]
+
+
+def test_unrepeated_short_units_stay_between_removed_ones(spark):
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choices("abcdefgh", k=6))
+    a, b = (" ".join(word() for _ in range(9)) + ".\n" for _ in range(2))
+    own = "".join(f"{word()}!\n" for _ in range(30))
+    rows = [(1, a + b), (2, a + own + b), (3, "ha! " * 40)]
+    out = got(U.dedup(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert out[2][0] == own and out[3][0] == "ha! " * 8

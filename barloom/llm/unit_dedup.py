@@ -5,8 +5,8 @@ hashed to 128 bits; digests are grouped over all documents and the document of t
 keeps the unit, all others lose it; within one document the first place keeps it. Units of fewer than
 three words are too common to count alone: they are looked up joined with their neighbours, in windows of
 eight words or more that start or end at them. Between removed units, fewer than eight words in such units go
-along. A run of repeated units goes only if it has eight words in all, so a chance repetition of a short
-sentence stays. Words are counted by spaces, and by letters in scripts that have none.
+along. A run of repeated units goes if it has eight words in all. Of a shorter run, whole lines of four words or
+more go, and units that eight or more rows hold; what else is as short may repeat by chance and stays. Words are counted by spaces, and by letters in scripts that have none.
 
 What each document loses is reported as spans of its original text, with the document that keeps the
 unit. Digests are counted map-side first and joined back by shuffle, which Spark splits where one line
@@ -20,7 +20,7 @@ alike; a null key ranks last. Columns of any other name are kept as they are; ``
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Set
 
 import numpy as np
 import pyarrow as pa
@@ -34,8 +34,10 @@ UNSPACED = (
     (re.compile("[\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9d\U00020000-\U0003ffff]"), 2),
     (re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff]"), 4),
 )
-#: Words a unit needs to be looked up, and words a run of repeated units needs to be removed.
+#: Words a unit needs to be looked up by itself, and words a run of repeated units needs to be removed.
 MIN_UNIT, MIN_RUN = 3, 8
+#: A shorter run goes where it is a whole line of so many words, or where a unit is in so many rows.
+MIN_LINE, COMMON = 4, 8
 LAST = (1 << 63) - 1
 SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("first", pa.int64())]))
 
@@ -101,8 +103,21 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(c[i : i + 100_000]) for c in columns], ["doc", "h1", "h2"])
 
 
-def removals(text: str, taken: dict[bytes, int], key: int) -> list[tuple[int, int, int]]:
-    """Spans of ``text`` to remove: units in ``taken`` (digest to owner) and later ones of its own."""
+def _whole_lines(text: str, found: list, owners: list, i: int, j: int) -> Iterator[int]:
+    """The units of ``i`` to ``j`` in whole lines of MIN_LINE repeated words or more."""
+    start = i if found[i][0] == 0 or text[found[i][0] - 1] == "\n" else None
+    for k in range(i, j):
+        if found[k][1] == len(text) or text[found[k][1] - 1] == "\n":
+            if start is not None and sum(found[m][2] for m in range(start, k + 1) if owners[m] is not None) >= MIN_LINE:
+                yield from range(start, k + 1)
+            start = k + 1
+
+
+def removals(text: str, taken: dict[bytes, int], key: int, common: Set[bytes] = frozenset()) -> list[tuple[int, int, int]]:
+    """Spans of ``text`` to remove: units in ``taken`` (digest to owner) and later ones of its own.
+
+    ``common`` are the digests of units that are removed however short their run.
+    """
     found, windows = pieces(text)
     seen: set[bytes] = set()
     owners: list[int | None] = []
@@ -134,9 +149,11 @@ def removals(text: str, taken: dict[bytes, int], key: int) -> list[tuple[int, in
                 gap += found[k][2]
                 if found[k][3] is not None or gap >= MIN_RUN:
                     break
-        if words >= MIN_RUN:
-            spans += [(found[k][0], found[k][1], owners[k]) for k in range(i, j) if owners[k] is not None]
-            spans += [(found[k][0], found[k][1], None) for k in range(i, j) if owners[k] is None]
+        gone = set(range(i, j))
+        if words < MIN_RUN:
+            gone = {k for k in gone if found[k][3] in common and owners[k] is not None}
+            gone |= set(_whole_lines(text, found, owners, i, j))
+        spans += [(found[k][0], found[k][1], owners[k]) for k in gone]
         i = j
     return sorted(spans, key=lambda s: s[0])
 
@@ -149,9 +166,11 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", rank: str |
     """
     place = F.coalesce(F.col(rank or key).cast("long"), F.lit(LAST)).alias("doc")
     rows = docs.select(place, F.col(text).cast("string")).mapInArrow(_digests, "doc long, h1 long, h2 long")
-    shared = rows.groupBy("h1", "h2").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first < last")
-    lost = rows.join(shared.select("h1", "h2", "first"), ["h1", "h2"]).where("doc > first")
-    lost = lost.groupBy("doc").agg(F.collect_list(F.struct("h1", "h2", "first")).alias("__lost"))
+    held = rows.groupBy("h1", "h2").agg(F.min("doc").alias("first"), F.max("doc").alias("last"), F.count("*").alias("n"))
+    shared = held.where("first < last").select("h1", "h2", "first", (F.col("n") >= COMMON).alias("common"))
+    # the first document is told what is common, as it may repeat that itself
+    lost = rows.join(shared, ["h1", "h2"]).where("doc > first OR common")
+    lost = lost.groupBy("doc").agg(F.collect_list(F.struct("h1", "h2", "first", "common")).alias("__lost"))
     kept = [c for c in docs.columns if c != removed]
     joined = docs.select(*[F.col(f"`{c}`") for c in kept], place.alias("__doc")).join(
         lost.withColumnRenamed("doc", "__doc"), "__doc", "left"
@@ -163,10 +182,11 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", rank: str |
             clean, spans = [], []
             lists = batch.column(len(kept) + 1)
             for row, body in enumerate(batch.column(at + 1).to_pylist()):
-                taken = {
-                    np.array([x["h1"], x["h2"]], "<i8").tobytes(): x["first"] for x in lists[row].as_py() or ()
-                }
-                gone = removals(body, taken, batch.column(0)[row].as_py()) if body else []
+                place = batch.column(0)[row].as_py()
+                lost = [(np.array([x["h1"], x["h2"]], "<i8").tobytes(), x) for x in lists[row].as_py() or ()]
+                taken = {digest: x["first"] for digest, x in lost if x["first"] < place}
+                common = {digest for digest, x in lost if x["common"]}
+                gone = removals(body, taken, place, common) if body else []
                 parts, last = [], 0
                 for a, b, _ in gone:
                     parts.append(body[last:a])

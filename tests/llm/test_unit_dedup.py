@@ -107,3 +107,14 @@ def test_unrepeated_short_units_stay_between_removed_ones(spark):
     rows = [(1, a + b), (2, a + own + b), (3, "ha! " * 40)]
     out = got(U.dedup(spark.createDataFrame(rows, "doc_id long, text string")))
     assert out[2][0] == own and out[3][0] == "ha! " * 8
+
+
+def test_short_repeats_go_where_they_are_no_chance(spark):
+    rows = [(i, f"The menu opens here now. Words of {i} alone {i}.\nAll rights are reserved.\nFew words {i}.") for i in range(1, 10)]
+    rows += [(20, "Here it is again. Twice.\nNot by chance at all.\nBy chance 7."), (21, "Also 21 of own. Here it is again. More words of 21.\nNot by chance at all.\n")]
+    rows += [(0, "Read this first please. One 0 two three. Read this first please. Four 0 five.")] + [(i, f"Read this first please. Six {i} seven.") for i in range(30, 38)]
+    out = got(U.dedup(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert out[1][0] == rows[0][1]
+    assert all(out[i][0] == f"Words of {i} alone {i}.\nFew words {i}." for i in range(2, 10))
+    assert out[20][0] == rows[9][1] and out[21][0] == "Also 21 of own. Here it is again. More words of 21.\n"
+    assert out[0][0] == "Read this first please. One 0 two three. Four 0 five." and all(out[i][0] == f"Six {i} seven." for i in range(30, 38))

@@ -2,20 +2,18 @@
 
 Texts and benchmark items become lower-case words and shingles of five words. A shingle weighs its
 number of occurrences times its rarity among the items, ``ln(1 + items / items that hold it)``.
-A document is read in windows as long as an item. Each window and each item gets a weighted SimHash
-fingerprint of 64 bits; the fingerprints are cut into one block more than the radius, so that two
-within the radius agree in at least one block, and pairs that agree are compared by Hamming
-distance. Pairs within the radius are verified: weighted Jaccard similarity of the shingles
-themselves, at least 0.8.
-
-A window can only reach the similarity with some item if it holds one of that item's rarest shingles,
-any that together weigh more than 0.2 of the item (prefix filter on weights). So windows
-are laid out only where such an anchor occurs, aligned to its place in the item; nothing that
-could be verified is lost by that. The anchors are a table of the benchmark's size; it is
-broadcast below a checked number of rows and joined by shuffle above.
+A document is read in windows as long as an item. A window can only reach the similarity with some item
+if it holds one of that item's rarest shingles, any that together weigh more than 0.2 of the item
+(prefix filter on weights). So windows are laid out only where such an anchor occurs, aligned to its place
+in the item and shifted by as many words to both sides as inserted or deleted words can move it at 0.8 (for shingles
+that do not repeat within a window). The anchors are broadcast below a checked number of rows and joined by shuffle above.
+
+Each window and each item gets a weighted SimHash fingerprint of 64 bits. A window and an item with an anchor
+in common are compared by Hamming distance; more than half of the bits, where unrelated ones lie, drops them. Pairs
+within the radius are verified: weighted Jaccard similarity of the shingles themselves, at least 0.8.
 
 Null and empty texts and items, and items of fewer than five words, match nothing. Repeated
-documents are matched each by itself (same key: reported once); other columns are not read.
+documents are matched each by itself (same key: reported once; rows of one key, or of none, with different texts are judged each by its text); other columns are not read.
 """
 
 from __future__ import annotations
@@ -26,7 +24,7 @@ from pyspark.sql import functions as F
 from barloom.llm.common import stored
 
 SHINGLE, SIMILARITY = 5, 0.8
-BITS, RADIUS = 64, 14
+BITS, RADIUS = 64, 32
 #: Tables of the benchmark's size are broadcast up to so many rows (some ten bytes each).
 BROADCAST_ROWS = 500_000
 
@@ -75,8 +73,13 @@ def blocks(fp: Column, radius: int) -> Column:
     return F.array(*out)
 
 
-def matches(docs: DataFrame, benchmark: DataFrame, radius: int = RADIUS, similarity: float = SIMILARITY, key: str = "doc_id") -> DataFrame:
-    """doc_id, item_id, start and n_words of the best window, similarity and distance, for each pair that matches."""
+def identity(key: str) -> Column:
+    """A row's key and text in one digest: rows of one key, or of none, are told apart by their texts."""
+    return F.md5(F.concat_ws("\n", F.coalesce(F.concat(F.lit("="), F.col(f"`{key}`").cast("string")), F.lit("")), "text"))
+
+
+def _found(docs: DataFrame, benchmark: DataFrame, radius: int, similarity: float, key: str) -> DataFrame:
+    """Windows that match, as rows (key, __id, begin, n_words, content, item, item_id, similarity, distance)."""
     items = stored(
         benchmark.select("item_id", words_of(F.col("text")).alias("words"))
         .where(F.size("words") >= SHINGLE)
@@ -92,42 +95,51 @@ def matches(docs: DataFrame, benchmark: DataFrame, radius: int = RADIUS, similar
     # anchors: an item's rarest shingles, as many as hold more than 1 - similarity of its weight
     rare = Window.partitionBy("item").orderBy(F.desc("weight"), "shingle", "at")
     before = F.coalesce(F.sum("weight").over(rare.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
+    # shifts: with k shingles fewer in common a pair is at most (whole - lightest k) / (whole + k * lightest of all)
+    lightest = weighted.agg(F.min("weight")).first()[0] or 0.0
+    light = Window.partitionBy("item").orderBy("weight", "shingle", "at").rowsBetween(Window.unboundedPreceding, 0)
+    lost = F.sum("weight").over(light) + similarity * lightest * F.count("*").over(light)
+    judged = weighted.withColumns({"before": before, "whole": F.sum("weight").over(Window.partitionBy("item"))})
+    judged = judged.withColumn("spare", (lost <= (1 - similarity) * F.col("whole") + 1e-9).cast("int"))
+    judged = judged.withColumn("shift", F.greatest(F.sum("spare").over(Window.partitionBy("item")) - (SHINGLE - 1), F.lit(0)))
+    place = F.sequence(F.greatest(F.col("at") - F.col("shift"), F.lit(0)), F.least(F.col("at") + F.col("shift"), F.col("size") - SHINGLE))
     anchors = (
-        weighted.withColumns({"before": before, "whole": F.sum("weight").over(Window.partitionBy("item"))})
-        .where(F.col("before") <= (1 - similarity) * F.col("whole") + 1e-9)
-        .select(F.xxhash64(*[F.get(F.split("shingle", " "), F.lit(k)) for k in range(SHINGLE)]).alias("h"), "at", "size")
-        .distinct()
+        judged.where(F.col("before") <= (1 - similarity) * F.col("whole") + 1e-9)
+        .select(F.xxhash64(*[F.get(F.split("shingle", " "), F.lit(k)) for k in range(SHINGLE)]).alias("h"), F.explode(place).alias("at"), "size", "item")
+        .groupBy("h", "at", "size")
+        .agg(F.collect_set("item").alias("items"))
     )
-    texts = docs.select(key, words_of(F.col("text")).alias("words"))
+    anchors = stored(anchors, "anchors")
+    n_anchors = anchors.count()
+    texts = docs.select(key, identity(key).alias("__id"), words_of(F.col("text")).alias("words"))
     begin, stop = F.col("pos") - F.col("at"), F.col("pos") - F.col("at") + F.col("size")
     cut = F.slice("words", F.greatest(begin, F.lit(0)) + 1, stop - F.greatest(begin, F.lit(0)))
-    if n_rows <= BROADCAST_ROWS:  # windows are cut where the anchor is found, the text does not move
-        seen = texts.select(key, "words", F.posexplode(shingle_hashes(F.col("words"))).alias("pos", "h"))
-        windows = seen.join(F.broadcast(anchors), "h").select(key, begin.alias("begin"), "size", cut.alias("words"))
-        windows = windows.groupBy(key, "begin", "size").agg(F.first("words").alias("words"))
+    content = F.md5(F.concat_ws(" ", "words")).alias("content")
+    if max(n_rows, n_anchors) <= BROADCAST_ROWS:  # windows are cut where the anchor is found, the text does not move
+        seen = texts.select(key, "__id", "words", F.posexplode(shingle_hashes(F.col("words"))).alias("pos", "h"))
+        windows = seen.join(F.broadcast(anchors), "h").select(key, "__id", begin.alias("begin"), "items", cut.alias("words"))
     else:
-        seen = texts.select(key, F.posexplode(shingle_hashes(F.col("words"))).alias("pos", "h")).join(anchors, "h")
-        places = seen.select(key, begin.alias("begin"), "size").distinct()
-        windows = texts.dropDuplicates([key]).join(places, key)
+        seen = texts.select("__id", F.posexplode(shingle_hashes(F.col("words"))).alias("pos", "h")).join(anchors, "h")
+        places = seen.select("__id", begin.alias("begin"), "size", "items").distinct()
+        windows = texts.dropDuplicates(["__id"]).join(places, "__id")
         cut = F.slice("words", F.greatest("begin", F.lit(0)) + 1, F.col("begin") + F.col("size") - F.greatest("begin", F.lit(0)))
-        windows = windows.select(key, "begin", "size", cut.alias("words"))
-    windows = stored(windows.withColumn("content", F.md5(F.concat_ws(" ", "words"))), "windows")
+        windows = windows.select(key, "__id", "begin", "items", cut.alias("words"))
+    windows = stored(windows.withColumn("content", content), "windows")
     # equal windows are judged once
     contents = windows.groupBy("content").agg(F.first("words").alias("words"))
     parts = contents.select("content", F.explode(shingles(F.col("words"))).alias("shingle"))
     known = _small(rarity, n_rows)
     valued = parts.join(known, "shingle", "left").withColumn("weight", F.coalesce("weight", F.log1p(F.lit(float(total)))))
     valued = stored(valued, "valued-windows")
-    left = fingerprints(valued, ["content"]).select("content", F.col("fp").alias("window_fp"), F.explode(blocks(F.col("fp"), radius)).alias("b"))
-    right = fingerprints(weighted, ["item"]).select("item", F.col("fp").alias("item_fp"), F.explode(blocks(F.col("fp"), radius)).alias("b"))
-    distance = F.bit_count(F.col("window_fp").bitwiseXOR(F.col("item_fp")))
+    left = fingerprints(valued, ["content"]).withColumnRenamed("fp", "window_fp")
+    right = fingerprints(weighted, ["item"]).withColumnRenamed("fp", "item_fp")
+    pairs = windows.select("content", F.explode("items").alias("item")).distinct()
     near = (
-        left.select("content", "window_fp", "b.block", "b.value")
-        .join(_small(right.select("item", "item_fp", "b.block", "b.value"), n_rows * (radius + 1)), ["block", "value"])
-        .withColumn("distance", distance)
+        pairs.join(left, "content")
+        .join(_small(right, n_rows), "item")
+        .withColumn("distance", F.bit_count(F.col("window_fp").bitwiseXOR(F.col("item_fp"))))
         .where(F.col("distance") <= radius)
         .select("content", "item", "distance")
-        .distinct()
     )
     near = stored(near, "near")
     # exact weights: per pair and shingle the occurrences on both sides
@@ -141,7 +153,13 @@ def matches(docs: DataFrame, benchmark: DataFrame, radius: int = RADIUS, similar
     )
     verified = scored.where(F.col("similarity") >= similarity - 1e-12)
     names = items.select("item", "item_id").distinct()
-    found = windows.select(key, "begin", F.size("words").alias("n_words"), "content").join(verified, "content").join(names, "item")
+    places = windows.select(key, "__id", "begin", F.size("words").alias("n_words"), "content")
+    return places.join(verified, "content").join(names, "item")
+
+
+def matches(docs: DataFrame, benchmark: DataFrame, radius: int = RADIUS, similarity: float = SIMILARITY, key: str = "doc_id") -> DataFrame:
+    """doc_id, item_id, start and n_words of the best window, similarity and distance, for each pair that matches."""
+    found = _found(docs, benchmark, radius, similarity, key)
     best = F.max_by(
         F.struct(F.greatest("begin", F.lit(0)).alias("start"), "n_words", "similarity", "distance"),
         F.struct("similarity", -F.col("begin"), -F.col("n_words")),
@@ -151,5 +169,6 @@ def matches(docs: DataFrame, benchmark: DataFrame, radius: int = RADIUS, similar
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id") -> DataFrame:
     """The documents without a match."""
-    found = matches(docs, benchmark, key=key).select(F.col(key).alias("__key")).distinct()
-    return docs.join(found, F.col(f"`{key}`").eqNullSafe(F.col("__key")), "left_anti")
+    found = _found(docs, benchmark, RADIUS, SIMILARITY, key).select("__id").distinct()
+    kept = docs.withColumn("__id", identity(key)).join(found, "__id", "left_anti")
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -96,3 +96,22 @@ def test_edges(spark, edge_docs, no_docs):
 def test_no_python_on_the_way(spark, sf_dir):
     plan = op9_simhash_decontam(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_all_pairs_at_the_registered_parameters(spark):
+    rng = random.Random(8)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    items = {i: " ".join(rng.choices(vocabulary, k=rng.randint(40, 90))) for i in range(12)}
+    texts = {}
+    for k in range(60):
+        part = words(items[k % 12])
+        for _ in range(rng.randint(1, 3)):
+            at, kind = rng.randrange(len(part)), rng.randrange(3)
+            part[at : at + (kind < 2)] = [rng.choice(vocabulary)] * (kind != 1)
+        texts[k] = " ".join(rng.choices(vocabulary, k=9) + part + rng.choices(vocabulary, k=9))
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    bench = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    want = {p: s for p, s in best(texts, items).items() if s >= 0.8}
+    got = {(r.doc_id, r.item_id): r.similarity for r in S.matches(docs, bench).collect()}
+    assert sum(s < 0.85 for s in want.values()) > 4 and set(got) == set(want)
+    assert all(abs(got[p] - want[p]) < 1e-9 for p in got)

@@ -115,3 +115,16 @@ def test_all_pairs_at_the_registered_parameters(spark):
     got = {(r.doc_id, r.item_id): r.similarity for r in S.matches(docs, bench).collect()}
     assert sum(s < 0.85 for s in want.values()) > 4 and set(got) == set(want)
     assert all(abs(got[p] - want[p]) < 1e-9 for p in got)
+
+
+def test_rows_of_one_key_are_judged_by_their_texts(spark, monkeypatch):
+    item = "quick brown fox jumps over the lazy dog"
+    rows = [(None, f"The {item} today."), (None, "Clean words without any of that in them."), (1, f"{item} again"), (1, "Also clean words and nothing more here."), (None, None)]
+    rows += [(2, f"a {item}"), (2, "b one two three four five six seven eight")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame([(1, item), (2, "one two three four five six seven eight")], "item_id long, text string")
+    for limit in (S.BROADCAST_ROWS, 0):
+        monkeypatch.setattr(S, "BROADCAST_ROWS", limit)
+        kept = sorted(map(str, S.drop_contaminated(docs, bench).collect()))
+        assert kept == sorted(str(r) for r in docs.collect() if r.text is None or "lean" in r.text)
+        assert {(r.doc_id, r.item_id) for r in S.matches(docs, bench).collect()} == {(None, 1), (1, 1), (2, 1), (2, 2)}

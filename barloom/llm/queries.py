@@ -10,10 +10,13 @@ from pyspark.sql import functions as F
 
 from barloom.llm import (
     chat_windows,
+    conversation_repair,
     crf_language,
     gru_toxicity,
     host_reputation,
     kmeans_tree,
+    pair_index_bpe,
+    polar_whitening,
     simhash_decontam,
     spm_bpe,
     trie_join,
@@ -23,6 +26,7 @@ from barloom.llm import (
 from barloom.llm.common import held_out, table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
+WORD_VOCABULARY = "word_bpe_49k.json"
 #: The conversation that the contract of op5 adds.
 EXTRA_TURN = "<|im_end|><|im_start|>assistant ok"
 EXTRA = [(-1, 0, "user", EXTRA_TURN), (-1, 1, "assistant", EXTRA_TURN)]
@@ -78,6 +82,29 @@ def op10_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return host_reputation.judge(pages, host_reputation.bad_page(F.col("html")))
 
 
+def op11_pair_index_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pair_index_bpe.encode_digests(docs, public_tokenizers.path(WORD_VOCABULARY), ["doc_id"])
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    talks = table(spark, sf_dir, "conversations")
+    found = conversation_repair.repair(conversation_repair.damage(talks))
+    parts = found.report.withColumnRenamed("conv", "r_conv"), conversation_repair.digests(found.turns).withColumnRenamed("conv", "d_conv")
+    out = talks.select(F.col("conv_id").cast("long").alias("conv_id")).distinct()
+    out = out.join(parts[0], F.col("conv_id").eqNullSafe(F.col("r_conv")) & F.col("cost").isNotNull(), "left")
+    out = out.join(parts[1], F.col("conv_id").eqNullSafe(F.col("d_conv")) & F.col("repaired_sha256").isNotNull(), "left")
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return out.select(
+        "conv_id", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in counts],
+        F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
+def op13_polar_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return polar_whitening.whiten(table(spark, sf_dir, "embeddings")).withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_unit_dedup": op1_unit_dedup,
@@ -90,6 +117,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_warc_derivatives": op8_warc_derivatives,
         "op9_simhash_decontam": op9_simhash_decontam,
         "op10_host_reputation": op10_host_reputation,
+        "op11_pair_index_bpe": op11_pair_index_bpe,
+        "op12_conversation_repair": op12_conversation_repair,
+        "op13_polar_whitening": op13_polar_whitening,
     }
 
 

@@ -20,7 +20,7 @@ def _units(price: Column) -> Column:
     return F.round(price * PRICE_UNITS).cast("bigint")
 
 
-def _vwap() -> Column:
+def vwap_of() -> Column:
     return F.col("notional_units") / F.nullif(F.col("volume"), F.lit(0)) / PRICE_UNITS
 
 
@@ -108,7 +108,7 @@ def resample_ohlcv(
             ordered.groupBy(key, bar_start(F.col(ts), minutes).alias("bar_start"))
             .agg(*aggregate_ticks(price, size, "_nth"))
         )
-    return bars.select(key, *BAR, _vwap().alias("vwap"), "notional_units")
+    return bars.select(key, *BAR, vwap_of().alias("vwap"), "notional_units")
 
 
 def rollup_bars(bars: DataFrame, minutes: int, *, key: str = "symbol") -> DataFrame:
@@ -127,7 +127,7 @@ def rollup_bars(bars: DataFrame, minutes: int, *, key: str = "symbol") -> DataFr
         F.sum("notional_units").alias("notional_units"),
     )
     return rolled.withColumnRenamed("_start", "bar_start").select(
-        key, *BAR, _vwap().alias("vwap"), "notional_units"
+        key, *BAR, vwap_of().alias("vwap"), "notional_units"
     )
 
 

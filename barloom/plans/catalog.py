@@ -35,12 +35,14 @@ from barloom.sources.messages import decode_messages, decode_stats, split_good_b
 from barloom.sources.tables import read_bronze, register_table
 from barloom.sources.universe import restrict_to
 from barloom.streaming.bars import (
+    late_ticks,
     start_to_parquet,
     stream_dedup,
     stream_first_arrival,
     stream_resample,
     stream_rolling_volume,
 )
+from barloom.streaming.held import held_bars, held_first_copies, with_held
 from barloom.streaming.incremental import read_silver, run_incremental
 from barloom.streaming.ingest import read_messages, stream_bronze
 
@@ -259,31 +261,65 @@ def _run(query) -> None:
 
 
 def stream_ohlcv_1h(spark, sf):
+    """Bars of a tick stream: those it gave out and, as its source has ended, those it still holds."""
     bars = stream_resample(_tick_stream(spark, sf), 60, tie_breaker="tick_id")
-    path = shared_path(spark, "stream-bars")
-    _run(start_to_parquet(bars.select(*BAR_COLUMNS), path, shared_path(spark, "offsets")))
-    return spark.read.parquet(path)
+    path, offsets = shared_path(spark, "stream-bars"), shared_path(spark, "offsets")
+    _run(start_to_parquet(bars, path, offsets))
+    return with_held(spark, path, held_bars(spark, offsets)).select(*BAR_COLUMNS)
 
 
-def stream_dedup_keys(spark, sf):
-    source = shared_path(spark, "stream-in")
+def _late_delivery() -> F.Column:
+    """What comes first: two of three ticks of the first days."""
+    return (F.to_date("event_time") < F.lit(SPLIT_DAY).cast("date")) & (F.col("tick_id") % 3 != 0)
+
+
+def _late_run(spark, sf) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """A stream of ticks, some faulty, in two deliveries of which the second holds ticks of hours that are closed by
+    then: all ticks, the bars and the late ticks."""
+    source, path, offsets = (shared_path(spark, n) for n in ("stream-in", "stream-bars", "offsets"))
+    ticks = D.faulty_ticks(D.ticks_from_events(spark, sf))
+    for part in (ticks.filter(_late_delivery()), ticks.filter(~_late_delivery())):
+        part.write.mode("append").parquet(source)
+        stream = spark.readStream.schema(part.schema).parquet(source)
+        _run(start_to_parquet(stream_resample(stream, 60, tie_breaker="tick_id"), path, offsets))
+    late = late_ticks(spark, offsets, part.schema, 60)
+    return spark.read.parquet(source), with_held(spark, path, held_bars(spark, offsets)), late
+
+
+def stream_late_ticks(spark, sf):
+    return _late_run(spark, sf)[2].select("tick_id", "symbol", "event_time")
+
+
+def stream_late_account(spark, sf):
+    """Every tick is in a bar, late or unusable."""
+    ticks, bars, late = _late_run(spark, sf)
+    names = ["ticks", "in_bars", "late", "unusable"]
+    counts = [ticks.agg(F.count("*")), bars.agg(F.sum("num_trades")), late.agg(F.count("*")), unusable_ticks(ticks).agg(F.count("*"))]
+    rows = [c.toDF("n").withColumn("kind", F.lit(k)) for k, c in zip(names, counts)]
+    told = rows[0].unionByName(rows[1]).unionByName(rows[2]).unionByName(rows[3])
+    return told.agg(*[F.coalesce(F.sum(F.when(F.col("kind") == k, F.col("n"))), F.lit(0)).alias(k) for k in names])
+
+
+def stream_dedup_bars(spark, sf):
+    """Bars in two deliveries, the second of which brings the later copies; the copy given out first stays."""
+    source, path, offsets = (shared_path(spark, n) for n in ("stream-in", "stream-out", "offsets"))
     bronze = _bronze(spark, sf)
-    bronze.write.parquet(source)
-    bars = stream_dedup(spark.readStream.schema(bronze.schema).parquet(source))
-    path = shared_path(spark, "stream-out")
-    _run(start_to_parquet(bars.select("symbol", "timestamp"), path, shared_path(spark, "offsets")))
-    return spark.read.schema("symbol string, timestamp bigint").parquet(path)
+    first = first_arrival(bronze)
+    for part in (first, bronze.exceptAll(first)):
+        part.write.mode("append").parquet(source)
+        _run(start_to_parquet(stream_dedup(spark.readStream.schema(bronze.schema).parquet(source)), path, offsets))
+    return spark.read.schema(bronze.schema).parquet(path)
 
 
 def stream_first_copies(spark, sf):
-    """First copies of all bars older than a day before the newest."""
+    """First copies of all bars: those given out and those still held."""
     source = shared_path(spark, "stream-in")
     bronze = _bronze(spark, sf)
     bronze.write.parquet(source)
     bars = stream_first_arrival(spark.readStream.schema(bronze.schema).parquet(source))
-    path = shared_path(spark, "stream-out")
-    _run(start_to_parquet(bars, path, shared_path(spark, "offsets")))
-    return spark.read.schema(bronze.schema).parquet(path)
+    path, offsets = shared_path(spark, "stream-out"), shared_path(spark, "offsets")
+    _run(start_to_parquet(bars, path, offsets))
+    return with_held(spark, path, held_first_copies(spark, offsets, bronze.columns))
 
 
 def stream_rolling(spark, sf):
@@ -481,7 +517,9 @@ QUERIES: dict[str, Query] = {
     "alarm_dead_letters": alarm_dead_letters,
     # streams
     "stream_ohlcv_1h": stream_ohlcv_1h,
-    "stream_dedup": stream_dedup_keys,
+    "stream_dedup": stream_dedup_bars,
+    "stream_late_ticks": stream_late_ticks,
+    "stream_late_account": stream_late_account,
     "stream_first_arrival": stream_first_copies,
     "stream_rolling_volume": stream_rolling,
     "stream_bronze": stream_ingest,

@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from barloom.operators.resample import resample_ohlcv
+from barloom.operators.resample import bar_start, resample_ohlcv, usable_tick
 from barloom.operators.rolling import DAY_MS, trailing_mean
 from barloom.sources.files import complete_folders, exists, remove
+from barloom.streaming.held import late_rows
 from barloom.streaming.late import late_symbols, revise
 from barloom.streaming.runs import batch_mark
 
@@ -63,6 +64,16 @@ def stream_resample(
     return resample_ohlcv(ticks, minutes, tie_breaker=tie_breaker)
 
 
+def late_ticks(spark: SparkSession, checkpoint: str, schema: T.StructType, minutes: int, after: int = -1) -> DataFrame:
+    """Ticks that :func:`stream_resample` read after batch ``after`` and left out, as their bar was closed by then.
+
+    Together with the bars and :func:`~barloom.operators.resample.unusable_ticks` they are all ticks.
+    """
+    end = bar_start(F.col("event_time"), minutes) + F.make_dt_interval(mins=F.lit(minutes))
+    late = late_rows(spark, checkpoint, schema, end, after)
+    return late.filter(usable_tick("event_time", "price", "size"))
+
+
 def start_to_parquet(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     return (
         df.writeStream.format("parquet")

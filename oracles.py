@@ -132,6 +132,19 @@ SELECT symbol, make_timestamp(ms * 1000) AS bar_start, open, high, low, close,
 FROM bars WHERE {where}"""
 
 
+LATE = f"""WITH {TICKS},
+told AS (
+  SELECT *, epoch_us(event_time) // 1000 AS ms,
+         tick_id % 41 <> 0 AND tick_id % 43 <> 0 AND tick_id % 47 <> 0 AND tick_id % 53 <> 0
+           AND price IS NOT NULL AND size IS NOT NULL AS usable,
+         CAST(event_time AS DATE) < DATE '2024-01-16' AND tick_id % 3 <> 0 AS early
+  FROM ticks),
+judged AS (
+  SELECT *, NOT early AND (ms // 3600000 + 1) * 3600000
+         <= (SELECT MAX(ms) FROM told WHERE early) - 3600000 AS late
+  FROM told)"""
+
+
 def _spikes(base: str, where: str) -> str:
     ratio = _half_up("(CAST(volume AS HUGEINT) * 10000)", "CAST(avg_volume_10bar * 100 AS HUGEINT)")
     return f"""{base}
@@ -413,15 +426,15 @@ samples AS (SELECT make_timestamp(ingestion_time * 1000) AS seen, 1 AS value
             FROM records WHERE failure IS NOT NULL)""",
             "CAST(SUM(value) AS BIGINT)", 300, "metric >= 1", 1,
         ),
-        "stream_ohlcv_1h": _ohlcv(
-            60,
-            f"ms + {hour} <= (SELECT epoch_us(MAX(event_time)) // 1000 FROM ticks) - {hour}",
-        ),
-        "stream_dedup": f"{HOURLY} SELECT DISTINCT symbol, timestamp FROM bronze",
-        "stream_first_arrival": f"""{HOURLY}
-SELECT {BRONZE_COLUMNS} FROM bronze
-WHERE timestamp <= (SELECT MAX(timestamp) FROM bronze) - 86400000
+        "stream_ohlcv_1h": _ohlcv(60),
+        "stream_dedup": f"""{HOURLY} SELECT {BRONZE_COLUMNS} FROM bronze
+QUALIFY row_number() OVER (PARTITION BY symbol, timestamp ORDER BY ingestion_time) = 1""",
+        "stream_first_arrival": f"""{HOURLY} SELECT {BRONZE_COLUMNS} FROM bronze
 QUALIFY row_number() OVER (PARTITION BY symbol, timestamp ORDER BY ingestion_time) = 1""",
+        "stream_late_ticks": f"""{LATE} SELECT tick_id, symbol, event_time FROM judged WHERE usable AND late""",
+        "stream_late_account": f"""{LATE}
+SELECT COUNT(*) AS ticks, COUNT(*) FILTER (usable AND NOT late) AS in_bars,
+       COUNT(*) FILTER (usable AND late) AS late, COUNT(*) FILTER (NOT usable) AS unusable FROM judged""",
         "stream_rolling_volume": f"{KEPT} SELECT symbol, timestamp, volume, {HISTORY_MEAN} "
         "AS avg_volume_10bar FROM kept",
         "stream_rolling_late": f"{KEPT} SELECT symbol, timestamp, volume, {HISTORY_MEAN} "

@@ -15,12 +15,14 @@ from barloom.schemas import BRONZE, SILVER
 from barloom.sinks.tables import write_bronze
 from barloom.sources.tables import read_bronze
 from barloom.streaming.bars import (
+    late_ticks,
     start_to_parquet,
     stream_dedup,
     stream_first_arrival,
     stream_resample,
     stream_rolling_volume,
 )
+from barloom.streaming.held import LogGone, held_bars, held_first_copies, with_held
 from barloom.streaming.incremental import read_silver, run_incremental
 from barloom.streaming.ingest import TRANSPORT, read_messages, stream_bronze
 
@@ -99,6 +101,8 @@ def test_first_arrival_across_batches(spark, tmp_path):
         stream_first_arrival(bronze_stream(spark, tmp_path / "in"), "100 hours"), out, str(tmp_path / "cp")
     ).awaitTermination()
     assert spark.read.schema(BRONZE).parquet(out).count() == 0
+    whole = with_held(spark, out, held_first_copies(spark, str(tmp_path / "cp"), BRONZE.fieldNames()))
+    assert sorted(whole.collect()) == sorted(first_arrival(bronze(spark, rows)).collect())
     deliver(bronze(spark, [bar(symbol="LATE", timestamp=T0 + 500 * HOUR)]), tmp_path / "in")
     start_to_parquet(
         stream_first_arrival(bronze_stream(spark, tmp_path / "in"), "100 hours"), out, str(tmp_path / "cp")
@@ -129,6 +133,47 @@ def test_resampling_drops_nothing_before_the_watermark(spark, tmp_path):
     assert sorted(spark.read.parquet(out).collect()) == sorted(closed.collect())
 
 
+def test_closed_held_and_late_are_all_ticks(spark, tmp_path):
+    rng = random.Random(3)
+    schema = "s long, symbol string, price double, size long, tick_id long"
+    source, out, cp = (str(tmp_path / n) for n in ("a b", "out", "cp"))
+    seconds = [[rng.randrange(lo, hi) for _ in range(40)] for lo, hi in ((0, 20_000), (15_000, 60_000), (0, 70_000), (30_000, 90_000), (0, 90_000))]
+    rows = [[(s, rng.choice("AB"), None if rng.random() < 0.1 else 1.5, 2, 100 * i + j) for j, s in enumerate(part)] for i, part in enumerate(seconds)]
+    seen, dropped = -1, 0
+    late = []
+    for i in range(0, 5, 2):  # runs of two deliveries, a batch each
+        for part in rows[i : i + 2]:
+            deliver(spark.createDataFrame(part, schema).withColumn("event_time", F.timestamp_seconds("s")), source)
+        kind = spark.read.parquet(source).schema
+        stream = spark.readStream.schema(kind).option("maxFilesPerTrigger", 1).parquet(source)
+        query = start_to_parquet(stream_resample(stream, 60, tie_breaker="tick_id"), out, cp)
+        query.awaitTermination()
+        dropped += sum(p["stateOperators"][0]["numRowsDroppedByWatermark"] for p in query.recentProgress if p["stateOperators"])
+        late += late_ticks(spark, cp, kind, 60, after=seen).collect()
+        seen = query.lastProgress["batchId"]
+    ticks = spark.read.parquet(source)
+    bars = with_held(spark, out, held_bars(spark, cp))
+    assert dropped > 0 and len({r.tick_id for r in late}) == len(late) >= dropped
+    assert held_bars(spark, cp).count() > 0
+    gone = [r.tick_id for r in late]
+    want = resample_ohlcv(ticks.filter(~F.col("tick_id").isin(gone)), 60, tie_breaker="tick_id")
+    assert sorted(bars.collect()) == sorted(want.select(*bars.columns).collect())
+
+
+def test_late_rows_need_the_log(spark, tmp_path):
+    rows = [(i, "A", 1.0, 1, i) for i in range(3)]
+    schema = "s long, symbol string, price double, size long, tick_id long"
+    deliver(spark.createDataFrame(rows, schema).withColumn("event_time", F.timestamp_seconds("s")), tmp_path / "in")
+    kind = spark.read.parquet(str(tmp_path / "in")).schema
+    stream = spark.readStream.schema(kind).parquet(str(tmp_path / "in"))
+    start_to_parquet(stream_resample(stream, 60), str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
+    assert late_ticks(spark, str(tmp_path / "cp"), kind, 60).count() == 0
+    assert late_ticks(spark, str(tmp_path / "none"), kind, 60).count() == 0
+    (tmp_path / "cp/offsets/0").unlink()
+    with pytest.raises(LogGone):
+        late_ticks(spark, str(tmp_path / "cp"), kind, 60)
+
+
 def test_rolling_volume_across_batches(spark, tmp_path):
     rows = [(s, t * 60_000, t * t % 97) for t in range(45) for s in ("A", "B") if t % 2 or s == "A"]
     schema = "symbol string, timestamp long, volume long"

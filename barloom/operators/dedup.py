@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from barloom.schemas import BRONZE
@@ -34,6 +34,25 @@ def first_arrival(
     )
 
 
+def arrival_order(arrival: str, row: str) -> Column:
+    """What the copies of a key are ordered by, first the one to keep: arrival (unknown is last), then its values."""
+    return F.struct(F.col(arrival).isNull().alias("_unknown"), F.col(arrival), F.col(row))
+
+
+def first_usable(bronze: DataFrame, valid: Column, counted: Observation) -> DataFrame:
+    """As :func:`first_arrival` over the rows that are ``valid``, counting keys on the way.
+
+    The keys of rows that are not valid go through the same aggregation, so that ``counted`` learns
+    rows_after_dedup (all keys) and rows_final (keys with a valid copy) without another pass.
+    """
+    rest = [c for c in bronze.columns if c not in (*KEY, "ingestion_time")]
+    order = F.struct(F.col("ingestion_time").isNull().alias("_unknown"), "ingestion_time", *rest)
+    kept = bronze.groupBy(*KEY).agg(F.min(F.when(valid, order)).alias("_first"))
+    kept = kept.observe(counted, F.count("*").alias("rows_after_dedup"), F.count("_first").alias("rows_final"))
+    kept = kept.filter(F.col("_first").isNotNull())
+    return kept.select(*[F.col(c) if c in KEY else F.col(f"_first.{c}").alias(c) for c in bronze.columns])
+
+
 def any_copy(df: DataFrame, keys: Sequence[str] = KEY) -> DataFrame:
     """Keep an arbitrary copy of each key."""
     return df.dropDuplicates(list(keys))

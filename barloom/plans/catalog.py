@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import contextmanager
+from dataclasses import asdict, fields
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,6 +31,7 @@ from barloom.plans.silver import distinct_bars, finish, silver
 from barloom.schemas import BRONZE, GOLD, SILVER
 from barloom.session import pin_utc, shared_path
 from barloom.sinks.tables import refresh_gold_date, refresh_gold_full, write_bronze, write_silver
+from barloom.sinks.versions import VersionedTable
 from barloom.sources import derived as D
 from barloom.sources.envelopes import parse_prev_envelope, parse_snapshot_envelope
 from barloom.sources.messages import decode_messages, decode_stats, split_good_bad
@@ -36,6 +39,7 @@ from barloom.sources.tables import read_bronze, register_table
 from barloom.sources.universe import restrict_to
 from barloom.streaming.bars import (
     late_ticks,
+    read_means,
     start_to_parquet,
     stream_dedup,
     stream_first_arrival,
@@ -189,6 +193,59 @@ def incremental_new_checkpoint(spark, sf):
     return read_silver(spark, out).select(*SILVER.fieldNames())
 
 
+def incremental_superseded(spark, sf):
+    """The later copies of bars come first, with other volumes; the first copies replace them when they come."""
+    bronze = _bronze(spark, sf)
+    first = first_arrival(bronze)
+    later = bronze.exceptAll(first).withColumn("volume", F.col("volume") + 1000)
+    raw, out, state, done = (shared_path(spark, n) for n in ("raw", "silver", "tails", "files"))
+    early = F.to_date(F.timestamp_millis("timestamp")) < F.lit(SPLIT_DAY).cast("date")
+    for delivery in (later.unionByName(first.filter(early & (F.expr("timestamp div 3600000") % 5 != 0))), first):
+        write_bronze(delivery, raw, PROCESSED_AT)
+        run_incremental(spark, raw, out, state, done)
+    return read_silver(spark, out).select(*SILVER.fieldNames())
+
+
+def incremental_counts(spark, sf):
+    """What a run over the whole folder reports."""
+    raw = shared_path(spark, "raw")
+    write_bronze(_bronze(spark, sf), raw, PROCESSED_AT)
+    told = run_incremental(spark, raw, *(shared_path(spark, n) for n in ("silver", "tails", "files")))
+    return spark.createDataFrame([asdict(told)], ", ".join(f"{f.name} bigint" for f in fields(told)))
+
+
+def incremental_crash(spark, sf):
+    """The run dies after it has written the second delivery's rows and before they are published; it is run again."""
+    bronze = _bronze(spark, sf)
+    raw, out, state, done = (shared_path(spark, n) for n in ("raw", "silver", "tails", "files"))
+    for delivery, dies in ((bronze.filter(~_late(bronze)), False), (bronze.filter(_late(bronze)), True)):
+        write_bronze(delivery, raw, PROCESSED_AT)
+        if dies:
+            with _unpublished():
+                try:
+                    run_incremental(spark, raw, out, state, done)
+                except Exception as error:
+                    if "nothing is published" not in str(error):
+                        raise
+        run_incremental(spark, raw, out, state, done)
+    return read_silver(spark, out).select(*SILVER.fieldNames())
+
+
+@contextmanager
+def _unpublished():
+    """Meanwhile no version of a table can be published."""
+    kept = VersionedTable.commit
+
+    def refuse(*_, **__):
+        raise RuntimeError("nothing is published")
+
+    VersionedTable.commit = refuse
+    try:
+        yield
+    finally:
+        VersionedTable.commit = kept
+
+
 def silver_partitioned_report(spark, sf):
     """The latest day of a silver table in date folders, of which one is read."""
     path = shared_path(spark, "silver")
@@ -332,7 +389,7 @@ def stream_rolling(spark, sf):
         part.write.mode("append").parquet(source)
         stream = spark.readStream.schema(part.schema).parquet(source)
         _run(stream_rolling_volume(stream, path, state, offsets))
-    return spark.read.parquet(path).select("symbol", "timestamp", "volume", "avg_volume_10bar")
+    return read_means(spark, path, part.schema).select("symbol", "timestamp", "volume", "avg_volume_10bar")
 
 
 def stream_rolling_late(spark, sf):
@@ -344,7 +401,7 @@ def stream_rolling_late(spark, sf):
         part.write.mode("append").parquet(source)
         stream = spark.readStream.schema(part.schema).parquet(source)
         _run(stream_rolling_volume(stream, path, state, offsets))
-    return spark.read.parquet(path).select("symbol", "timestamp", "volume", "avg_volume_10bar")
+    return read_means(spark, path, part.schema).select("symbol", "timestamp", "volume", "avg_volume_10bar")
 
 
 def stream_bronze_two_runs(spark, sf):
@@ -446,6 +503,9 @@ QUERIES: dict[str, Query] = {
     "incremental_silver": incremental_silver,
     "incremental_late_bars": incremental_late_bars,
     "incremental_new_checkpoint": incremental_new_checkpoint,
+    "incremental_superseded": incremental_superseded,
+    "incremental_crash": incremental_crash,
+    "incremental_counts": incremental_counts,
     "silver_partitioned_report": silver_partitioned_report,
     "dead_letter_bars": dead_letter_bars,
     "dead_letter_ticks": dead_letter_ticks,

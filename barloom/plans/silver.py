@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql.types import StructType
 
 from barloom.operators.clean import fill, usable
 from barloom.operators.dedup import first_arrival
@@ -27,18 +28,19 @@ def finish(
     market_hours: str = "utc_fixed",
     bucket_ms: int = DAY_MS,
     history: DataFrame | None = None,
+    schema: StructType = SILVER,
 ) -> DataFrame:
     """Derive and type the columns of distinct bars.
 
     The trailing mean comes before the derived columns: its shuffle then carries raw
     columns only. ``rolling=False`` leaves ``avg_volume_10bar`` null for readers that do
-    not need it.
+    not need it. ``schema`` may hold columns of ``bars`` beyond silver's.
     """
     if rolling:
         bars = trailing_mean(bars, bucket_ms=bucket_ms, history=history)
     bars = bars.transform(add_time_columns).transform(add_price_columns)
     bars = add_session_column(bars, market_hours).withColumnRenamed("timestamp", "timestamp_ms")
-    return conform(bars, SILVER)
+    return conform(bars, schema)
 
 
 def silver(bronze: DataFrame, **options) -> DataFrame:

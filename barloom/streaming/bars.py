@@ -3,27 +3,18 @@
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from barloom.operators.resample import bar_start, resample_ohlcv, usable_tick
 from barloom.operators.rolling import DAY_MS, trailing_mean
-from barloom.sources.files import complete_folders, exists, remove
+from barloom.sinks.versions import VersionedTable
 from barloom.streaming.held import late_rows
-from barloom.streaming.late import late_symbols, revise
+from barloom.streaming.means import BY, MeanTable, TailStore, date_of
 from barloom.streaming.runs import batch_mark
 
-TAIL = T.StructType(
-    [
-        T.StructField("symbol", T.StringType()),
-        T.StructField("timestamp", T.LongType()),
-        T.StructField("volume", T.LongType()),
-    ]
-)
-
-
 def stream_dedup(bars: DataFrame, delay: str = "1 day") -> DataFrame:
     """Drop a bar that was seen within ``delay`` of event time."""
     return (
@@ -84,55 +75,6 @@ def start_to_parquet(df: DataFrame, path: str, checkpoint: str) -> StreamingQuer
     )
 
 
-def last_bars(bars: DataFrame, rows: int = 10, order: str = "timestamp") -> DataFrame:
-    """The last ``rows`` bars of each symbol. Ranks are cut on the map side first."""
-    latest_first = Window.partitionBy("symbol").orderBy(F.col(order).desc())
-    return (
-        bars.select("symbol", order, "volume")
-        .withColumn("_rank", F.row_number().over(latest_first))
-        .filter(F.col("_rank") <= rows)
-        .drop("_rank")
-    )
-
-
-class TailStore:
-    """The last bars of every symbol after each micro-batch, as one small folder per batch.
-
-    A batch continues from the newest folder that another batch left, whichever run that
-    was, and writes its own, so running a batch again gives the same result. Size: a few
-    rows per symbol, however long the stream; old folders are removed.
-    """
-
-    KEPT = 10
-
-    def __init__(self, path: str, rows: int = 10):
-        self.path = path.rstrip("/")
-        self.rows = rows
-
-    def before(self, spark: SparkSession, mark: str) -> DataFrame | None:
-        others = [name for name in complete_folders(spark, self.path) if name != f"batch={mark}"]
-        return spark.read.schema(TAIL).parquet(f"{self.path}/{others[-1]}") if others else None
-
-    def save(self, bars: DataFrame, earlier: DataFrame | None, mark: str) -> None:
-        slim = bars.select("symbol", "timestamp", "volume")
-        if earlier is not None:
-            slim = slim.unionByName(earlier)
-        last_bars(slim, self.rows).write.mode("overwrite").parquet(f"{self.path}/batch={mark}")
-        for name in complete_folders(bars.sparkSession, self.path)[: -self.KEPT]:
-            remove(bars.sparkSession, f"{self.path}/{name}")
-
-
-def write_batch(df: DataFrame, path: str, mark: str, by: tuple[str, ...] = ()) -> None:
-    """Write a micro-batch so that a repeat of it replaces the first try."""
-    (
-        df.withColumn("batch", F.lit(mark))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*by, "batch")
-        .parquet(path)
-    )
-
-
 def stream_rolling_volume(
     bars: DataFrame,
     path: str,
@@ -146,46 +88,27 @@ def stream_rolling_volume(
     Each micro-batch runs the batch operator with the last bars before it as history,
     so a busy symbol is spread over tasks here too. If bars come after later bars of
     their symbol, they are placed among the stored ones and the means that they change are
-    written anew; so the table always equals the batch result.
+    written anew; so the table (:func:`read_means`) always equals the batch result. A batch becomes visible
+    at once or not at all.
     """
     tails = TailStore(state, rows)
-    schema = T.StructType(
-        [
-            *bars.schema.fields,
-            T.StructField("avg_volume_10bar", T.DoubleType()),
-            T.StructField("batch", T.StringType()),
-        ]
-    )
+
+    def complete(new: DataFrame, history: DataFrame | None) -> DataFrame:
+        means = trailing_mean(new.drop("_gone", BY), rows=rows, bucket_ms=bucket_ms, history=history)
+        return means.withColumn(BY, date_of("timestamp"))
 
     def process(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         mark = batch_mark(session, checkpoint, batch_id)
-        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        table = MeanTable(session, path, _with_mean(bars.schema), complete, tails, order="timestamp", bucket_ms=bucket_ms)
+        version = table.table.current()
+        if version.has(mark):
+            return
+        fresh = batch.withColumns({BY: date_of("timestamp"), "_gone": F.lit(False)}).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            stored = (
-                session.read.schema(schema).parquet(path).filter(F.col("batch") != mark)
-                if exists(session, path)
-                else None
-            )
-            slim = stored.select("symbol", "timestamp", "volume") if stored is not None else None
-            earlier = tails.before(session, mark)
-            if earlier is None and slim is not None:  # the state was lost
-                earlier = last_bars(slim, rows)
-            history, symbols = earlier, None
-            if stored is not None:
-                symbols = late_symbols(batch, earlier)
-                if symbols.isEmpty():
-                    symbols = None
-                else:
-                    history = slim.join(symbols, "symbol", "left_semi").unionByName(
-                        earlier.join(symbols, "symbol", "left_anti")
-                    )
-            write_batch(trailing_mean(batch, rows=rows, bucket_ms=bucket_ms, history=history), path, mark)
-            tails.save(batch, earlier, mark)
-            if symbols is not None:  # last, as it replaces files that the steps before it read
-                revise(stored, batch, symbols, path, ("batch",), order="timestamp", rows=rows, bucket_ms=bucket_ms)
+            table.apply(version, fresh, mark)
         finally:
-            batch.unpersist()
+            fresh.unpersist()
 
     return (
         bars.writeStream.foreachBatch(process)
@@ -193,3 +116,12 @@ def stream_rolling_volume(
         .trigger(availableNow=True)
         .start()
     )
+
+
+def _with_mean(bars: T.StructType) -> T.StructType:
+    return T.StructType([*bars.fields, T.StructField("avg_volume_10bar", T.DoubleType())])
+
+
+def read_means(spark: SparkSession, path: str, bars: T.StructType) -> DataFrame:
+    """What :func:`stream_rolling_volume` has stored at ``path`` for bars of that schema."""
+    return VersionedTable(spark, path, BY).read(_with_mean(bars)).drop("write", BY)

@@ -2,33 +2,62 @@
 
 from __future__ import annotations
 
+from dataclasses import asdict, dataclass
+
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barloom.operators.dedup import append_new_only
+from barloom.operators.clean import fill, usable
+from barloom.operators.dedup import arrival_order, first_usable
 from barloom.operators.rolling import DAY_MS
-from barloom.plans.silver import distinct_bars, finish
+from barloom.plans.silver import finish
 from barloom.schemas import BRONZE, SILVER
-from barloom.sinks.tables import FOLDER_OF
-from barloom.sources.files import exists
-from barloom.streaming.bars import TailStore, last_bars, write_batch
-from barloom.streaming.late import late_symbols, revise
+from barloom.sinks.versions import VersionedTable
+from barloom.streaming.means import BY, MeanTable, TailStore, date_of
 from barloom.streaming.runs import batch_mark
 
-_BY_DATE = FOLDER_OF["trade_date"]
-_STORED = T.StructType(
-    [
-        *SILVER.fields,
-        T.StructField(_BY_DATE, T.DateType()),
-        T.StructField("batch", T.StringType()),
-    ]
-)
+_RAW = T.StructType([f for f in BRONZE.fields if f.name not in ("symbol", "timestamp", "ingestion_time")])
+#: Silver as it is stored here: with the raw values beside the typed ones, as copies that arrive at the same moment
+#: are told apart by them.
+STORED = T.StructType([*SILVER.fields, T.StructField("raw", _RAW)])
 
 
 def read_silver(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(_STORED).parquet(path)
+    """The silver table at ``path``, with its folder column by_date."""
+    return VersionedTable(spark, path, BY).read(SILVER).drop("write")
+
+
+@dataclass
+class RunCounts:
+    """What a run did. The first four are those of :func:`~barloom.operators.dedup.stage_counts`, added up over its batches."""
+
+    rows_read: int = 0
+    rows_after_dedup: int = 0
+    duplicates_removed: int = 0
+    rows_final: int = 0
+    #: Rows that miss a key or a price, or whose price cannot be stored.
+    set_aside: int = 0
+    #: Keys that silver did not hold, keys whose stored copy was replaced, other bars whose mean changed.
+    added: int = 0
+    replaced: int = 0
+    mended: int = 0
+
+    def __iadd__(self, other: RunCounts) -> RunCounts:
+        for name, n in asdict(other).items():
+            setattr(self, name, getattr(self, name) + n)
+        return self
+
+
+def changes(bars: DataFrame, stored: DataFrame | None) -> DataFrame:
+    """The bars that ``stored`` lacks or holds in a copy that arrived later, with ``_gone`` for the latter."""
+    if stored is None:
+        return bars.withColumn("_gone", F.lit(False))
+    known = stored.select("symbol", F.col("timestamp_ms").alias("timestamp"), arrival_order("ingestion_time", "raw").alias("_known"))
+    met = bars.join(known, ["symbol", "timestamp"], "left")
+    better = F.col("_known").isNull() | (arrival_order("ingestion_time", "raw") < F.col("_known"))
+    return met.filter(better).withColumn("_gone", F.col("_known").isNotNull()).drop("_known")
 
 
 def run_incremental(
@@ -41,62 +70,51 @@ def run_incremental(
     max_files: int | None = None,
     market_hours: str = "utc_fixed",
     bucket_ms: int = DAY_MS,
-) -> int:
-    """Process the bronze files that no earlier run has seen; returns the rows added.
-
-    Which files are done is in the checkpoint. Keys that silver already holds are left
-    out, whichever run wrote them, looked up only in the dates the new bars fall on. The
-    trailing mean continues from the stored last bars of each symbol; bars that come after
-    later ones change the means stored for those, which are written anew. A batch that is
-    run again replaces what its first try wrote; a new checkpoint adds nothing twice.
+) -> RunCounts:
+    """Process the bronze files that no earlier run has seen.
+
+    Which files are done is in the checkpoint. Keys that silver already holds are left out, whichever run wrote them,
+    unless the new copy arrived before the stored one, which it then replaces: silver is what one batch over all
+    deliveries would give. Only the dates that the new bars fall on are looked up. The trailing mean continues from the stored last
+    bars of each symbol; bars that come after later ones, or replace some, change the means stored for those. All of it
+    becomes visible at once, and a batch that is run again after that changes nothing. Another run that publishes
+    meanwhile makes this one fail and try again.
     """
     tails = TailStore(state)
-    added = [0]
+    counts = RunCounts()
+
+    def complete(bars: DataFrame, history: DataFrame | None) -> DataFrame:
+        rows = finish(bars, history=history, market_hours=market_hours, bucket_ms=bucket_ms, schema=STORED)
+        return rows.withColumn(BY, F.col("trade_date"))
 
     def process(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         mark = batch_mark(session, checkpoint, batch_id)
-        usable = distinct_bars(batch).withColumns(
-            {"timestamp_ms": F.col("timestamp"), _BY_DATE: F.to_date(F.timestamp_millis("timestamp"))}
-        )
-        usable = usable.persist(StorageLevel.MEMORY_AND_DISK)
-        stored = None
-        bars = usable
-        if exists(session, silver):
-            stored = read_silver(session, silver).filter(F.col("batch") != mark)
-            bars = append_new_only(usable, stored, within=_BY_DATE)
-        bars = bars.select(*BRONZE.fieldNames()).persist(StorageLevel.MEMORY_AND_DISK)
+        table = MeanTable(session, silver, STORED, complete, tails, order="timestamp_ms", bucket_ms=bucket_ms)
+        version = table.table.current()
+        if version.has(mark):
+            return
+        seen, kept = Observation(), Observation()
+        rows = batch.select(*BRONZE.fieldNames())
+        rows = rows.observe(seen, F.count("*").alias("rows_read"), F.count_if(~usable()).alias("set_aside"))
+        bars = first_usable(rows, usable(), kept)
+        bars = fill(bars.withColumn("raw", F.struct(*_RAW.fieldNames())))
+        bars = bars.withColumn(BY, date_of("timestamp")).persist(StorageLevel.MEMORY_AND_DISK)
+        fresh = None
         try:
-            earlier = tails.before(session, mark)
-            history, symbols = earlier, None
-            if stored is not None:
-                slim = stored.select("symbol", F.col("timestamp_ms").alias("timestamp"), "volume")
-                if earlier is None:  # the state was lost
-                    earlier = history = last_bars(slim)
-                symbols = late_symbols(bars, earlier)
-                if symbols.isEmpty():
-                    symbols = None
-                else:
-                    history = slim.join(symbols, "symbol", "left_semi").unionByName(
-                        earlier.join(symbols, "symbol", "left_anti")
-                    )
-            rows = finish(bars, history=history, market_hours=market_hours, bucket_ms=bucket_ms)
-            write_batch(
-                rows.withColumn(_BY_DATE, F.col("trade_date")).hint("rebalance", _BY_DATE),
-                silver,
-                mark,
-                by=(_BY_DATE,),
+            dates = [r[0] for r in bars.select(BY).distinct().collect()]  # days
+            met = version.on(map(str, dates))
+            fresh = changes(bars, table.stored(version, dates) if met else None).persist(StorageLevel.MEMORY_AND_DISK)
+            change = table.apply(version, fresh, mark)
+            told = kept.get
+            nonlocal counts
+            counts += RunCounts(
+                **seen.get, **told, duplicates_removed=seen.get["rows_read"] - told["rows_after_dedup"], **asdict(change)
             )
-            tails.save(bars, earlier, mark)
-            if symbols is not None:  # last, as it replaces files that the steps before it read
-                revise(
-                    stored, bars, symbols, silver, (_BY_DATE, "batch"),
-                    order="timestamp_ms", rows=10, bucket_ms=bucket_ms,
-                )
-            added[0] += bars.count()
         finally:
+            if fresh is not None:
+                fresh.unpersist()
             bars.unpersist()
-            usable.unpersist()
 
     reader = spark.readStream.schema(BRONZE).option("recursiveFileLookup", "true")
     if max_files is not None:
@@ -109,4 +127,4 @@ def run_incremental(
         .start()
         .awaitTermination()
     )
-    return added[0]
+    return counts

@@ -269,6 +269,14 @@ FROM records WHERE failure IS NOT NULL""",
         "incremental_silver": f"{SILVER} SELECT * FROM silver",
         "incremental_late_bars": f"{SILVER} SELECT * FROM silver",
         "incremental_new_checkpoint": f"{SILVER} SELECT * FROM silver",
+        "incremental_superseded": f"{SILVER} SELECT * FROM silver",
+        "incremental_crash": f"{SILVER} SELECT * FROM silver",
+        "incremental_counts": f"""{HOURLY},
+keys AS (SELECT symbol, timestamp, COUNT(*) AS copies, COUNT(*) FILTER ({USABLE}) AS usable FROM bronze GROUP BY ALL)
+SELECT CAST(SUM(copies) AS BIGINT) AS rows_read, COUNT(*) AS rows_after_dedup,
+       CAST(SUM(copies) AS BIGINT) - COUNT(*) AS duplicates_removed, COUNT(*) FILTER (usable > 0) AS rows_final,
+       CAST(SUM(copies - usable) AS BIGINT) AS set_aside, COUNT(*) FILTER (usable > 0) AS added,
+       0::BIGINT AS replaced, 0::BIGINT AS mended FROM keys""",
         "silver_partitioned_report": f"{SILVER} SELECT symbol, timestamp_ms, close FROM silver WHERE {DAY}",
         "dead_letter_bars": f"""{HOURLY},
 planted AS (

@@ -16,6 +16,7 @@ from barloom.sinks.tables import write_bronze
 from barloom.sources.tables import read_bronze
 from barloom.streaming.bars import (
     late_ticks,
+    read_means,
     start_to_parquet,
     stream_dedup,
     stream_first_arrival,
@@ -23,7 +24,7 @@ from barloom.streaming.bars import (
     stream_rolling_volume,
 )
 from barloom.streaming.held import LogGone, held_bars, held_first_copies, with_held
-from barloom.streaming.incremental import read_silver, run_incremental
+from barloom.streaming.incremental import RunCounts, read_silver, run_incremental
 from barloom.streaming.ingest import TRANSPORT, read_messages, stream_bronze
 
 HOUR = 3_600_000
@@ -185,7 +186,7 @@ def test_rolling_volume_across_batches(spark, tmp_path):
         stream_rolling_volume(stream, out, str(tmp_path / "st"), str(tmp_path / "cp"), bucket_ms=600_000).awaitTermination()
     frame = Window.partitionBy("symbol").orderBy("timestamp").rowsBetween(-10, -1)
     want = spark.createDataFrame(rows, schema).withColumn("avg_volume_10bar", F.avg("volume").over(frame))
-    got = spark.read.parquet(out).select(*want.columns)
+    got = read_means(spark, out, spark.createDataFrame([], schema).schema).select(*want.columns)
     assert sorted(got.collect(), key=repr) == sorted(want.collect(), key=repr)
 
 
@@ -196,15 +197,15 @@ def test_incremental_equals_one_batch_and_a_rerun_adds_nothing(spark, tmp_path):
     args = [str(tmp_path / n) for n in ("raw", "silver", "state", "cp")]
     first = [r for r in rows if r[7] < 4 * day]
     write_bronze(bronze(spark, first), args[0])
-    assert run_incremental(spark, *args) == len({(r[0], r[7]) for r in first if r[1] is not None})
+    assert run_incremental(spark, *args).added == len({(r[0], r[7]) for r in first if r[1] is not None})
     write_bronze(bronze(spark, rows[-40:] + rows), args[0])
-    added = run_incremental(spark, *args, max_files=100)
+    added = run_incremental(spark, *args, max_files=100).added
     assert added == len({(r[0], r[7]) for r in rows if r[7] >= 4 * day})
-    assert run_incremental(spark, *args) == 0
+    assert run_incremental(spark, *args) == RunCounts()
     got = read_silver(spark, args[1]).select(*SILVER.fieldNames())
     want = silver(bronze(spark, rows))
     assert sorted(got.collect(), key=repr) == sorted(want.collect(), key=repr)
-    assert {p.name for p in Path(args[1]).glob("by_date=*")} and distinct_bars(bronze(spark, rows)).count() == got.count()
+    assert {p.name for p in Path(args[1]).rglob("by_date=*")} and distinct_bars(bronze(spark, rows)).count() == got.count()
 
 
 def test_two_runs_into_one_silver(spark, tmp_path):
@@ -223,7 +224,7 @@ def test_a_late_bar_mends_the_means_after_it(spark, tmp_path):
     args = [str(tmp_path / n) for n in ("raw", "silver", "state", "cp")]
     for part in ([r for i, r in enumerate(rows) if i not in (0, 5)], [rows[5]], [rows[0]]):
         write_bronze(bronze(spark, part), args[0])
-        assert run_incremental(spark, *args) == len(part)
+        assert run_incremental(spark, *args).added == len(part)
     got = read_silver(spark, args[1]).select(*SILVER.fieldNames())
     assert sorted(got.collect(), key=repr) == sorted(silver(bronze(spark, rows)).collect(), key=repr)
 

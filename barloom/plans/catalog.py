@@ -28,9 +28,10 @@ from barloom.operators.retention import retention_tiers
 from barloom.operators.rolling import trailing_mean
 from barloom.plans import reports as R
 from barloom.plans.silver import distinct_bars, finish, silver
-from barloom.schemas import BRONZE, GOLD, SILVER
+from barloom.schemas import BRONZE, SILVER
 from barloom.session import pin_utc, shared_path
-from barloom.sinks.tables import refresh_gold_date, refresh_gold_full, write_bronze, write_silver
+from barloom.sinks.gold import GoldTable, gold_rows
+from barloom.sinks.tables import write_bronze, write_silver
 from barloom.sinks.versions import VersionedTable
 from barloom.sources import derived as D
 from barloom.sources.envelopes import parse_prev_envelope, parse_snapshot_envelope
@@ -139,11 +140,29 @@ def gold_refresh(spark, sf):
     """Full load of all days but the latest, then the latest day on its own."""
     bars = _silver(spark, sf)
     latest = bars.agg(F.max("trade_date").alias("d")).first().d
-    path = refresh_gold_full(
-        bars.filter(F.col("trade_date") < F.lit(latest)), shared_path(spark, "gold"), "gold_bars"
-    )
-    refresh_gold_date(bars, path, latest)
-    return spark.read.schema(GOLD).parquet(path).select(*GOLD.fieldNames())
+    gold = GoldTable(spark, shared_path(spark, "gold"))
+    gold.refresh_full(bars.filter(F.col("trade_date") < F.lit(latest)))
+    gold.refresh_date(bars, latest)
+    return gold.read()
+
+
+def gold_created(spark, sf):
+    """A catalog table set up over date folders that were loaded before."""
+    path = shared_path(spark, "gold")
+    gold_rows(_silver(spark, sf)).write.partitionBy("trade_date").parquet(path)
+    GoldTable(spark, path, "gold_created_bars").create()
+    return spark.sql("SELECT symbol, timestamp_ms, trade_date, close, volume FROM gold_created_bars")
+
+
+def gold_two_sessions(spark, sf):
+    """One session loads and then replaces the latest day; another reads by the catalog's name."""
+    bars = _silver(spark, sf)
+    latest = bars.agg(F.max("trade_date").alias("d")).first().d
+    gold = GoldTable(spark, shared_path(spark, "gold"), "gold_shared_bars", buckets=4)
+    gold.refresh_full(bars.withColumn("volume", F.when(F.col("trade_date") < F.lit(latest), F.col("volume")).otherwise(F.lit(0))))
+    gold.refresh_date(bars, latest)
+    other = pin_utc(spark.newSession())
+    return other.table("gold_shared_bars")
 
 
 def incremental_silver(spark, sf):
@@ -161,9 +180,10 @@ def gold_date_emptied(spark, sf):
     """Full load, then a refresh of the latest day from a silver that no longer has it."""
     bars = _silver(spark, sf)
     latest = bars.agg(F.max("trade_date").alias("d")).first().d
-    path = refresh_gold_full(bars, shared_path(spark, "gold"), "gold_bars")
-    refresh_gold_date(bars.filter(F.col("trade_date") < F.lit(latest)), path, latest)
-    return spark.read.schema(GOLD).parquet(path).select(*GOLD.fieldNames())
+    gold = GoldTable(spark, shared_path(spark, "gold"))
+    gold.refresh_full(bars)
+    gold.refresh_date(bars.filter(F.col("trade_date") < F.lit(latest)), latest)
+    return gold.read()
 
 
 def _late(bronze: DataFrame) -> F.Column:
@@ -499,6 +519,8 @@ QUERIES: dict[str, Query] = {
     "unusable_bars": lambda spark, sf: unusable_bars(_bronze(spark, sf)),
     "bronze_scan": bronze_scan,
     "gold_refresh": gold_refresh,
+    "gold_created": gold_created,
+    "gold_two_sessions": gold_two_sessions,
     "gold_date_emptied": gold_date_emptied,
     "incremental_silver": incremental_silver,
     "incremental_late_bars": incremental_late_bars,

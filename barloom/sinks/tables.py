@@ -1,18 +1,15 @@
-"""Writing the three layers."""
+"""Writing bronze and silver, and how gold is laid out."""
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
-from datetime import date, datetime, timezone
+from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barloom.operators.contract import apply_defaults
-from barloom.schemas import BRONZE, FOLDER_OF, GOLD, SILVER, conform
-from barloom.sources.files import remove
+from barloom.schemas import BRONZE, FOLDER_OF, SILVER, conform
 
 
 def day_folders(at) -> dict:
@@ -85,49 +82,3 @@ def layout_gold(df: DataFrame) -> DataFrame:
     return df.repartitionByRange("symbol", "trade_date", "event_time").sortWithinPartitions(
         "symbol", "trade_date", "event_time"
     )
-
-
-def create_gold(spark: SparkSession, table: str, path: str) -> None:
-    """Drop ``table`` if it exists and create it anew over ``path``, partitioned by date."""
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in GOLD.fields)
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
-    spark.sql(
-        f"CREATE TABLE {table} ({columns}) USING parquet "
-        f"PARTITIONED BY (trade_date) LOCATION '{path}'"
-    )
-
-
-def _gold_rows(silver: DataFrame) -> DataFrame:
-    rows = apply_defaults(conform(silver, GOLD))
-    return rows.hint("rebalance", "trade_date").sortWithinPartitions("trade_date", "symbol", "event_time")
-
-
-def refresh_gold_full(silver: DataFrame, root: str, view: str) -> str:
-    """Load everything into a new version below ``root``, then point ``view`` at it.
-
-    Readers of the old version are not disturbed and a failed load changes nothing.
-    Returns the new version's path.
-    """
-    path = f"{root.rstrip('/')}/version-{uuid.uuid4().hex}"
-    _gold_rows(silver).write.partitionBy("trade_date").parquet(path)
-    spark = silver.sparkSession
-    spark.read.schema(GOLD).parquet(path).createOrReplaceTempView(view)
-    return path
-
-
-def refresh_gold_date(silver: DataFrame, path: str, day: date | str) -> None:
-    """Replace one date of the gold table and leave the other dates alone.
-
-    A date without rows is removed.
-    """
-    rows = silver.filter(F.col("trade_date") == F.lit(day).cast("date"))
-    if rows.isEmpty():
-        remove(silver.sparkSession, f"{path.rstrip('/')}/trade_date={day}")
-        return
-    (
-        _gold_rows(rows)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("trade_date")
-        .parquet(path)
-    )

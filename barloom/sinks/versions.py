@@ -94,11 +94,22 @@ class VersionedTable:
             return self.spark.createDataFrame([], full)
         return self.spark.read.schema(full).option("basePath", self.path).parquet(*map(self.place, chosen))
 
-    def add(self, rows: DataFrame) -> list[Folder]:
-        """Write ``rows`` (with the column ``by``) into new folders, which are not part of the table yet."""
+    def add(self, rows: DataFrame, sort_by: tuple[str, ...] = (), bucket_by: tuple[str, int] | None = None) -> list[Folder]:
+        """Write ``rows`` (with the column ``by``) into new folders, which are not part of the table yet.
+
+        Rows are gathered per date first, by a rebalance, which splits a date that is too big for one task, and
+        sorted within a file. With ``bucket_by`` (a column and how many) the files of a date are split by that column instead.
+        """
         write = uuid.uuid4().hex
         place = f"{self.path}/write={write}"
-        rows.hint("rebalance", self.by).write.partitionBy(self.by).parquet(place)
+        if bucket_by is None:
+            rows = rows.hint("rebalance", self.by)
+            rows = rows.sortWithinPartitions(self.by, *sort_by) if sort_by else rows
+            rows.write.partitionBy(self.by).parquet(place)
+        else:  # bucketed files are written by way of a catalog table; dropping it leaves them in place
+            writer = rows.write.partitionBy(self.by).bucketBy(bucket_by[1], bucket_by[0]).option("path", place)
+            (writer.sortBy(*sort_by) if sort_by else writer).format("parquet").saveAsTable(f"write_{write}")
+            self.spark.sql(f"DROP TABLE write_{write}")
         found = [n for n in children(self.spark, place) if n.startswith(f"{self.by}=")]
         return [Folder(name.split("=", 1)[1], write) for name in found]
 

@@ -263,6 +263,8 @@ FROM records WHERE failure IS NOT NULL""",
         f"WHERE NOT ({USABLE})",
         "bronze_scan": f"{HOURLY} SELECT {BRONZE_COLUMNS}, 2024 AS year, 2 AS month, 1 AS day "
         "FROM bronze",
+        "gold_created": f"{SILVER} SELECT symbol, timestamp_ms, trade_date, close, volume FROM silver",
+        "gold_two_sessions": f"{SILVER} SELECT * REPLACE (COALESCE(volume, 0) AS volume) FROM silver",
         "gold_refresh": f"{SILVER} SELECT * REPLACE (COALESCE(volume, 0) AS volume) FROM silver",
         "gold_date_emptied": f"{SILVER} SELECT * REPLACE (COALESCE(volume, 0) AS volume) FROM silver "
         "WHERE trade_date <> (SELECT MAX(trade_date) FROM silver)",

@@ -13,14 +13,8 @@ from barloom.operators.retention import retention_tier, unexpired
 from barloom.plans.reports import on_day
 from barloom.plans.silver import silver
 from barloom.schemas import BRONZE, GOLD, SILVER
-from barloom.sinks.tables import (
-    create_gold,
-    layout_gold,
-    refresh_gold_date,
-    refresh_gold_full,
-    write_bronze,
-    write_silver,
-)
+from barloom.sinks.gold import GoldTable, gold_rows
+from barloom.sinks.tables import layout_gold, write_bronze, write_silver
 from barloom.sources.tables import fresh_files, has_new_data, read_bronze, register_table
 
 NOON = datetime(2024, 1, 5, 14, 30, tzinfo=timezone.utc)
@@ -87,31 +81,63 @@ def test_silver_append(spark, tmp_path, bars):
 
 
 def test_gold_full_refresh_leaves_the_old_version_readable(spark, tmp_path, bars):
-    root = str(tmp_path / "gold")
-    first = refresh_gold_full(bars.filter("symbol = 'A'"), root, "gold_t")
-    old = spark.read.parquet(first)
-    second = refresh_gold_full(bars, root, "gold_t")
-    assert first != second
-    assert old.count() == 15 and spark.table("gold_t").count() == 30
-    assert spark.table("gold_t").schema.fieldNames() != [] and set(spark.table("gold_t").columns) == set(GOLD.fieldNames())
+    gold = GoldTable(spark, str(tmp_path / "gold"), "gold_t")
+    first = gold.refresh_full(bars.filter("symbol = 'A'"))
+    old, shown = gold.read(), spark.table("gold_t")
+    second = gold.refresh_full(bars)
+    assert not first.folders & second.folders
+    assert old.count() == shown.count() == 15 and spark.table("gold_t").count() == 30
+    assert spark.table("gold_t").columns == GOLD.fieldNames()
     pruned = spark.table("gold_t").filter(F.col("trade_date") == F.lit("1970-01-03").cast("date"))
     assert pruned.count() == 10 and "PartitionFilters: [isnotnull(trade_date" in plan_of(pruned)
 
 
 def test_gold_date_refresh_touches_one_date(spark, tmp_path, bars):
-    path = refresh_gold_full(bars, str(tmp_path / "gold"), "gold_d")
-    changed = bars.withColumn("volume", F.lit(1).cast("bigint"))
-    refresh_gold_date(changed, path, date(1970, 1, 3))
-    got = spark.read.parquet(path).groupBy("trade_date").agg(F.sum("volume").alias("v")).collect()
-    assert {r.trade_date.day: r.v for r in got} == {2: 1000, 3: 10, 4: 1000}
-
-
-def test_create_gold_starts_from_nothing(spark, tmp_path):
-    for n in (1, 2):
-        create_gold(spark, "ohlcv_t", str(tmp_path / f"g{n}"))
+    gold = GoldTable(spark, str(tmp_path / "gold"), "gold_d")
+    before = gold.refresh_full(bars)
+    after = gold.refresh_date(bars.withColumn("volume", F.lit(1).cast("bigint")), date(1970, 1, 3))
+    for table in (gold.read(), spark.table("gold_d"), spark.newSession().table("gold_d")):
+        got = table.groupBy("trade_date").agg(F.sum("volume").alias("v")).collect()
+        assert {r.trade_date.day: r.v for r in got} == {2: 1000, 3: 10, 4: 1000}
+    assert {f.date for f in before.folders ^ after.folders} == {"1970-01-03"}
+
+
+def test_a_load_that_fails_moves_nothing(spark, tmp_path, bars):
+    gold = GoldTable(spark, str(tmp_path / "gold"), "gold_f")
+    gold.refresh_full(bars)
+    broken = bars.withColumn("volume", F.raise_error(F.lit("broken")).cast("bigint"))
+    with pytest.raises(Exception, match="broken"):
+        gold.refresh_date(broken, "1970-01-03")
+    assert spark.table("gold_f").count() == gold.read().count() == 30
+
+
+def test_bucketed_gold_groups_by_symbol_without_a_shuffle(spark, tmp_path, bars):
+    gold = GoldTable(spark, str(tmp_path / "gold"), "gold_b", buckets=3)
+    gold.refresh_full(bars)
+    gold.refresh_date(bars.filter("symbol = 'A'"), "1970-01-03")
+    sums = spark.table("gold_b").groupBy("symbol").agg(F.sum("volume").alias("v"))
+    assert "Exchange" not in plan_of(sums)
+    assert {r.symbol: r.v for r in sums.collect()} == {"A": 1500, "B": 1000}
+    assert sorted(spark.table("gold_b").collect()) == sorted(gold.read().collect())
+
+
+def test_create_gold_shows_what_lies_there(spark, tmp_path, bars):
+    empty = GoldTable(spark, str(tmp_path / "none's"), "ohlcv_t")
+    for _ in range(2):
+        empty.create()
         assert spark.table("ohlcv_t").count() == 0
     assert set(spark.table("ohlcv_t").columns) == set(GOLD.fieldNames())
-    spark.sql("DROP TABLE ohlcv_t")
+    plain = str(tmp_path / "it's plain")
+    gold_rows(bars).write.partitionBy("trade_date").parquet(plain)
+    GoldTable(spark, plain, "ohlcv_t").create()
+    assert spark.table("ohlcv_t").count() == 30
+    mine = GoldTable(spark, str(tmp_path / "it's mine"))
+    mine.refresh_full(bars.filter("symbol = 'A'"))
+    again = GoldTable(spark, str(tmp_path / "it's mine"), "ohlcv_t")
+    again.create()
+    assert spark.table("ohlcv_t").count() == 15
+    again.create()
+    assert spark.newSession().table("ohlcv_t").count() == 15
 
 
 def test_layout_sorts_and_splits_a_hot_symbol(spark, tmp_path):
@@ -180,9 +206,10 @@ def test_retention(spark):
 
 
 def test_an_emptied_date_leaves_gold(spark, tmp_path, bars):
-    path = refresh_gold_full(bars, str(tmp_path / "gold"), "gold_to_empty")
-    refresh_gold_date(bars.filter("trade_date <> '1970-01-03'"), path, "1970-01-03")
-    left = {str(r.trade_date) for r in spark.read.parquet(path).select("trade_date").distinct().collect()}
+    gold = GoldTable(spark, str(tmp_path / "gold"), "gold_to_empty")
+    gold.refresh_full(bars)
+    gold.refresh_date(bars.filter("trade_date <> '1970-01-03'"), "1970-01-03")
+    left = {str(r.trade_date) for r in spark.table("gold_to_empty").select("trade_date").distinct().collect()}
     assert left == {"1970-01-02", "1970-01-04"}
 
 

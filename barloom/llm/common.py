@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -26,6 +29,55 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Rows without a key of their own are numbered from here on; keys are taken to lie below.
+UNKEYED = 1 << 62
+
+
+def unique_key(docs: DataFrame, key: str, name: str) -> tuple[DataFrame, bool]:
+    """``docs`` with a column ``name`` of integers that tell its rows apart, and whether they are more than the key.
+
+    A row's number is its key. Of rows that repeat a key one keeps it; the others, and rows without a key, get
+    numbers from ``UNKEYED`` on. Only then is the table written out, so that the numbers stay what they are.
+    """
+    own = F.col(f"`{key}`").cast("long")
+    twice = docs.groupBy(own.alias("k")).agg(F.count("*").alias("n")).where("n > 1 OR k IS NULL")
+    if twice.isEmpty():
+        return docs.withColumn(name, own), False
+    rows = stored(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered-rows")
+    first = rows.groupBy(own.alias("__key")).agg(F.min("__row").alias("__first"), F.count("*").alias("__n"))
+    first = first.where("__n > 1 AND __key IS NOT NULL").drop("__n")
+    met = rows.join(first, own == F.col("__key"), "left")
+    spare = own.isNull() | (F.col("__first").isNotNull() & (F.col("__first") != F.col("__row")))
+    numbered = met.withColumn(name, F.when(spare, F.col("__row") + UNKEYED).otherwise(own))
+    return numbered.drop("__row", "__key", "__first"), True
+
+
+class WordMemory(dict):
+    """Values by word, forgotten all at once when the words take more than ``limit`` bytes, roughly."""
+
+    def __init__(self, limit: int, each: int):
+        super().__init__()
+        self.limit, self.each, self.taken = limit, each, 0
+
+    def has_room(self, words: list) -> bool:
+        """Count ``words`` in; False, with everything forgotten, if they do not fit beside the others."""
+        size = sum(map(len, words)) + self.each * len(words)
+        fits = self.taken + size <= self.limit
+        if not fits:
+            self.clear()
+            self.taken = 0
+        self.taken += size
+        return fits
+
+
+def _let_go() -> None:
+    """Give memory that a task no longer uses back to the system, as the worker stays for other tasks."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def in_batches(
     df: DataFrame, schema: str, work: Callable[[pa.RecordBatch], pa.RecordBatch | None], setup: Callable[[], object] | None = None
 ) -> DataFrame:
@@ -36,10 +88,14 @@ def in_batches(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state = setup() if setup else None
-        for batch in batches:
-            out = work(batch, state) if setup else work(batch)
-            if out is not None:
-                yield out
+        try:
+            for batch in batches:
+                out = work(batch, state) if setup else work(batch)
+                if out is not None:
+                    yield out
+        finally:
+            state = batch = out = None
+            _let_go()
 
     return df.mapInArrow(run, schema)
 
@@ -85,5 +141,7 @@ def _grouped(keys: list[str], work):
                 last = key
         if held:
             yield from work(pa.Table.from_batches(held))
+        held = batch = columns = None
+        _let_go()
 
     return run

@@ -21,14 +21,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barloom.llm.common import hash_order, held_out, in_batches
+from barloom.llm.common import WordMemory, hash_order, held_out, in_batches
 from barloom.llm.word_hash import BITS, WORD, word_features
 
 #: Documents sampled per language for training, their longest text, and their words per sequence.
 SAMPLE, SAMPLE_CHARS, LENGTH = 300, 20_000, 64
 EPOCHS, RATE, SHRINK = 3, 0.5, 1e-4
-#: Words a worker remembers the scores of.
-CACHE = 300_000
+#: Bytes that the words a worker remembers the scores of may take, and what one takes beside its letters.
+MEMORY, EACH = 32 << 20, 200
 NONE = "und"
 
 
@@ -82,17 +82,17 @@ def forward_backward(scores: np.ndarray, lengths: np.ndarray, trans: np.ndarray,
 class Model:
     def __init__(self, languages: list[str], weights: np.ndarray, trans: np.ndarray):
         self.languages, self.weights, self.trans = languages, weights, trans
-        self.known: dict[str, int] = {}
+        self.known = WordMemory(MEMORY, EACH)
         self.scores = np.zeros((0, len(languages)), np.float32)
 
     def word_scores(self, words: list[str]) -> np.ndarray:
         known = self.known
         fresh = [w for w in dict.fromkeys(words) if w not in known]
         if fresh:
-            if len(known) + len(fresh) > CACHE:
-                known.clear()
+            if not known.has_room(fresh):
                 self.scores = self.scores[:0]
                 fresh = list(dict.fromkeys(words))
+                known.has_room(fresh)
             found = []
             for i in range(0, len(fresh), 20_000):
                 ids, begin = word_features(fresh[i : i + 20_000])

@@ -5,8 +5,10 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
-#: Words a worker remembers the hash of.
-CACHE = 500_000
+from barloom.llm.common import WordMemory
+
+#: Bytes that the words a worker remembers the hash of may take, and what one takes beside its letters.
+MEMORY, EACH = 32 << 20, 160
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -15,7 +17,7 @@ class Shingler:
 
     def __init__(self, width: int):
         self.width = width
-        self.known: dict[bytes, int] = {}
+        self.known = WordMemory(MEMORY, EACH)
 
     def words(self, text: str) -> np.ndarray:
         words = text.encode("utf-8", "surrogatepass").lower().split()
@@ -23,11 +25,12 @@ class Shingler:
         try:
             return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
         except KeyError:
-            if len(known) > CACHE:
-                known.clear()
-            for w in words:
-                if w not in known:
-                    known[w] = xxhash.xxh64_intdigest(w)
+            fresh = [w for w in dict.fromkeys(words) if w not in known]
+            if not known.has_room(fresh):
+                fresh = list(dict.fromkeys(words))
+                if not known.has_room(fresh):  # more words than are ever remembered
+                    return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+            known.update(zip(fresh, map(xxhash.xxh64_intdigest, fresh)))
             return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
 
     def set(self, text: str | None) -> np.ndarray:

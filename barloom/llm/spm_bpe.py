@@ -22,12 +22,12 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barloom.llm.common import in_batches
+from barloom.llm.common import WordMemory, in_batches
 
 #: Field types of the model file, after its public definition.
 NORMAL, UNKNOWN, BPE = 1, 2, 2
-#: Pre-tokens a worker remembers; beyond it the memory starts anew.
-CACHE = 400_000
+#: Bytes that the pre-tokens a worker remembers may take, and what one takes beside its letters; beyond it the memory starts anew.
+MEMORY, EACH = 64 << 20, 200
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -87,12 +87,11 @@ class Codec:
         self.whole = {t: i for i, t in enumerate(tokens)}
         self.pattern = regex.compile(pattern)
         self.letters = dict(enumerate(byte_letters()))
-        self.known: dict[str, bytes] = {}
+        self.known = WordMemory(MEMORY, EACH)
 
     def _learn(self, fresh: list[str]) -> None:
         """Encode pre-tokens not seen yet: a whole vocabulary entry is itself, the rest is merged."""
-        if len(self.known) + len(fresh) > CACHE:
-            self.known = {}
+        self.known.has_room(fresh)
         rest = []
         for word in fresh:
             rank = self.whole.get(word.encode())

@@ -18,8 +18,8 @@ family and share one trie, so that a set is sent once; a family too large for a
 sizes, and beyond some blocks by its single postings, equal ones once, long ones in such blocks. A walk skips subtrees that lie in the
 probe's group already: links inside a group cannot change any group, links between groups are all found.
 
-Texts that are null or hold no word have the empty set and are linked with nothing. Rows that repeat a key are
-one document; null keys count as one key. Other columns are not read.
+Texts that are null or hold no word have the empty set and are linked with nothing. Rows that repeat a key, or have
+none, are documents of their own, each with its text; a group without any key has a null one. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -32,15 +32,15 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from barloom.llm.common import in_batches, in_groups, stored
+from barloom.llm.common import in_batches, in_groups, stored, unique_key
 from barloom.llm.components import components
 from barloom.llm.shingle_sets import Shingler
 
 #: Cells of the sketch of document counts, and the rows it travels in.
 CELLS, PARTS = 1 << 18, 16
-#: Sets in one block, blocks a family may have, and tokens in one step of a walk.
-BLOCK, BLOCKS, STEP = 1500, 16, 64
-NO_KEY = (1 << 63) - 1
+#: Sets in one block at most, shingles in one block (a set costs as many more that both bounds hold), blocks a family
+#: may have, and tokens in one step of a walk.
+BLOCK, SHINGLES, BLOCKS, STEP = 1500, 3_000_000, 16, 64
 #: Percent of a set that its prefix is longer than it had to be.
 MARGIN = 6
 #: Times that nodes with too few mixed postings leave before the rest is walked.
@@ -225,6 +225,11 @@ def prefix_length(n: int, percent: int) -> int:
     return n - required(n, percent) + margin(n)
 
 
+def cost() -> F.Column:
+    """What a set takes of a block."""
+    return F.col("n") + F.lit(SHINGLES // BLOCK)
+
+
 def _sets(texts: DataFrame, width: int, percent: int, cells: np.ndarray) -> DataFrame:
     """doc, n, prefix in the global order and shingles (binary of 64-bit hashes) of rows (doc, text)."""
 
@@ -301,7 +306,24 @@ def _postings(prefixes: DataFrame) -> DataFrame:
 
 def groups(docs: DataFrame, width: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, n_shingles and component_id (the smallest key of the group) for every row of ``docs``."""
-    texts = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(NO_KEY)).alias("doc"), F.col(text).cast("string").alias("text"))
+    texts, more = unique_key(docs.select(F.col(f"`{key}`").cast("long").alias("key"), F.col(f"`{text}`").cast("string").alias("text")), "key", "doc")
+    found = _groups(texts.select("doc", "text"), width, percent)
+    if not more:
+        return found.select(F.col("doc").alias(key), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
+    # rows that are not known by their key: the smallest key of a group, null where none has one
+    keyed = found.join(texts.select("doc", "key"), "doc")
+    least = keyed.groupBy("component").agg(F.min("key").alias("least"))
+    return keyed.join(least, "component").select(F.col("key").alias(key), F.col("n").alias("n_shingles"), F.col("least").alias("component_id"))
+
+
+def later_copies(docs: DataFrame, key: str, width: int = 5, percent: int = 80, text: str = "text") -> DataFrame:
+    """The ``key`` of each row that is not the first of its group; keys have to tell the rows apart."""
+    texts = docs.select(F.col(f"`{key}`").cast("long").alias("doc"), F.col(f"`{text}`").cast("string").alias("text"))
+    return _groups(texts, width, percent).where("doc <> component").select(F.col("doc").alias(key))
+
+
+def _groups(texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """doc, n and component (the smallest of the group) of rows (doc, text) with a doc each."""
     cells = sketch(texts.select("text"), width)
     signed = stored(_signatures(texts, width, percent, cells), "signatures")
     classes = signed.where("n > 0").groupBy("f1", "f2").agg(F.min("doc").alias("rep"))
@@ -312,7 +334,7 @@ def groups(docs: DataFrame, width: int = 5, percent: int = 80, key: str = "doc_i
     enough = F.greatest(F.lit(1), F.expr(f"n * {MARGIN} div 100") - 1)
     involved = shared.join(signed.select("doc", "n", "f1", "f2"), "doc").where(F.col("shared") >= enough).select("f1", "f2").distinct()
     reps = stored(classes.join(involved, ["f1", "f2"]).select(F.col("rep").alias("doc")).distinct(), "involved")
-    sets = stored(_sets(texts.join(reps, "doc", "left_semi").dropDuplicates(["doc"]), width, percent, cells), "sets")
+    sets = stored(_sets(texts.join(reps, "doc", "left_semi"), width, percent, cells), "sets")
     postings = stored(_postings(sets.select(F.explode("prefix").alias("token"), "doc", "n")), "postings")
     sets = sets.select("doc", "shingles")
     fits = lambda a, b: (100 * F.col(a) >= percent * F.col(b)) & (100 * F.col(b) >= percent * F.col(a))
@@ -327,7 +349,7 @@ def groups(docs: DataFrame, width: int = 5, percent: int = 80, key: str = "doc_i
     label = lambda rows: rows.join(labels.withColumnRenamed("node", "doc"), "doc", "left").withColumn("component", F.coalesce("component", "doc"))
     posted = label(postings.select("token", "doc", "n"))
     sums = [
-        F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size"),
+        F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size"), F.sum(cost()).alias("cost"),
         F.sum(F.xxhash64("doc").bitwiseAND(0xFFFFFFFFFF)).alias("m1"), F.bit_xor(F.xxhash64(F.lit(1), "doc")).alias("m2"),
     ]
     for _ in range(PEEL):  # similar nodes of different groups share enough of these postings, so who has fewer leaves
@@ -336,14 +358,14 @@ def groups(docs: DataFrame, width: int = 5, percent: int = 80, key: str = "doc_i
         busy = left.groupBy("doc", "n").agg(F.count("*").alias("shared")).where(F.col("shared") >= enough).select("doc")
         posted = stored(left.join(busy, "doc", "left_semi"), "mixed-postings")
     mixed = posted.groupBy("token").agg(*sums).where("low < high")
-    walks = stored(mixed.groupBy("size", "m1", "m2").agg(F.min("token").alias("token")).select("token", "size"), "walks")
+    walks = stored(mixed.groupBy("size", "cost", "m1", "m2").agg(F.min("token").alias("token")).select("token", F.col("cost").alias("size")), "walks")
     rows = stored(posted.join(walks, "token"), "walk-rows")
     # a family: postings that share documents
     tied = rows.groupBy("token").agg(F.min("doc").alias("least"))
     tied = rows.join(tied, "token").where("doc <> least").select("doc", "least").distinct()
     family = stored(components(tied, "doc", "least").select(F.col("node").alias("doc"), F.col("component").alias("family")), "families")
-    sizes = family.groupBy("family").agg(F.count("*").alias("members"))
-    small = family.join(sizes.where(F.col("members") <= BLOCK * BLOCKS), "family").select("doc", F.col("family").alias("token"), F.col("members").alias("size"))
+    sizes = family.join(rows.select("doc", "n").distinct(), "doc").groupBy("family").agg(F.sum(cost()).alias("members"))
+    small = family.join(sizes.where(F.col("members") <= SHINGLES * BLOCKS), "family").select("doc", F.col("family").alias("token"), F.col("members").alias("size"))
     once = rows.select("doc", "n", "component").distinct().join(small, "doc").select("token", "doc", "n", "component", "size")
     apart = rows.join(small.select("doc"), "doc", "left_anti").select("token", "doc", "n", "component", "size")
     rows = stored(once.unionByName(apart), "walk-families")
@@ -351,11 +373,7 @@ def groups(docs: DataFrame, width: int = 5, percent: int = 80, key: str = "doc_i
     joined = components(links)
     final = classes.join(joined.withColumnRenamed("node", "rep"), "rep", "left").select("f1", "f2", F.coalesce("component", "rep").alias("component"))
     out = signed.select("doc", "n", "f1", "f2").join(final, ["f1", "f2"], "left")
-    back = lambda c: F.when(c != NO_KEY, c)
-    return out.select(
-        back(F.col("doc")).alias(key), F.col("n").alias("n_shingles"),
-        back(F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc"))).alias("component_id"),
-    )
+    return out.select("doc", "n", F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc")).alias("component"))
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -375,9 +393,9 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _walked(rows: DataFrame, sets: DataFrame, cells: np.ndarray, percent: int) -> DataFrame:
-    """Links (a, b) found by walking each posting's trie; rows: token, doc, n, component, size of the posting."""
-    placed = Window.partitionBy("token").orderBy("n", "doc")
-    long = rows.where(F.col("size") > BLOCK).withColumn("block", F.floor((F.row_number().over(placed) - 1) / BLOCK))
+    """Links (a, b) found by walking each posting's trie; rows: token, doc, n, component, size (cost) of the posting."""
+    placed = Window.partitionBy("token").orderBy("n", "doc").rowsBetween(Window.unboundedPreceding, 0)
+    long = rows.where(F.col("size") > SHINGLES).withColumn("block", F.floor((F.sum(cost()).over(placed) - 1) / SHINGLES))
     blocks = stored(long, "long-postings")
     ranges = blocks.groupBy("token", "block").agg(F.min("n").alias("least"), F.max("n").alias("most"))
     other = ranges.select("token", F.col("block").alias("upper"), F.col("least").alias("other_least"))
@@ -388,7 +406,7 @@ def _walked(rows: DataFrame, sets: DataFrame, cells: np.ndarray, percent: int) -
     right = blocks.withColumnRenamed("block", "upper").join(meet.where("upper > block").select("token", "block", "upper"), ["token", "upper"])
     dealt = left.unionByName(right.select("token", "block", "upper", F.lit(1).alias("side"), "doc", "component"))
     none = F.lit(0).cast("long")
-    short = rows.where(F.col("size") <= BLOCK).select("token", none.alias("block"), none.alias("upper"), F.lit(0).alias("side"), "doc", "component")
+    short = rows.where(F.col("size") <= SHINGLES).select("token", none.alias("block"), none.alias("upper"), F.lit(0).alias("side"), "doc", "component")
     full = short.unionByName(dealt).join(sets, "doc")
 
     def walk(group: pa.Table) -> Iterator[pa.RecordBatch]:

@@ -12,8 +12,8 @@ What each document loses is reported as spans of its original text, with the doc
 unit. Digests are counted map-side first and joined back by shuffle, which Spark splits where one line
 is everywhere; a document's own spans are the only thing gathered by document.
 
-Null and empty texts lose nothing. Rows that repeat a key count as one document and are treated
-alike; a null key ranks last. Columns of any other name are kept as they are; ``text`` is replaced and
+Null and empty texts lose nothing. Of rows that repeat a rank one has it; the others, and rows without one, are
+documents of their own that rank last. Columns of any other name are kept as they are; ``text`` is replaced and
 ``removed`` is added in place of a column of that name.
 """
 
@@ -28,6 +28,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from barloom.llm.common import UNKEYED, unique_key
+
 CUT = re.compile(r"\n|(?<=[.!?])\s+|(?<=[\u3002\uff01\uff1f\uff61])")
 #: Letters of scripts written without spaces, and how many of them count as a word.
 UNSPACED = (
@@ -38,7 +40,6 @@ UNSPACED = (
 MIN_UNIT, MIN_RUN = 3, 8
 #: A shorter run goes where it is a whole line of so many words, or where a unit is in so many rows.
 MIN_LINE, COMMON = 4, 8
-LAST = (1 << 63) - 1
 SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("first", pa.int64())]))
 
 
@@ -161,18 +162,18 @@ def removals(text: str, taken: dict[bytes, int], key: int, common: Set[bytes] =
 def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", rank: str | None = None, removed: str = "removed") -> DataFrame:
     """``docs`` with units cut out of ``text`` and ``removed`` (or another name): array of (start, end, first).
 
-    ``first`` is the rank of the keeping document, null for unrepeated short units between removed ones. ``rank``
-    names an integer column, the key by default; of two documents of one rank both count as one.
+    ``first`` is the rank of the keeping document, null if it has none of its own. ``rank``
+    names an integer column, the key by default.
     """
-    place = F.coalesce(F.col(rank or key).cast("long"), F.lit(LAST)).alias("doc")
-    rows = docs.select(place, F.col(text).cast("string")).mapInArrow(_digests, "doc long, h1 long, h2 long")
+    docs, _ = unique_key(docs, rank or key, "__doc")
+    rows = docs.select("__doc", F.col(f"`{text}`").cast("string")).mapInArrow(_digests, "doc long, h1 long, h2 long")
     held = rows.groupBy("h1", "h2").agg(F.min("doc").alias("first"), F.max("doc").alias("last"), F.count("*").alias("n"))
     shared = held.where("first < last").select("h1", "h2", "first", (F.col("n") >= COMMON).alias("common"))
     # the first document is told what is common, as it may repeat that itself
     lost = rows.join(shared, ["h1", "h2"]).where("doc > first OR common")
     lost = lost.groupBy("doc").agg(F.collect_list(F.struct("h1", "h2", "first", "common")).alias("__lost"))
-    kept = [c for c in docs.columns if c != removed]
-    joined = docs.select(*[F.col(f"`{c}`") for c in kept], place.alias("__doc")).join(
+    kept = [c for c in docs.columns if c not in (removed, "__doc")]
+    joined = docs.select(*[F.col(f"`{c}`") for c in kept], "__doc").join(
         lost.withColumnRenamed("doc", "__doc"), "__doc", "left"
     )
     at = kept.index(text)
@@ -192,7 +193,7 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", rank: str |
                     parts.append(body[last:a])
                     last = b
                 clean.append("".join([*parts, body[last:]]) if gone else body)
-                spans.append([{"start": a, "end": b, "first": f} for a, b, f in gone])
+                spans.append([{"start": a, "end": b, "first": f if f < UNKEYED else None} for a, b, f in gone])
             columns = [batch.column(i + 1) for i in range(len(kept))]
             columns[at] = pa.array(clean, pa.string())
             yield pa.RecordBatch.from_arrays([*columns, pa.array(spans, SPANS)], [*kept, removed])

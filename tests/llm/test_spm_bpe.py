@@ -36,7 +36,7 @@ def test_other_vocabulary():
 
 
 def test_memory_starts_anew(monkeypatch):
-    monkeypatch.setattr(spm_bpe, "CACHE", 5)
+    monkeypatch.setattr(spm_bpe, "MEMORY", 1000)
     codec = spm_bpe.codec_factory(PATH, PATTERN)()
     for text in ("one two three four", "five six seven", "one two eight nine ten eleven twelve"):
         assert codec.encode(text) == array("I", TIKTOKEN.encode_ordinary(text)).tobytes()

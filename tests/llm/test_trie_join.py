@@ -117,3 +117,46 @@ def test_components_of_chains_stars_and_rings(spark):
     assert {r.node: r.component for r in components(df).collect()} == want
     assert components(df.where("false")).count() == 0
     assert components(df.select(F.col("b").alias("a"), F.col("a").alias("b"))).count() == len(want)
+
+
+def rows_alone(rows, width, percent):
+    """Brute force over rows (key, text), each a document of its own: bag of (key, set size, smallest key of the group)."""
+    found = plain(dict(enumerate(t for _, t in rows)), width, percent)
+    least = {}
+    for i, (key, _) in enumerate(rows):
+        group = found[i][1]
+        if key is not None and (least.get(group) is None or key < least[group]):
+            least[group] = key
+    return sorted(((k, found[i][0], least.get(found[i][1])) for i, (k, _) in enumerate(rows)), key=repr)
+
+
+def test_rows_without_a_key_of_their_own(spark):
+    rng = random.Random(8)
+    base = {c: [f"{c}{i}" for i in range(40)] for c in "xyzw"}
+
+    def near(c):
+        words = list(base[c])
+        words[rng.randrange(40)] = f"edit{rng.randint(0, 99)}"
+        return " ".join(words)
+
+    rows = [(9, near("x")), (9, near("y")), (5, near("x")), (6, near("y")), (10, near("y")), (9, near("x"))]
+    rows += [(None, near("z")) for _ in range(6)] + [(None, near("x")), (None, "w0 w1"), (None, "w0 w1"), (None, None), (None, "")]
+    rows += [(30, near("w")), (None, near("w")), (30, near("w")), (31, "some other text"), (31, "some other text")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in T.groups(docs, 3, 80).collect()), key=repr)
+    assert got == rows_alone(rows, 3, 80)
+
+
+@pytest.mark.parametrize("shingles", [40, 400])
+def test_blocks_by_shingles_lose_no_link(spark, monkeypatch, shingles):
+    monkeypatch.setattr(T, "SHINGLES", shingles)
+    monkeypatch.setattr(T, "BLOCKS", 2)
+    rng = random.Random(shingles)
+    texts = {}
+    for key in range(90):
+        base = [f"w{key % 3}x{i}" for i in range(30 + 20 * (key % 3))]
+        for _ in range(rng.randint(0, 3)):
+            base[rng.randrange(len(base))] = f"edit{rng.randint(0, 30)}"
+        texts[key] = " ".join(base)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    assert got(T.groups(docs, 3, 80)) == plain(texts, 3, 80)

@@ -118,3 +118,15 @@ def test_short_repeats_go_where_they_are_no_chance(spark):
     assert all(out[i][0] == f"Words of {i} alone {i}.\nFew words {i}." for i in range(2, 10))
     assert out[20][0] == rows[9][1] and out[21][0] == "Also 21 of own. Here it is again. More words of 21.\n"
     assert out[0][0] == "Read this first please. One 0 two three. Four 0 five." and all(out[i][0] == f"Six {i} seven." for i in range(30, 38))
+
+
+def test_rows_without_a_rank_of_their_own(spark):
+    text = " ".join(f"word{i}" for i in range(60)) + ".\n"
+    other = " ".join(f"term{i}" for i in range(60)) + ".\n"
+    rows = [(None, text), (None, text), (None, other), (7, other), (7, other + text), (7, other), (3, "Own words of three, all of them alone here.")]
+    out = U.dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    assert sum(r.text.count(text) for r in out) == 1 and sum(r.text.count(other) for r in out) == 1
+    assert [r.text for r in out if r.doc_id == 3] == [rows[-1][1]]
+    keeper = next(r for r in out if other in r.text)
+    assert keeper.doc_id == 7  # a row without a rank is last
+    assert {s.first for r in out for s in r.removed} <= {7, None}

@@ -31,8 +31,13 @@ def prices_fit() -> Column:
     return reduce(Column.__and__, [F.coalesce(fits(F.col(c)), F.lit(False)) for c in PRICES])
 
 
+def counts_fit(name: str) -> Column:
+    """A count is missing or a number that can be stored as a whole one."""
+    return F.col(name).isNull() | F.col(name).try_cast("bigint").isNotNull()
+
+
 def usable() -> Column:
-    return has_key() & prices_fit()
+    return has_key() & prices_fit() & counts_fit("volume") & counts_fit("num_trades")
 
 
 def fill(df: DataFrame) -> DataFrame:
@@ -54,7 +59,8 @@ def unusable_bars(bronze: DataFrame) -> DataFrame:
     """The dead letters among bars: the rows :func:`clean_bars` leaves out, with the reason.
 
     ``key``: symbol or time is missing; ``prices``: a price is missing or NaN; ``range``: a price
-    is infinite or too wide for the stored type.
+    is infinite or too wide for the stored type; ``volume``, ``num_trades``: that count is NaN or too large.
     """
-    reason = F.when(~has_key(), "key").when(~has_prices(), "prices").otherwise("range")
+    reason = F.when(~has_key(), "key").when(~has_prices(), "prices").when(~prices_fit(), "range")
+    reason = reason.when(~counts_fit("volume"), "volume").otherwise("num_trades")
     return bronze.filter(~usable()).withColumn("reason", reason)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from contextlib import contextmanager
 from dataclasses import asdict, fields
-from datetime import datetime, timezone
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from barloom import functions as B
 from barloom.operators import alarms
 from barloom.operators.clean import clean_bars, fill, unusable_bars
-from barloom.operators.contract import check_contract
+from barloom.operators.contract import breaches, check_contract
 from barloom.operators.dedup import (
     append_new_only,
     duplicate_keys,
@@ -27,17 +27,19 @@ from barloom.operators.resample import INTERVALS, daily_summary, resample_ohlcv,
 from barloom.operators.retention import retention_tiers
 from barloom.operators.rolling import trailing_mean
 from barloom.plans import reports as R
-from barloom.plans.silver import distinct_bars, finish, silver
+from barloom.plans.jobs import run_transform
+from barloom.plans.silver import distinct_bars, finish, silver, widened
 from barloom.schemas import BRONZE, SILVER
 from barloom.session import pin_utc, shared_path
 from barloom.sinks.gold import GoldTable, gold_rows
 from barloom.sinks.tables import write_bronze, write_silver
+from barloom.sinks.upkeep import apply_retention, tier
 from barloom.sinks.versions import VersionedTable
 from barloom.sources import derived as D
-from barloom.sources.envelopes import parse_prev_envelope, parse_snapshot_envelope
+from barloom.sources.envelopes import parse_prev_envelope, parse_snapshot_envelope, unusable_answers
 from barloom.sources.messages import decode_messages, decode_stats, split_good_bad
-from barloom.sources.tables import read_bronze, register_table
-from barloom.sources.universe import restrict_to
+from barloom.sources.tables import latest_day, read_bronze, read_fresh_bronze, register_table
+from barloom.sources.universe import restrict_to, symbols_in
 from barloom.streaming.bars import (
     late_ticks,
     read_means,
@@ -48,7 +50,7 @@ from barloom.streaming.bars import (
     stream_rolling_volume,
 )
 from barloom.streaming.held import held_bars, held_first_copies, with_held
-from barloom.streaming.incremental import read_silver, run_incremental
+from barloom.streaming.incremental import STORED, read_silver, run_incremental, silver_table
 from barloom.streaming.ingest import read_messages, stream_bronze
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -273,6 +275,80 @@ def silver_partitioned_report(spark, sf):
     return R.on_day(register_table(spark, path, "silver_by_date")).select("symbol", "timestamp_ms", "close")
 
 
+def latest_day_report(spark, sf):
+    """Movers of the newest folder of a silver table in date folders; no other is read."""
+    path = shared_path(spark, "silver")
+    write_silver(_slim(spark, sf), path, ["trade_date"])
+    return R.top_movers(latest_day(spark, path))
+
+
+def retention_applied(spark, sf):
+    """What is left of a silver table of several deliveries five days after its last bar, and how it lies."""
+    bronze = _bronze(spark, sf)
+    raw, out, state, done = (shared_path(spark, n) for n in ("raw", "silver", "tails", "files"))
+    for k in range(3):
+        write_bronze(bronze.filter(F.expr("timestamp div 3600000") % 3 == k), raw, PROCESSED_AT)
+        run_incremental(spark, raw, out, state, done)
+    table = silver_table(spark, out)
+    as_of = date(2024, 2, 4)
+    apply_retention(table, STORED, as_of, most_folders=1)
+    version = table.current()
+    folders = spark.createDataFrame(
+        [(f.date, tier(f.date, as_of), f.write.startswith("cold-")) for f in version.folders], "day string, tier string, packed boolean"
+    )
+    rows = read_silver(spark, out).groupBy("trade_date").agg(F.count("*").alias("row_count"), F.sum("volume").alias("volume"))
+    lies = folders.groupBy("day", "tier").agg(F.count("*").alias("folders"), F.bool_and("packed").alias("packed"))
+    return rows.join(lies, F.col("trade_date") == F.col("day").cast("date")).drop("day")
+
+
+def fresh_bronze(spark, sf):
+    """Bars of files written within two hours: all as of now, none as of three hours later."""
+    path = shared_path(spark, "bronze")
+    write_bronze(_bronze(spark, sf), path, PROCESSED_AT)
+    now = datetime.now(timezone.utc)
+    return read_fresh_bronze(spark, path, now).unionByName(read_fresh_bronze(spark, path, now + timedelta(hours=3)))
+
+
+def transform_counts(spark, sf):
+    """What the batch job reports about a folder with faulty bars and copies."""
+    raw, out = shared_path(spark, "raw"), shared_path(spark, "silver")
+    write_bronze(D.faulty_bronze(_bronze(spark, sf)), raw, PROCESSED_AT)
+    told = run_transform(spark, raw, out, partition_by=["trade_date"])
+    kinds = ", ".join(f"{f.name} {'date' if f.name.endswith('_date') else 'bigint'}" for f in fields(told))
+    return spark.createDataFrame([asdict(told)], kinds)
+
+
+def _breached(spark, sf) -> DataFrame:
+    once = first_arrival(D.breached_bronze(_bronze(spark, sf)))
+    wide = widened(once.withColumn("vwap", F.coalesce("vwap", "close")))
+    return wide.unionByName(wide.filter(F.expr("timestamp_ms div 3600000") % 97 == 0))
+
+
+def contract_before_cast(spark, sf):
+    """Violations of every rule among raw bars with a fault for each, counted before any cast."""
+    return check_contract(_breached(spark, sf))
+
+
+def contract_breaches(spark, sf):
+    """Which rows break which rules."""
+    rows = breaches(_breached(spark, sf))
+    return rows.select("symbol", "timestamp_ms", "ingestion_time", F.concat_ws(",", F.array_sort("broken")).alias("broken"))
+
+
+def tracked_symbols(spark, sf):
+    """Bars of the symbols that comma-separated settings name, with stray blanks."""
+    settings = D.load(spark, sf, "supplier").filter("s_acctbal > 0").groupBy(F.col("s_suppkey") % 7)
+    settings = settings.agg(F.concat_ws(" ,, ", F.collect_list(F.concat(F.lit(" S"), "s_suppkey"))).alias("setting"))
+    return restrict_to(D.bars_from_lineitem(spark, sf), symbols_in(settings, "setting"))
+
+
+def dead_letter_answers(spark, sf):
+    answers = D.prev_answers_from_bronze(_bronze(spark, sf))
+    answers = answers.withColumn("timestamp", F.get_json_object("body", "$.results[0].t").cast("bigint"))
+    cut = F.when(F.expr("timestamp div 3600000") % 19 == 0, F.left("body", F.lit(30))).otherwise(F.col("body"))
+    return unusable_answers(answers.withColumn("body", cut)).select("symbol", "timestamp", "reason")
+
+
 def dead_letter_bars(spark, sf):
     bad = unusable_bars(D.faulty_bronze(_bronze(spark, sf)))
     return bad.select("symbol", "timestamp", "ingestion_time", "reason")
@@ -318,6 +394,19 @@ def alarm_lag_by_symbol(spark, sf):
     return alarms.eval_alarm(samples, "at", F.col("lag_ms"), alarms.LAG_MS, dims=["symbol"])
 
 
+def alarm_throttles(spark, sf):
+    """The vendor's refusals a minute."""
+    hx = F.expr("timestamp div 60000")
+    refused = _bronze(spark, sf, 1).filter(hx % 13 == 0).select(F.timestamp_millis("timestamp").alias("at"))
+    return alarms.eval_alarm(refused, "at", F.lit(1), alarms.THROTTLES)
+
+
+def alarm_failed_tasks(spark, sf):
+    """Failures a minute, told as counts that are mostly zero."""
+    samples = D.load(spark, sf, "events").select("ts", F.when(F.col("event_type") == "error", F.col("event_id") % 3).otherwise(F.lit(0)).alias("failed"))
+    return alarms.eval_alarm(samples, "ts", F.col("failed"), alarms.FAILED_TASKS)
+
+
 def alarm_dead_letters(spark, sf):
     _, bad = split_good_bad(decode_messages(_records(spark, sf, 1)))
     at = F.timestamp_seconds(F.floor("approximateArrivalTimestamp"))
@@ -530,6 +619,14 @@ QUERIES: dict[str, Query] = {
     "incremental_counts": incremental_counts,
     "silver_partitioned_report": silver_partitioned_report,
     "dead_letter_bars": dead_letter_bars,
+    "dead_letter_answers": dead_letter_answers,
+    "latest_day_report": latest_day_report,
+    "retention_applied": retention_applied,
+    "fresh_bronze": fresh_bronze,
+    "transform_counts": transform_counts,
+    "contract_before_cast": contract_before_cast,
+    "contract_breaches": contract_breaches,
+    "tracked_symbols": tracked_symbols,
     "dead_letter_ticks": dead_letter_ticks,
     "ohlcv_1h_faulty_ticks": ohlcv_1h_faulty_ticks,
     "stream_rolling_late": stream_rolling_late,
@@ -597,6 +694,8 @@ QUERIES: dict[str, Query] = {
     "alarm_lag": alarm_lag,
     "alarm_lag_by_symbol": alarm_lag_by_symbol,
     "alarm_dead_letters": alarm_dead_letters,
+    "alarm_throttles": alarm_throttles,
+    "alarm_failed_tasks": alarm_failed_tasks,
     # streams
     "stream_ohlcv_1h": stream_ohlcv_1h,
     "stream_dedup": stream_dedup_bars,

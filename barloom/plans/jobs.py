@@ -8,14 +8,24 @@ from dataclasses import dataclass
 from pyspark.sql import Observation, SparkSession
 from pyspark.sql import functions as F
 
+from barloom.operators.clean import fill, usable
+from barloom.operators.dedup import first_usable
 from barloom.operators.rolling import DAY_MS
-from barloom.plans.silver import silver
+from barloom.plans.silver import finish
+from barloom.schemas import BRONZE
 from barloom.sinks.tables import write_silver
 from barloom.sources.tables import has_new_data, read_bronze
 
 
 @dataclass(frozen=True)
 class Written:
+    """What a job did; the first four counts are those of :func:`~barloom.operators.dedup.stage_counts`."""
+
+    rows_read: int
+    rows_after_dedup: int
+    duplicates_removed: int
+    rows_final: int
+    set_aside: int
     rows: int
     first_date: object
     last_date: object
@@ -33,18 +43,22 @@ def run_transform(
 ) -> Written | None:
     """Transform the whole bronze folder and append the result to silver.
 
-    What was written is counted while it is written, not by reading it again. With
-    ``only_if_fresh`` nothing happens unless a bronze file is recent.
+    Everything is counted while it passes, not by another scan. With ``only_if_fresh`` nothing happens
+    unless a bronze file is recent.
     """
     if only_if_fresh and not has_new_data(spark, bronze):
         return None
-    seen = Observation()
-    bars = silver(read_bronze(spark, bronze), market_hours=market_hours, bucket_ms=bucket_ms)
+    seen, kept, out = Observation(), Observation(), Observation()
+    rows = read_bronze(spark, bronze).select(*BRONZE.fieldNames())
+    rows = rows.observe(seen, F.count("*").alias("rows_read"), F.count_if(~usable()).alias("set_aside"))
+    bars = finish(fill(first_usable(rows, usable(), kept)), market_hours=market_hours, bucket_ms=bucket_ms)
     bars = bars.observe(
-        seen,
+        out,
         F.count("*").alias("rows"),
         F.min("trade_date").alias("first_date"),
         F.max("trade_date").alias("last_date"),
     )
     write_silver(bars, silver_path, partition_by)
-    return Written(**seen.get)
+    read, left = seen.get, kept.get
+    removed = read["rows_read"] - left["rows_after_dedup"]
+    return Written(**read, **left, duplicates_removed=removed, **out.get)

@@ -15,7 +15,7 @@ from barloom import functions as B
 from barloom.operators.resample import bar_start
 from barloom.operators.resample import daily_summary as collapse_days
 from barloom.operators.rolling import DAY_MS, trailing_mean
-from barloom.schemas import FOLDER_OF
+from barloom.schemas import FOLDER_OF, ONLY_DATE
 
 Day = date | str | None
 
@@ -30,7 +30,11 @@ SUMMARY_DAYS = 7
 def _day(bars: DataFrame, as_of: Day) -> Column:
     if as_of is None:
         folder = FOLDER_OF["trade_date"]
-        return bars.agg(F.max(folder if folder in bars.columns else "trade_date")).scalar()
+        if folder not in bars.columns:
+            return bars.agg(F.max("trade_date")).scalar()
+        as_of = bars.schema[folder].metadata.get(ONLY_DATE)
+        if as_of is None:
+            return bars.agg(F.max(folder)).scalar()
     return F.lit(as_of).cast("date")
 
 
@@ -204,7 +208,11 @@ def volume_spikes_intraday(
 
 
 def _last_days(bars: DataFrame, as_of: Day, days: int) -> DataFrame:
-    return bars.filter(F.col("trade_date") >= F.date_sub(_day(bars, as_of), days))
+    """Bars of the last days; of a table in date folders, only their folders are read."""
+    since = F.date_sub(_day(bars, as_of), days)
+    rows = bars.filter(F.col("trade_date") >= since)
+    folder = FOLDER_OF["trade_date"]
+    return rows.filter(F.col(folder) >= since) if folder in bars.columns else rows
 
 
 def daily_summary(bars: DataFrame, as_of: Day = None, days: int = SUMMARY_DAYS) -> DataFrame:

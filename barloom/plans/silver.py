@@ -21,28 +21,34 @@ def distinct_bars(bronze: DataFrame) -> DataFrame:
     return fill(first_arrival(bronze.select(*BRONZE.fieldNames()).filter(usable())))
 
 
-def finish(
+def widened(
     bars: DataFrame,
     *,
     rolling: bool = True,
     market_hours: str = "utc_fixed",
     bucket_ms: int = DAY_MS,
     history: DataFrame | None = None,
-    schema: StructType = SILVER,
 ) -> DataFrame:
-    """Derive and type the columns of distinct bars.
+    """Silver's columns before they are cast: what the contract is checked on.
 
     The trailing mean comes before the derived columns: its shuffle then carries raw
-    columns only. ``rolling=False`` leaves ``avg_volume_10bar`` null for readers that do
-    not need it. ``schema`` may hold columns of ``bars`` beyond silver's.
+    columns only. ``rolling=False`` leaves ``avg_volume_10bar`` out for readers that do
+    not need it.
     """
     if rolling:
         bars = trailing_mean(bars, bucket_ms=bucket_ms, history=history)
     bars = bars.transform(add_time_columns).transform(add_price_columns)
-    bars = add_session_column(bars, market_hours).withColumnRenamed("timestamp", "timestamp_ms")
-    return conform(bars, schema)
+    return add_session_column(bars, market_hours).withColumnRenamed("timestamp", "timestamp_ms")
+
+
+def finish(bars: DataFrame, *, schema: StructType = SILVER, **options) -> DataFrame:
+    """Derive and type the columns of distinct bars; options as for :func:`widened`.
+
+    ``schema`` may hold columns of ``bars`` beyond silver's.
+    """
+    return conform(widened(bars, **options), schema)
 
 
 def silver(bronze: DataFrame, **options) -> DataFrame:
-    """Clean, deduplicate, derive and type raw bars; options as for :func:`finish`."""
+    """Clean, deduplicate, derive and type raw bars; options as for :func:`widened`."""
     return finish(distinct_bars(bronze), **options)

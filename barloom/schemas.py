@@ -55,6 +55,9 @@ GOLD = SILVER
 # Names of the folders a partitioned silver table may be split by.
 FOLDER_OF = {"trade_date": "by_date", "symbol": "by_symbol"}
 
+#: Says in a date column's metadata which date all rows of a table have.
+ONLY_DATE = "only_date"
+
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Project onto ``schema``: absent columns become null, extra ones are dropped.
@@ -82,6 +85,8 @@ class Contract:
     key: tuple[str, ...]
     defaults: dict[str, object] = field(default_factory=dict)
     max_length: dict[str, int] = field(default_factory=dict)
+    #: Whole-number columns whose source may be wider than their type.
+    counts: tuple[str, ...] = ()
 
 
 # The gold table's constraints.
@@ -94,4 +99,5 @@ GOLD_CONTRACT = Contract(
     key=("symbol", "timestamp_ms"),
     defaults={"volume": 0, "num_trades": 0, "is_market_hours": False},
     max_length={"symbol": 10},
+    counts=("volume", "num_trades"),
 )

@@ -17,6 +17,7 @@ from collections.abc import Iterable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barloom.sources.files import children, exists, publish, read_text, remove
@@ -58,12 +59,16 @@ class Version:
 
 
 class VersionedTable:
-    """A table at ``path`` whose folders are named ``write=…/<by>=<date>``."""
+    """A table at ``path`` whose folders are named ``write=…/<by>=<date>``.
 
-    def __init__(self, spark: SparkSession, path: str, by: str = "by_date"):
+    With ``counted``, a string column, each write is indexed by how many rows a value of it has on each date.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, by: str = "by_date", counted: str | None = None):
         self.spark = spark
         self.path = path.rstrip("/")
         self.by = by
+        self.counted = counted
 
     def current(self) -> Version:
         """The newest version; number 0, without folders, where there is none."""
@@ -94,24 +99,42 @@ class VersionedTable:
             return self.spark.createDataFrame([], full)
         return self.spark.read.schema(full).option("basePath", self.path).parquet(*map(self.place, chosen))
 
-    def add(self, rows: DataFrame, sort_by: tuple[str, ...] = (), bucket_by: tuple[str, int] | None = None) -> list[Folder]:
+    def add(
+        self, rows: DataFrame, sort_by: tuple[str, ...] = (), bucket_by: tuple[str, int] | None = None,
+        prefix: str = "", codec: str = "snappy",
+    ) -> list[Folder]:
         """Write ``rows`` (with the column ``by``) into new folders, which are not part of the table yet.
 
         Rows are gathered per date first, by a rebalance, which splits a date that is too big for one task, and
         sorted within a file. With ``bucket_by`` (a column and how many) the files of a date are split by that column instead.
         """
-        write = uuid.uuid4().hex
+        write = prefix + uuid.uuid4().hex
         place = f"{self.path}/write={write}"
         if bucket_by is None:
             rows = rows.hint("rebalance", self.by)
             rows = rows.sortWithinPartitions(self.by, *sort_by) if sort_by else rows
-            rows.write.partitionBy(self.by).parquet(place)
+            rows.write.partitionBy(self.by).option("compression", codec).parquet(place)
         else:  # bucketed files are written by way of a catalog table; dropping it leaves them in place
-            writer = rows.write.partitionBy(self.by).bucketBy(bucket_by[1], bucket_by[0]).option("path", place)
-            (writer.sortBy(*sort_by) if sort_by else writer).format("parquet").saveAsTable(f"write_{write}")
-            self.spark.sql(f"DROP TABLE write_{write}")
+            writer = rows.write.partitionBy(self.by).bucketBy(bucket_by[1], bucket_by[0]).option("path", place).option("compression", codec)
+            (writer.sortBy(*sort_by) if sort_by else writer).format("parquet").saveAsTable(name := f"write_{uuid.uuid4().hex}")
+            self.spark.sql(f"DROP TABLE {name}")
         found = [n for n in children(self.spark, place) if n.startswith(f"{self.by}=")]
-        return [Folder(name.split("=", 1)[1], write) for name in found]
+        added = [Folder(name.split("=", 1)[1], write) for name in found]
+        if self.counted and added:
+            column = T.StructType([T.StructField(self.counted, T.StringType())])
+            counts = self.read(column, added).groupBy(self.counted, self.by).agg(F.count("*").alias("rows"))
+            counts.write.parquet(f"{self.path}/{INDEX}/write={write}")
+        return added
+
+    def counts(self, version: Version) -> DataFrame:
+        """``counted``, ``by`` and rows of the folders of a version; only the index is read."""
+        live = self.spark.createDataFrame([(f.date, f.write) for f in version.folders], f"{self.by} string, write string")
+        live = live.withColumn(self.by, F.col(self.by).cast("date"))
+        root = f"{self.path}/{INDEX}"
+        places = [f"{root}/write={w}" for w in sorted({f.write for f in version.folders})]
+        schema = f"{self.counted} string, {self.by} date, rows bigint, write string"
+        found = self.spark.read.schema(schema).option("basePath", root).parquet(*places) if places else self.spark.createDataFrame([], schema)
+        return found.join(live, [self.by, "write"]).groupBy(self.counted, self.by).agg(F.sum("rows").alias("rows"))
 
     def commit(
         self,

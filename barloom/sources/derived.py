@@ -75,6 +75,27 @@ def faulty_bronze(bronze: DataFrame, bar_minutes: int = 60) -> DataFrame:
             "high": F.when(hx % 31 == 0, F.lit(float("nan"))).otherwise(F.col("high")),
             "close": F.when(hx % 29 == 0, F.lit(123_456_789.0)).otherwise(F.col("close")),
             "symbol": F.when(hx % 23 != 0, F.col("symbol")),
+            "volume": F.when(hx % 37 == 0, F.lit(1e300)).when(hx % 41 == 0, F.lit(float("nan"))).otherwise(F.col("volume")),
+            "num_trades": F.when(hx % 43 == 0, F.lit(float("-inf"))).otherwise(F.col("num_trades")),
+        }
+    )
+
+
+def breached_bronze(bronze: DataFrame, bar_minutes: int = 60) -> DataFrame:
+    """Raw bars with a fault for every rule of the contract: too wide, missing, and symbols too long."""
+    hx = F.expr(f"timestamp div {bar_minutes * 60_000}")
+    wide = lambda name, n, value: F.when(hx % n == 0, F.lit(value)).otherwise(F.col(name))
+    return bronze.withColumns(
+        {
+            "symbol": F.when(hx % 53 == 0, F.lit(None)).when(hx % 47 == 0, F.concat("symbol", F.lit("-of-many-letters"))).otherwise(F.col("symbol")),
+            "open": F.when(hx % 17 == 0, F.lit(1e-9)).otherwise(wide("open", 59, 1e12)),
+            "high": F.when(hx % 103 == 0, F.lit(None)).otherwise(wide("high", 61, float("nan"))),
+            "low": F.when(hx % 107 == 0, F.lit(None)).otherwise(wide("low", 67, float("-inf"))),
+            "close": F.when(hx % 109 == 0, F.lit(None)).otherwise(wide("close", 71, 4e8)),
+            "vwap": wide("vwap", 73, 2e9),
+            "volume": F.when(hx % 79 == 0, F.lit(None)).when(hx % 101 == 0, F.lit(1e300)).otherwise(wide("volume", 13, 9e17)),
+            "timestamp": F.when(hx % 83 == 0, F.lit(None)).otherwise(F.col("timestamp")),
+            "num_trades": wide("num_trades", 89, 1e300),
         }
     )
 

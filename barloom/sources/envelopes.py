@@ -52,6 +52,21 @@ def parse_prev_envelope(
     return conform(bars, BRONZE)
 
 
+def unusable_answers(answers: DataFrame, body: str = "body") -> DataFrame:
+    """The dead letters among one-symbol answers: what :func:`parse_prev_envelope` gives no bar for, with the reason.
+
+    ``unreadable``: no JSON object of that form; ``refused``: the vendor declined; ``empty``: no results.
+    """
+    doc = F.from_json(body, _PREV)
+    reason = (
+        F.when(F.coalesce(doc["status"], doc["resultsCount"].cast("string")).isNull() & doc["results"].isNull(), "unreadable")
+        .when(doc["status"] == REFUSED, "refused")
+        .when(F.coalesce(doc["resultsCount"], F.lit(0)) <= 0, "empty")
+        .when(F.coalesce(F.size(doc["results"]), F.lit(0)) <= 0, "empty")
+    )
+    return answers.withColumn("reason", reason).filter(F.col("reason").isNotNull())
+
+
 def parse_snapshot_envelope(
     answers: DataFrame, ingestion_ms: Column, body: str = "body"
 ) -> DataFrame:

@@ -12,8 +12,14 @@ TRACKED = ("AAPL", "MSFT", "GOOGL", "AMZN", "TSLA", "META", "NVDA", "JPM", "V",
 
 
 def parse_symbols(text: str) -> list[str]:
-    """Symbols from a comma-separated setting."""
-    return text.split(",")
+    """Symbols from a comma-separated setting; white space around them and empty entries do not count."""
+    return [symbol for part in text.split(",") if (symbol := part.strip())]
+
+
+def symbols_in(settings: DataFrame, column: str) -> DataFrame:
+    """The distinct symbols (column symbol) of comma-separated settings, one a row."""
+    parts = settings.select(F.explode(F.split(column, ",")).alias("part"))
+    return parts.select(F.trim("part").alias("symbol")).where("symbol <> ''").distinct()
 
 
 def restrict_to(df: DataFrame, symbols: Sequence[str] | DataFrame = TRACKED) -> DataFrame:

@@ -24,6 +24,10 @@ _RAW = T.StructType([f for f in BRONZE.fields if f.name not in ("symbol", "times
 STORED = T.StructType([*SILVER.fields, T.StructField("raw", _RAW)])
 
 
+def silver_table(spark: SparkSession, path: str) -> VersionedTable:
+    return VersionedTable(spark, path, BY, counted="symbol")
+
+
 def read_silver(spark: SparkSession, path: str) -> DataFrame:
     """The silver table at ``path``, with its folder column by_date."""
     return VersionedTable(spark, path, BY).read(SILVER).drop("write")

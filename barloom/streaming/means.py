@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from barloom.operators.rolling import trailing_mean
 from barloom.session import shared_path
-from barloom.sinks.versions import INDEX, Folder, Version, VersionedTable
+from barloom.sinks.versions import Folder, Version, VersionedTable
 from barloom.sources.files import complete_folders, exists, remove
 
 BY = "by_date"
@@ -85,13 +85,13 @@ def late_symbols(new: DataFrame, tails: DataFrame) -> DataFrame:
 def reach(counts: DataFrame, touched: DataFrame, rows: int) -> DataFrame:
     """symbol, by_date and ``inner`` of the dates that changes on the dates ``touched`` (symbol, by_date) concern.
 
-    counts: symbol, by_date, bars. Inner dates may hold bars whose mean changes: the touched ones and those after them,
+    counts: symbol, by_date, rows. Inner dates may hold bars whose mean changes: the touched ones and those after them,
     as long as fewer than ``rows`` bars lie between. The others, before a touched date, only fill frames. The
     window orders the dates of a symbol, of which there are as many as days.
     """
-    known = counts.unionByName(touched.withColumn("bars", F.lit(0).cast("bigint")))
+    known = counts.unionByName(touched.withColumn("rows", F.lit(0).cast("bigint")))
     marked = touched.select("symbol", BY, F.lit(True).alias("_touched"))
-    days = known.groupBy("symbol", BY).agg(F.sum("bars").alias("bars")).join(marked, ["symbol", BY], "left")
+    days = known.groupBy("symbol", BY).agg(F.sum("rows").alias("bars")).join(marked, ["symbol", BY], "left")
     by_date = Window.partitionBy("symbol").orderBy(BY)
     so_far = F.sum("bars").over(by_date.rowsBetween(Window.unboundedPreceding, 0))
     days = days.withColumn("_upto", so_far)
@@ -131,7 +131,7 @@ class MeanTable:
         out: str = "avg_volume_10bar",
     ):
         self.spark = spark
-        self.table = VersionedTable(spark, path, BY)
+        self.table = VersionedTable(spark, path, BY, counted="symbol")
         self.schema = schema
         self.complete = complete
         self.tails = tails
@@ -159,7 +159,7 @@ class MeanTable:
                 rows, gone = self.complete(fresh, earlier), []
             else:
                 rows, gone, change.mended = self._mended(version, fresh, earlier, symbols)
-            added = self._written(rows)
+            added = self.table.add(rows.select(*self.schema.fieldNames(), BY))
             place = self.tails.save(fresh, earlier, mark)
             self.table.commit(version, added, gone, mark, tails=place)
         finally:
@@ -167,28 +167,11 @@ class MeanTable:
                 symbols.unpersist()
         return change
 
-    def _written(self, rows: DataFrame) -> list[Folder]:
-        """New folders of ``rows``, with the index of their bars."""
-        added = self.table.add(rows.select(*self.schema.fieldNames(), BY))
-        if added:
-            counts = self.table.read(T.StructType([self.schema["symbol"]]), added).groupBy("symbol", BY).agg(F.count("*").alias("bars"))
-            counts.write.mode("overwrite").parquet(f"{self.table.path}/{INDEX}/write={added[0].write}")
-        return added
-
-    def counts(self, version: Version) -> DataFrame:
-        """symbol, by_date and bars of each live folder."""
-        live = self.spark.createDataFrame([(f.date, f.write) for f in version.folders], f"{BY} string, write string")
-        live = live.withColumn(BY, F.col(BY).cast("date"))
-        writes = sorted({f.write for f in version.folders})
-        places = [f"{self.table.path}/{INDEX}/write={w}" for w in writes]
-        reader = self.spark.read.schema(f"symbol string, {BY} date, bars bigint, write string").option("basePath", f"{self.table.path}/{INDEX}")
-        return reader.parquet(*places).join(live, [BY, "write"]).select("symbol", BY, "bars")
-
     def _mended(self, version: Version, fresh: DataFrame, earlier: DataFrame, symbols: DataFrame):
         """All rows to write, the folders they stand for, and how many stored means change."""
         late = fresh.join(symbols, "symbol", "left_semi")
         touched = late.select("symbol", BY).distinct()
-        counts = self.counts(version).join(symbols, "symbol", "left_semi")
+        counts = self.table.counts(version).join(symbols, "symbol", "left_semi")
         around = reach(counts, touched, self.tails.rows).persist(StorageLevel.MEMORY_AND_DISK)
         dates = [r[0] for r in around.select(BY).distinct().collect()]  # days
         near = self.stored(version, dates).select("symbol", F.col(self.order).alias("timestamp"), "volume", F.col(self.out).alias("_was"), "write", BY)

@@ -198,6 +198,7 @@ def _violations() -> str:
         "price_change_pct": 4, "bar_range_pct": 4, "avg_volume_10bar": 16,
     }
     rules += [(f"{c}_in_range", f"ABS({c}) >= {10**w}") for c, w in widths.items()]
+    rules += [(f"{c}_in_range", "FALSE") for c in ("volume", "num_trades")]  # whole numbers already
     parts = [
         f"SELECT '{name}' AS rule, COUNT(*) FILTER (WHERE {cond}) AS violations FROM silver"
         for name, cond in rules
@@ -209,6 +210,87 @@ def _violations() -> str:
     return UNCHECKED + "\n" + "\nUNION ALL ".join(parts)
 
 
+_ORDER = "ORDER BY ingestion_time NULLS LAST, " + ", ".join(
+    f"{c} NULLS FIRST" for c in ("open", "high", "low", "close", "volume", "vwap", "num_trades")
+)
+#: Raw bars with a fault for every rule, first copies only, with the columns of silver before any cast.
+BREACHED = f"""{HOURLY},
+planted AS (
+  SELECT CASE WHEN hx % 53 = 0 THEN NULL WHEN hx % 47 = 0 THEN symbol || '-of-many-letters' ELSE symbol END AS symbol,
+         CASE WHEN hx % 17 = 0 THEN 1e-9 WHEN hx % 59 = 0 THEN 1e12 ELSE open END AS open,
+         CASE WHEN hx % 103 = 0 THEN NULL WHEN hx % 61 = 0 THEN 'nan'::DOUBLE ELSE high END AS high,
+         CASE WHEN hx % 107 = 0 THEN NULL WHEN hx % 67 = 0 THEN '-infinity'::DOUBLE ELSE low END AS low,
+         CASE WHEN hx % 109 = 0 THEN NULL WHEN hx % 71 = 0 THEN 4e8 ELSE close END AS close,
+         CASE WHEN hx % 73 = 0 THEN 2e9 ELSE vwap END AS vwap,
+         CASE WHEN hx % 79 = 0 THEN NULL WHEN hx % 101 = 0 THEN 1e300 WHEN hx % 13 = 0 THEN 9e17 ELSE volume END AS volume,
+         CASE WHEN hx % 83 = 0 THEN NULL ELSE timestamp END AS timestamp,
+         CASE WHEN hx % 89 = 0 THEN 1e300 ELSE num_trades END AS num_trades, ingestion_time
+  FROM (SELECT *, timestamp // 3600000 AS hx FROM bronze)),
+once AS (
+  SELECT * REPLACE (COALESCE(vwap, close) AS vwap)
+  FROM (SELECT * FROM planted QUALIFY row_number() OVER (PARTITION BY symbol, timestamp {_ORDER}) = 1)),
+wide AS (
+  SELECT *, timestamp AS timestamp_ms, make_timestamp(timestamp * 1000) AS event_time,
+         CAST(make_timestamp(timestamp * 1000) AS DATE) AS trade_date, close - open AS price_change,
+         COALESCE((close - open) / NULLIF(open, 0) * 100, 0) AS price_change_pct,
+         COALESCE((high - low) / NULLIF(open, 0) * 100, 0) AS bar_range_pct,
+         AVG(volume) OVER (PARTITION BY symbol ORDER BY timestamp NULLS FIRST
+                           ROWS BETWEEN 10 PRECEDING AND 1 PRECEDING) AS avg_volume_10bar
+  FROM once),
+judged AS (SELECT * FROM wide UNION ALL SELECT * FROM wide WHERE timestamp_ms // 3600000 % 97 = 0)"""
+
+
+def _rules_before_cast() -> list[tuple[str, str]]:
+    required = [
+        "symbol", "open", "high", "low", "close", "volume",
+        "timestamp_ms", "num_trades", "event_time", "trade_date",
+    ]
+    rules = [(f"{c}_not_null", f"{c} IS NULL") for c in required]
+    rules.append(("symbol_max_length", "LENGTH(symbol) > 10"))
+    kinds = {c: (12, 4) for c in ("open", "high", "low", "close", "vwap", "price_change")}
+    kinds |= {"price_change_pct": (8, 4), "bar_range_pct": (8, 4), "avg_volume_10bar": (18, 2)}
+    rules += [  # a decimal's first value too wide is half a unit of its last place below the power of ten
+        (f"{c}_in_range", f"(isnan({c}) OR abs({c}) >= {10 ** (p - s)}::DOUBLE - {5 / 10 ** (s + 1)}::DOUBLE)")
+        for c, (p, s) in kinds.items()
+    ]
+    rules += [(f"{c}_in_range", f"({c} IS NOT NULL AND TRY_CAST({c} AS BIGINT) IS NULL)") for c in ("volume", "num_trades")]
+    return rules
+
+
+def _breached_counts() -> str:
+    parts = [f"SELECT '{name}' AS rule, COUNT(*) FILTER ({cond}) AS violations FROM judged" for name, cond in _rules_before_cast()]
+    parts.append(
+        "SELECT 'key_unique', CAST(COALESCE(SUM(n - 1), 0) AS BIGINT) FROM "
+        "(SELECT COUNT(*) AS n FROM judged GROUP BY symbol, timestamp_ms)"
+    )
+    return BREACHED + "\n" + "\nUNION ALL ".join(parts)
+
+
+def _breached_rows() -> str:
+    names = ", ".join(f"CASE WHEN {cond} THEN '{name}' END" for name, cond in sorted(_rules_before_cast()))
+    return f"""{BREACHED}
+SELECT * FROM (SELECT symbol, timestamp_ms, ingestion_time, concat_ws(',', {names}) AS broken FROM judged) WHERE broken <> ''"""
+
+
+FAULTY = f"""{HOURLY},
+planted AS (
+  SELECT CASE WHEN hx % 23 <> 0 THEN symbol END AS symbol, timestamp, ingestion_time,
+         CASE WHEN hx % 19 = 0 THEN 'infinity'::DOUBLE ELSE open END AS open,
+         CASE WHEN hx % 31 = 0 THEN 'nan'::DOUBLE ELSE high END AS high, low,
+         CASE WHEN hx % 29 = 0 THEN 123456789.0 ELSE close END AS close,
+         CASE WHEN hx % 37 = 0 THEN 1e300 WHEN hx % 41 = 0 THEN 'nan'::DOUBLE ELSE volume END AS volume,
+         CASE WHEN hx % 43 = 0 THEN '-infinity'::DOUBLE ELSE num_trades END AS num_trades
+  FROM (SELECT *, timestamp // 3600000 AS hx FROM bronze)),
+reasons AS (
+  SELECT *, CASE WHEN symbol IS NULL THEN 'key'
+                 WHEN open IS NULL OR high IS NULL OR low IS NULL OR close IS NULL OR isnan(open) OR isnan(high)
+                      OR isnan(low) OR isnan(close) THEN 'prices'
+                 WHEN isinf(open) OR abs(close) >= 100000000 THEN 'range'
+                 WHEN volume = 1e300 OR isnan(volume) THEN 'volume'
+                 WHEN isinf(num_trades) THEN 'num_trades' END AS reason
+  FROM planted)"""
+
+
 def _alarm(samples: str, stat: str, seconds: int, breach: str, periods: int, dims: str = "") -> str:
     """``samples`` has columns seen, value (and dims)."""
     d = f"{dims}, " if dims else ""
@@ -280,20 +362,38 @@ SELECT CAST(SUM(copies) AS BIGINT) AS rows_read, COUNT(*) AS rows_after_dedup,
        CAST(SUM(copies - usable) AS BIGINT) AS set_aside, COUNT(*) FILTER (usable > 0) AS added,
        0::BIGINT AS replaced, 0::BIGINT AS mended FROM keys""",
         "silver_partitioned_report": f"{SILVER} SELECT symbol, timestamp_ms, close FROM silver WHERE {DAY}",
-        "dead_letter_bars": f"""{HOURLY},
-planted AS (
-  SELECT CASE WHEN hx % 23 <> 0 THEN symbol END AS symbol, timestamp, ingestion_time,
-         CASE WHEN hx % 19 = 0 THEN 'infinity'::DOUBLE ELSE open END AS open,
-         CASE WHEN hx % 31 = 0 THEN 'nan'::DOUBLE ELSE high END AS high, low,
-         CASE WHEN hx % 29 = 0 THEN 123456789.0 ELSE close END AS close
-  FROM (SELECT *, timestamp // 3600000 AS hx FROM bronze))
-SELECT * FROM (
-  SELECT symbol, timestamp, ingestion_time,
-         CASE WHEN symbol IS NULL THEN 'key'
-              WHEN open IS NULL OR high IS NULL OR low IS NULL OR close IS NULL OR isnan(open) OR isnan(high)
-                   OR isnan(low) OR isnan(close) THEN 'prices'
-              WHEN isinf(open) OR abs(close) >= 100000000 THEN 'range' END AS reason
-  FROM planted) WHERE reason IS NOT NULL""",
+        "dead_letter_bars": f"""{FAULTY}
+SELECT symbol, timestamp, ingestion_time, reason FROM reasons WHERE reason IS NOT NULL""",
+        "transform_counts": f"""{FAULTY},
+keys AS (SELECT symbol, timestamp, COUNT(*) AS copies, COUNT(*) FILTER (reason IS NULL) AS usable FROM reasons GROUP BY ALL),
+days AS (SELECT CAST(make_timestamp(timestamp * 1000) AS DATE) AS day, * FROM keys)
+SELECT CAST(SUM(copies) AS BIGINT) AS rows_read, COUNT(*) AS rows_after_dedup,
+       CAST(SUM(copies) AS BIGINT) - COUNT(*) AS duplicates_removed, COUNT(*) FILTER (usable > 0) AS rows_final,
+       CAST(SUM(copies - usable) AS BIGINT) AS set_aside, COUNT(*) FILTER (usable > 0) AS rows,
+       MIN(day) FILTER (usable > 0) AS first_date, MAX(day) FILTER (usable > 0) AS last_date FROM days""",
+        "contract_before_cast": _breached_counts(),
+        "contract_breaches": _breached_rows(),
+        "dead_letter_answers": f"""{HOURLY}
+SELECT symbol, timestamp, CASE WHEN hx % 19 = 0 THEN 'unreadable' WHEN hx % 13 = 0 THEN 'refused' ELSE 'empty' END AS reason
+FROM (SELECT *, timestamp // 3600000 AS hx FROM bronze) WHERE hx % 19 = 0 OR hx % 13 = 0 OR hx % 17 = 0""",
+        "latest_day_report": f"{_MOVERS} SELECT * FROM movers",
+        "retention_applied": f"""{SILVER},
+aged AS (SELECT *, DATE '2024-02-04' - trade_date AS age FROM silver)
+SELECT trade_date, COUNT(*) AS row_count, CAST(SUM(volume) AS BIGINT) AS volume,
+       CASE WHEN age >= 7 THEN 'cold' ELSE 'hot' END AS tier, 1::BIGINT AS folders, age >= 7 AS packed
+FROM aged WHERE age < 30 GROUP BY trade_date, age""",
+        "fresh_bronze": f"{HOURLY} SELECT {BRONZE_COLUMNS} FROM bronze",
+        "tracked_symbols": f"WITH {DAILY_BRONZE} SELECT {BRONZE_COLUMNS} FROM bronze "
+        "WHERE symbol IN (SELECT 'S' || s_suppkey FROM supplier WHERE s_acctbal > 0)",
+        "alarm_throttles": _alarm(
+            f"""WITH {bronze(1)},
+samples AS (SELECT make_timestamp(timestamp * 1000) AS seen, 1 AS value FROM bronze WHERE timestamp // 60000 % 13 = 0)""",
+            "CAST(SUM(value) AS BIGINT)", 60, "metric >= 1", 1,
+        ),
+        "alarm_failed_tasks": _alarm(
+            "WITH samples AS (SELECT ts AS seen, CASE WHEN event_type = 'error' THEN event_id % 3 ELSE 0 END AS value FROM events)",
+            "CAST(SUM(value) AS BIGINT)", 60, "(metric > 0)", 1,
+        ),
         "dead_letter_ticks": f"""WITH {TICKS}
 SELECT * FROM (
   SELECT tick_id, CASE WHEN tick_id % 41 = 0 OR tick_id % 43 = 0 OR price IS NULL THEN 'price'

@@ -17,7 +17,7 @@ def test_transform_counts_what_it_writes(spark, tmp_path):
     write_bronze(bronze(spark, RAW), raw)
     for by in ((), ("trade_date",)):
         got = run_transform(spark, raw, out + str(len(by)), partition_by=by)
-        assert got == Written(2, date(2023, 11, 14), date(2023, 11, 14))
+        assert got == Written(4, 3, 1, 2, 1, 2, date(2023, 11, 14), date(2023, 11, 14))
         assert spark.read.parquet(out + str(len(by))).count() == 2
 
 

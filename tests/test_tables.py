@@ -10,12 +10,17 @@ from pyspark.sql import types as T
 
 from barloom.operators.contract import apply_defaults, check_contract, evolution_errors
 from barloom.operators.retention import retention_tier, unexpired
-from barloom.plans.reports import on_day
+from barloom.plans.catalog import catalog
+from barloom.plans.reports import daily_summary, on_day, top_movers
 from barloom.plans.silver import silver
 from barloom.schemas import BRONZE, GOLD, SILVER
 from barloom.sinks.gold import GoldTable, gold_rows
 from barloom.sinks.tables import layout_gold, write_bronze, write_silver
-from barloom.sources.tables import fresh_files, has_new_data, read_bronze, register_table
+from barloom.sinks.upkeep import Plan, apply_retention
+from barloom.sinks.versions import VersionedTable
+from barloom.sources.envelopes import parse_prev_envelope, unusable_answers
+from barloom.sources.tables import fresh_files, has_new_data, latest_day, read_bronze, register_table
+from barloom.sources.universe import parse_symbols
 
 NOON = datetime(2024, 1, 5, 14, 30, tzinfo=timezone.utc)
 DAY = 86_400_000
@@ -221,3 +226,69 @@ def test_a_day_of_partitioned_silver_is_one_folder(spark, tmp_path, bars, as_of)
     assert {str(r.trade_date) for r in day.collect()} == {as_of or "1970-01-04"} and day.count() == 10
     plan = day._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(by_date" in plan
+
+
+def test_every_rule_of_the_contract_has_a_planted_fault(spark, sf_dir):
+    got = {r.rule: r.violations for r in catalog()["contract_before_cast"](spark, sf_dir).collect()}
+    assert len(got) == 23 and min(got.values()) > 0, got
+
+
+@pytest.mark.parametrize("versioned", [False, True])
+def test_the_latest_day_is_one_scan_of_one_folder(spark, tmp_path, bars, versioned):
+    path = str(tmp_path / "silver")
+    if versioned:
+        table = VersionedTable(spark, path)
+        table.commit(table.current(), table.add(bars.withColumn("by_date", F.col("trade_date"))))
+    else:
+        write_silver(bars, path, ["trade_date"])
+    report = top_movers(latest_day(spark, path))
+    want = top_movers(register_table(spark, path, "silver_latest"))
+    assert sorted(report.collect()) == sorted(want.collect()) and report.count() == 2
+    plan = plan_of(top_movers(latest_day(spark, path)))
+    assert plan.count("FileScan") == 1 and "ubquery" not in plan
+    assert {Path(f).parent.name for f in latest_day(spark, path).inputFiles()} == {"by_date=1970-01-04"}
+    assert latest_day(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_last_days_prune_folders(spark, tmp_path, bars):
+    path = str(tmp_path / "silver")
+    write_silver(bars, path, ["trade_date"])
+    days = daily_summary(register_table(spark, path, "silver_days"), as_of="1970-01-04", days=1)
+    assert days.count() == 4
+    assert "PartitionFilters: [isnotnull(by_date" in plan_of(days)
+
+
+def test_retention_drops_packs_and_leaves_what_is_packed(spark, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "t"), counted="symbol")
+    schema = T.StructType([T.StructField("symbol", T.StringType()), T.StructField("n", T.IntegerType())])
+    days = [date(2024, 1, 1) + timedelta(days=d) for d in (0, 1, 20, 29, 30, 31)]
+    for k in range(3):
+        rows = spark.createDataFrame([(s, k, d) for s in "AB" for d in days], "symbol string, n int, by_date date").repartition(4)
+        table.commit(table.current(), table.add(rows))
+    as_of = date(2024, 2, 1)
+    before = table.read(schema).select("symbol", "n", "by_date").filter(F.col("by_date") > F.lit(days[1])).collect()
+    todo = apply_retention(table, schema, as_of, most_folders=2)
+    assert (todo.expired, todo.cold, todo.crowded) == (
+        ("2024-01-01", "2024-01-02"), ("2024-01-21",), ("2024-01-30", "2024-01-31", "2024-02-01"),
+    )
+    now = table.current()
+    assert sorted(table.read(schema).select("symbol", "n", "by_date").collect()) == sorted(before)
+    assert [f.date for f in sorted(now.folders)] == [str(d) for d in days[2:]]
+    assert {len(list(Path(table.place(f)).glob("*.parquet"))) for f in now.folders} == {1}
+    assert {f.date for f in now.folders if f.write.startswith("cold-")} == {"2024-01-21"}
+    assert "zstd" in next(Path(table.place(now.on(["2024-01-21"])[0])).glob("*.parquet")).name
+    assert {(r.symbol, str(r.by_date)): r.rows for r in table.counts(now).collect()} == {(s, str(d)): 3 for s in "AB" for d in days[2:]}
+    assert apply_retention(table, schema, as_of, most_folders=2) == Plan((), (), ()) and table.current() == now
+    table.vacuum(keep=1)
+    assert sorted(table.read(schema).select("symbol", "n", "by_date").collect()) == sorted(before)
+    assert len(list(Path(table.path).rglob("*.parquet"))) < 20
+
+
+def test_answers_without_bars_are_told_apart(spark):
+    good = '{"status":"OK","resultsCount":1,"results":[{"o":1,"h":1,"l":1,"c":1,"v":1,"vw":1,"t":1,"n":1}]}'
+    bodies = [good, '{"status":"NOT_AUTHORIZED"}', '{"status":"OK","resultsCount":0}', '{"status":"OK","resultsCount":2}', "[1", None, "{}"]
+    answers = spark.createDataFrame([(str(i), b) for i, b in enumerate(bodies)], "symbol string, body string")
+    got = {r.symbol: r.reason for r in unusable_answers(answers).collect()}
+    assert got == {"1": "refused", "2": "empty", "3": "empty", "4": "unreadable", "5": "unreadable", "6": "unreadable"}
+    assert parse_prev_envelope(answers, F.lit(1)).count() == 1
+    assert parse_symbols(" A,B ,, C") == ["A", "B", "C"]

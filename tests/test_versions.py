@@ -64,7 +64,7 @@ def test_vacuum_removes_what_no_kept_version_holds(spark, tmp_path):
 def test_reach_follows_the_bars_and_not_the_days(spark):
     counts = [("A", f"2024-01-{d:02d}", n) for d, n in ((1, 9), (2, 4), (3, 3), (4, 3), (9, 1), (10, 8), (11, 2), (12, 5))]
     counts += [("B", "2024-01-01", 50)]
-    counts = spark.createDataFrame(counts, "symbol string, day string, bars long").select("symbol", F.to_date("day").alias("by_date"), "bars")
+    counts = spark.createDataFrame(counts, "symbol string, day string, bars long").select("symbol", F.to_date("day").alias("by_date"), F.col("bars").alias("rows"))
     touched = spark.createDataFrame([("A", "2024-01-04"), ("C", "2024-01-04")], "symbol string, day string").select("symbol", F.to_date("day").alias("by_date"))
     got = {(r.symbol, r.by_date.day): r.inner for r in reach(counts, touched, 10).collect()}
     assert got.pop(("C", 4))

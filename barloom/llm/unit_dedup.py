@@ -193,7 +193,7 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", rank: str |
                     parts.append(body[last:a])
                     last = b
                 clean.append("".join([*parts, body[last:]]) if gone else body)
-                spans.append([{"start": a, "end": b, "first": f if f < UNKEYED else None} for a, b, f in gone])
+                spans.append([{"start": a, "end": b, "first": f if f is not None and f < UNKEYED else None} for a, b, f in gone])
             columns = [batch.column(i + 1) for i in range(len(kept))]
             columns[at] = pa.array(clean, pa.string())
             yield pa.RecordBatch.from_arrays([*columns, pa.array(spans, SPANS)], [*kept, removed])

@@ -30,6 +30,9 @@ EPOCHS, RATE, SHRINK = 3, 0.5, 1e-4
 #: Bytes that the words a worker remembers the scores of may take, and what one takes beside its letters.
 MEMORY, EACH = 32 << 20, 200
 NONE = "und"
+#: Texts that are left to measure what is familiar, and threes of letters that make a long one; how far beyond the least
+#: familiar of them a text may fall short.
+LEAST, LONG, SLACK = 10, 1_000, 1.5
 
 
 def forward_backward(scores: np.ndarray, lengths: np.ndarray, trans: np.ndarray, pairs: bool = False):
@@ -79,18 +82,52 @@ def forward_backward(scores: np.ndarray, lengths: np.ndarray, trans: np.ndarray,
     return out / out.sum(axis=1, keepdims=True), expected
 
 
+class Familiar:
+    """Which three letters in a row occur in the sampled words, word edges included, and how many of a text may not.
+
+    The letters come from four fifths of the sample; the rest tells what share of a text that is in one of the
+    languages is known, and by how much a text may fall short of it: by a fixed part, and by more the shorter it is.
+    """
+
+    def __init__(self, texts: list[str]):
+        words = [WORD.findall(t.lower()) for t in texts]
+        self.grams = frozenset(g for i, ws in enumerate(words) if i % 5 for w in set(ws) for g in self.of(w))
+        shares = [self.count(ws) for ws in words[::5]]
+        known, total = (np.array([s[k] for s in shares if s[1]], float) for k in (0, 1))
+        self.usual = float(known.sum() / total.sum()) if len(total) >= LEAST else 0.0
+        short = self.usual - known / np.maximum(total, 1)
+        self.spread = float((short * np.sqrt(total)).max(initial=0.0))
+        self.part = float(short[total >= LONG].max(initial=0.0))
+
+    @staticmethod
+    def of(word: str) -> list[str]:
+        edged = f"\x02{word}\x03"
+        return [edged[i : i + 3] for i in range(len(edged) - 2)]
+
+    def count(self, words: list[str]) -> tuple[int, int]:
+        found = [g in self.grams for w in words for g in self.of(w)]
+        return sum(found), len(found)
+
+    def least(self, total: float) -> float:
+        """The share that a text of so many threes needs."""
+        return self.usual - SLACK * max(self.part, self.spread / max(total, 1.0) ** 0.5) - 0.02
+
+
 class Model:
-    def __init__(self, languages: list[str], weights: np.ndarray, trans: np.ndarray):
+    def __init__(self, languages: list[str], weights: np.ndarray, trans: np.ndarray, familiar: Familiar | None = None):
         self.languages, self.weights, self.trans = languages, weights, trans
+        self.familiar = familiar
+        self.counts = np.zeros((0, 2), np.int32)
         self.known = WordMemory(MEMORY, EACH)
         self.scores = np.zeros((0, len(languages)), np.float32)
 
-    def word_scores(self, words: list[str]) -> np.ndarray:
+    def numbers(self, words: list[str]) -> np.ndarray:
+        """Places of the words in ``scores`` (and ``counts``); words not met before are scored."""
         known = self.known
         fresh = [w for w in dict.fromkeys(words) if w not in known]
         if fresh:
             if not known.has_room(fresh):
-                self.scores = self.scores[:0]
+                self.scores, self.counts = self.scores[:0], self.counts[:0]
                 fresh = list(dict.fromkeys(words))
                 known.has_room(fresh)
             found = []
@@ -99,7 +136,22 @@ class Model:
                 found.append(np.add.reduceat(self.weights[ids], begin[:-1], axis=0))
             known.update(zip(fresh, range(len(self.scores), len(self.scores) + len(fresh))))
             self.scores = np.concatenate([self.scores, *found])
-        return self.scores[np.fromiter(map(known.__getitem__, words), np.int64, len(words))]
+            if self.familiar:
+                met = np.array([self.familiar.count([w]) for w in fresh], np.int32)
+                self.counts = np.concatenate([self.counts, met])
+        return np.fromiter(map(known.__getitem__, words), np.int64, len(words))
+
+    def word_scores(self, words: list[str]) -> np.ndarray:
+        at = self.numbers(words)
+        return self.scores[at]
+
+    def is_familiar(self, words: list[str]) -> bool:
+        """Whether the letters of the words are what the sampled languages are written with."""
+        if not self.familiar or not words:
+            return bool(words)
+        at = self.numbers(words)
+        known, total = self.counts[at].sum(axis=0, dtype=np.int64)
+        return bool(known >= self.familiar.least(total) * total)
 
     def label_words(self, texts: list[str | None]) -> list[tuple[list[str], np.ndarray]]:
         """Words of each text and their marginals over ``languages``."""
@@ -114,8 +166,13 @@ class Model:
         return [(w, marginals[e - len(w) : e]) for w, e in zip(words, ends)]
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
-        names, scores = [], []
+        return self.judge(texts)[:2]
+
+    def judge(self, texts: list[str | None]) -> tuple[list[str], list[float], list[bool]]:
+        """Language, score and whether the text is familiar, for each text."""
+        names, scores, familiar = [], [], []
         for words, marginals in self.label_words(texts):
+            familiar.append(self.is_familiar(words))
             if not len(words) or not self.languages:
                 names.append(NONE)
                 scores.append(0.0)
@@ -124,7 +181,7 @@ class Model:
             best = int(mean.argmax())
             names.append(self.languages[best])
             scores.append(float(min(1.0, mean[best])))
-        return names, scores
+        return names, scores, familiar
 
 
 def train(texts: list[str], labels: list[str], seed: int = 11) -> Model:
@@ -168,7 +225,7 @@ def train(texts: list[str], labels: list[str], seed: int = 11) -> Model:
             g = expected / len(lengths) + SHRINK * trans
             square_t += g * g
             trans -= RATE * 0.2 * g / np.sqrt(square_t)
-    return Model(languages, weights, trans)
+    return Model(languages, weights, trans, Familiar(texts))
 
 
 def learn(docs: DataFrame, key: str = "doc_id", text: str = "text", label: str = "lang", sample: int = SAMPLE) -> Model:
@@ -185,20 +242,28 @@ def learn(docs: DataFrame, key: str = "doc_id", text: str = "text", label: str =
     return train([r[1] for r in taken], [r[2] for r in taken])
 
 
-def identify(docs: DataFrame, model: Model, keys: list[str], text: str = "text", names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
-    """``keys``, lang_pred and score (or other ``names``, where keys are named so) for every row."""
+def identify(
+    docs: DataFrame, model: Model, keys: list[str], text: str = "text", names: tuple[str, str] = ("lang_pred", "score"), familiar: str | None = None
+) -> DataFrame:
+    """``keys``, lang_pred and score (or other ``names``, where keys are named so) for every row.
+
+    ``familiar`` names one more column: whether the text is written as the learned languages are. The score
+    cannot tell, as it shares out certainty among the learned languages whatever the text.
+    """
     kinds = ", ".join(f"`{k}` {docs.schema[k].dataType.simpleString()}" for k in keys)
-    parts = (model.languages, model.weights, model.trans)
+    parts = (model.languages, model.weights, model.trans, model.familiar if familiar else None)
 
     def work(batch: pa.RecordBatch, own: Model) -> pa.RecordBatch:
-        found, scores = [], []
+        found, scores, usual = [], [], []
         texts = batch.column(len(keys)).to_pylist()
         for i in range(0, len(texts), 1000):
-            a, b = own.predict(texts[i : i + 1000])
+            a, b, c = own.judge(texts[i : i + 1000])
             found += a
             scores += b
-        made = [pa.array(found, pa.string()), pa.array(scores, pa.float64())]
-        return pa.RecordBatch.from_arrays([*batch.columns[: len(keys)], *made], [*keys, *names])
+            usual += c
+        made = [pa.array(found, pa.string()), pa.array(scores, pa.float64()), *([pa.array(usual, pa.bool_())] if familiar else [])]
+        return pa.RecordBatch.from_arrays([*batch.columns[: len(keys)], *made], [*keys, *names, *([familiar] if familiar else [])])
 
     rows = docs.select(*[F.col(f"`{k}`") for k in keys], F.col(text).cast("string").alias("__text"))
-    return in_batches(rows, f"{kinds}, `{names[0]}` string, `{names[1]}` double", work, lambda: Model(*parts))
+    more = f", `{familiar}` boolean" if familiar else ""
+    return in_batches(rows, f"{kinds}, `{names[0]}` string, `{names[1]}` double{more}", work, lambda: Model(*parts))

@@ -8,9 +8,10 @@ if it holds one of that item's rarest shingles, any that together weigh more tha
 in the item and shifted by as many words to both sides as inserted or deleted words can move it at 0.8 (for shingles
 that do not repeat within a window). The anchors are broadcast below a checked number of rows and joined by shuffle above.
 
-Each window and each item gets a weighted SimHash fingerprint of 64 bits. A window and an item with an anchor
-in common are compared by Hamming distance; more than half of the bits, where unrelated ones lie, drops them. Pairs
-within the radius are verified: weighted Jaccard similarity of the shingles themselves, at least 0.8.
+Each window and each item gets a weighted SimHash fingerprint of 64 bits, which is cut into four blocks: all windows and
+items whose fingerprints differ in three bits at most agree in a block and are joined by it. At a similarity of 0.8
+fingerprints differ in far more bits, so these pairs are joined by those with an anchor in common, of which
+a Hamming distance of more than half of the bits, where unrelated ones lie, drops some. Pairs are verified: weighted Jaccard similarity of the shingles themselves, at least 0.8.
 
 Null and empty texts and items, and items of fewer than five words, match nothing. Repeated
 documents are matched each by itself (same key: reported once; rows of one key, or of none, with different texts are judged each by its text); other columns are not read.
@@ -25,8 +26,12 @@ from barloom.llm.common import stored
 
 SHINGLE, SIMILARITY = 5, 0.8
 BITS, RADIUS = 64, 32
+#: Fingerprints as near as this meet by their blocks, all of them.
+BLOCK_RADIUS = 3
 #: Tables of the benchmark's size are broadcast up to so many rows (some ten bytes each).
 BROADCAST_ROWS = 500_000
+#: Words of a text that are looked up together.
+PART = 256
 
 
 def words_of(text: Column) -> Column:
@@ -46,6 +51,13 @@ def shingles(words: Column) -> Column:
     return F.transform(first, lambda w, i: F.concat_ws(" ", w, *[F.get(words, i + k) for k in range(1, SHINGLE)]))
 
 
+def _parts(words: Column, longest: int) -> Column:
+    """``words`` in parts of PART, each with as many words on either side as an item may have."""
+    numbers = F.sequence(F.lit(0), F.greatest(F.floor((F.size(words) - 1) / PART).cast("int"), F.lit(0)))
+    start = lambda k: F.greatest(k * PART - longest, F.lit(0))
+    return F.transform(numbers, lambda k: F.slice(words, start(k) + 1, k * PART + PART + longest - start(k)))
+
+
 def _small(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
@@ -111,44 +123,45 @@ def _found(docs: DataFrame, benchmark: DataFrame, radius: int, similarity: float
     )
     anchors = stored(anchors, "anchors")
     n_anchors = anchors.count()
+    longest = items.agg(F.max("size")).first()[0] or 0
     texts = docs.select(key, identity(key).alias("__id"), words_of(F.col("text")).alias("words"))
-    begin, stop = F.col("pos") - F.col("at"), F.col("pos") - F.col("at") + F.col("size")
-    cut = F.slice("words", F.greatest(begin, F.lit(0)) + 1, stop - F.greatest(begin, F.lit(0)))
     content = F.md5(F.concat_ws(" ", "words")).alias("content")
-    if max(n_rows, n_anchors) <= BROADCAST_ROWS:  # windows are cut where the anchor is found, the text does not move
-        seen = texts.select(key, "__id", "words", F.posexplode(shingle_hashes(F.col("words"))).alias("pos", "h"))
-        windows = seen.join(F.broadcast(anchors), "h").select(key, "__id", begin.alias("begin"), "items", cut.alias("words"))
-    else:
-        seen = texts.select("__id", F.posexplode(shingle_hashes(F.col("words"))).alias("pos", "h")).join(anchors, "h")
-        places = seen.select("__id", begin.alias("begin"), "size", "items").distinct()
-        windows = texts.dropDuplicates(["__id"]).join(places, "__id")
-        cut = F.slice("words", F.greatest("begin", F.lit(0)) + 1, F.col("begin") + F.col("size") - F.greatest("begin", F.lit(0)))
-        windows = windows.select(key, "__id", "begin", "items", cut.alias("words"))
+    # Windows are cut where the anchor is found, out of a part of the text, so that a long text costs in proportion.
+    parts = texts.select(key, "__id", F.posexplode(_parts(F.col("words"), longest)).alias("part", "words"))
+    start = F.greatest(F.col("part") * PART - longest, F.lit(0))  # place of the part's first word in the text
+    seen = parts.select(key, "__id", "words", start.alias("start"), (F.col("part") * PART).alias("own"), F.posexplode(shingle_hashes(F.col("words"))).alias("pos", "h"))
+    seen = seen.withColumn("pos", F.col("pos") + F.col("start")).where((F.col("pos") >= F.col("own")) & (F.col("pos") < F.col("own") + PART))
+    begin = F.col("pos") - F.col("at")
+    inside = F.greatest(begin, F.lit(0)) - F.col("start")
+    cut = F.slice("words", inside + 1, begin + F.col("size") - F.col("start") - inside)
+    met = seen.join(F.broadcast(anchors) if n_anchors <= BROADCAST_ROWS else anchors, "h")
+    windows = met.select(key, "__id", begin.alias("begin"), "items", cut.alias("words"))
     windows = stored(windows.withColumn("content", content), "windows")
     # equal windows are judged once
     contents = windows.groupBy("content").agg(F.first("words").alias("words"))
-    parts = contents.select("content", F.explode(shingles(F.col("words"))).alias("shingle"))
+    pieces = contents.select("content", F.explode(shingles(F.col("words"))).alias("shingle"))
     known = _small(rarity, n_rows)
-    valued = parts.join(known, "shingle", "left").withColumn("weight", F.coalesce("weight", F.log1p(F.lit(float(total)))))
+    valued = pieces.join(known, "shingle", "left").withColumn("weight", F.coalesce("weight", F.log1p(F.lit(float(total)))))
     valued = stored(valued, "valued-windows")
     left = fingerprints(valued, ["content"]).withColumnRenamed("fp", "window_fp")
     right = fingerprints(weighted, ["item"]).withColumnRenamed("fp", "item_fp")
     pairs = windows.select("content", F.explode("items").alias("item")).distinct()
-    near = (
-        pairs.join(left, "content")
-        .join(_small(right, n_rows), "item")
-        .withColumn("distance", F.bit_count(F.col("window_fp").bitwiseXOR(F.col("item_fp"))))
-        .where(F.col("distance") <= radius)
-        .select("content", "item", "distance")
-    )
-    near = stored(near, "near")
+    far = F.bit_count(F.col("window_fp").bitwiseXOR(F.col("item_fp"))).alias("distance")
+    anchored = pairs.join(left, "content").join(_small(right, n_rows), "item").select("content", "item", far, F.lit(False).alias("by_blocks"))
+    # all fingerprints within BLOCK_RADIUS, whichever anchor the window was laid at
+    mine = left.select("content", "window_fp", F.explode(blocks(F.col("window_fp"), BLOCK_RADIUS)).alias("b"))
+    theirs = right.select("item", "item_fp", F.explode(blocks(F.col("item_fp"), BLOCK_RADIUS)).alias("b"))
+    blocked = mine.join(_small(theirs, (BLOCK_RADIUS + 1) * n_rows), "b").select("content", "item", far, F.lit(True).alias("by_blocks"))
+    blocked = blocked.where(F.col("distance") <= BLOCK_RADIUS)
+    near = anchored.where(F.col("distance") <= radius).unionByName(blocked)
+    near = stored(near.groupBy("content", "item", "distance").agg(F.bool_or("by_blocks").alias("by_blocks")), "near")
     # exact weights: per pair and shingle the occurrences on both sides
     own = valued.groupBy("content", "shingle", "weight").agg(F.count("*").alias("n"))
-    theirs = weighted.groupBy("item", "shingle", "weight").agg(F.count("*").alias("n"))
-    sides = near.join(own, "content").select("content", "item", "distance", "shingle", "weight", F.col("n").alias("a"), F.lit(0).cast("long").alias("b"))
-    sides = sides.unionByName(near.join(theirs, "item").select("content", "item", "distance", "shingle", "weight", F.lit(0).cast("long").alias("a"), F.col("n").alias("b")))
-    met = sides.groupBy("content", "item", "distance", "shingle", "weight").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
-    scored = met.groupBy("content", "item", "distance").agg(
+    held = weighted.groupBy("item", "shingle", "weight").agg(F.count("*").alias("n"))
+    sides = near.join(own, "content").select("content", "item", "distance", "by_blocks", "shingle", "weight", F.col("n").alias("a"), F.lit(0).cast("long").alias("b"))
+    sides = sides.unionByName(near.join(held, "item").select("content", "item", "distance", "by_blocks", "shingle", "weight", F.lit(0).cast("long").alias("a"), F.col("n").alias("b")))
+    met = sides.groupBy("content", "item", "distance", "by_blocks", "shingle", "weight").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+    scored = met.groupBy("content", "item", "distance", "by_blocks").agg(
         (F.sum(F.least("a", "b") * F.col("weight")) / F.sum(F.greatest("a", "b") * F.col("weight"))).alias("similarity")
     )
     verified = scored.where(F.col("similarity") >= similarity - 1e-12)
@@ -158,10 +171,13 @@ def _found(docs: DataFrame, benchmark: DataFrame, radius: int, similarity: float
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, radius: int = RADIUS, similarity: float = SIMILARITY, key: str = "doc_id") -> DataFrame:
-    """doc_id, item_id, start and n_words of the best window, similarity and distance, for each pair that matches."""
+    """doc_id, item_id, start and n_words of the best window, similarity, distance and found_by, for each pair that matches.
+
+    found_by: ``blocks`` if the fingerprints met by their blocks, ``anchor`` if only an anchor in common brought them together.
+    """
     found = _found(docs, benchmark, radius, similarity, key)
     best = F.max_by(
-        F.struct(F.greatest("begin", F.lit(0)).alias("start"), "n_words", "similarity", "distance"),
+        F.struct(F.greatest("begin", F.lit(0)).alias("start"), "n_words", "similarity", "distance", F.when(F.col("by_blocks"), "blocks").otherwise("anchor").alias("found_by")),
         F.struct("similarity", -F.col("begin"), -F.col("n_words")),
     )
     return found.groupBy(key, "item_id").agg(best.alias("w")).select(key, "item_id", "w.*")

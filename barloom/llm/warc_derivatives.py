@@ -2,7 +2,8 @@
 
 Every response record gives two records that name it in WARC-Refers-To: a ``metadata`` record
 with its status, headers, digests, title and link count as warc-fields, and a ``conversion`` record
-with the plain text of its HTML. Both keep the response's target URI and date; record ids are
+with the plain text of its HTML or other text. Chunks, gzip and deflate are undone first; payloads of other media types, and
+such as cannot be unpacked, have metadata only, with the reason. Records of other types (requests, say) give nothing. Both keep the response's target URI and date; record ids are
 name-based UUIDs of the source's id, so a repeated run gives the same records, and the metadata record names its
 conversion in WARC-Concurrent-To. Digests are SHA-1 in base 32, as archives write them.
 
@@ -18,6 +19,7 @@ import hashlib
 import html
 import re
 import uuid
+import zlib
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -34,6 +36,10 @@ TAG = re.compile(r"<[a-zA-Z/!?][^<>]*>")
 TITLE = re.compile(r"(?is)<title\b[^<>]*>(.*?)</title")
 LINK = re.compile(r"(?i)<a\s[^<>]*?\bhref\s*=")
 CHARSET = re.compile(r"(?i)charset\s*=\s*\"?([\w.:-]+)")
+#: Media types that are converted as pages; other text types are taken as they are, anything else is not converted.
+PAGES = ("text/html", "application/xhtml+xml", "application/xml", "text/xml")
+#: Bytes a payload may unpack to.
+MOST_BYTES = 256 << 20
 COLUMNS = [
     ("record_type", "string"), ("record_id", "string"), ("refers_to", "string"), ("concurrent_to", "string"), ("target_uri", "string"),
     ("date", "string"), ("content_type", "string"), ("source_digest", "string"), ("block_digest", "string"), ("content_length", "long"), ("block", "string"),
@@ -95,22 +101,88 @@ def plain_text(page: str) -> str:
     return "\n".join(line for line in map(one_line, text.split("\n")) if line)
 
 
+def unchunked(body: bytes) -> bytes:
+    """The payload of chunks; ValueError if they are cut short."""
+    out, at = [], 0
+    while True:
+        end = body.find(b"\r\n", at)
+        size = int(body[at:end].split(b";")[0], 16) if end >= 0 else -1
+        if size < 0 or end + 2 + size > len(body):
+            raise ValueError("a chunk is cut short")
+        if not size:
+            return b"".join(out)
+        out.append(body[end + 2 : end + 2 + size])
+        at = end + 4 + size
+
+
+def inflated(body: bytes, bits: int) -> bytes:
+    tool = zlib.decompressobj(bits)
+    out = tool.decompress(body, MOST_BYTES)
+    if tool.unconsumed_tail:
+        raise ValueError("too long when unpacked")
+    return out
+
+
+def unpacked(http: dict[str, str], body: bytes) -> bytes:
+    """A payload without its transfer and content encodings; ValueError if one is unknown or broken."""
+    if "chunked" in http.get("transfer-encoding", "").lower():
+        body = unchunked(body)
+    for coding in reversed(http.get("content-encoding", "").lower().split(",")):
+        coding = coding.strip()
+        try:
+            if coding in ("gzip", "x-gzip"):
+                body = inflated(body, 31)
+            elif coding == "deflate":
+                try:
+                    body = inflated(body, 15)
+                except zlib.error:
+                    body = inflated(body, -15)
+            elif coding not in ("", "identity"):
+                raise ValueError(f"unknown encoding {coding}")
+        except zlib.error as error:
+            raise ValueError(str(error)) from error
+    return body
+
+
+def text_of(http: dict[str, str], body: bytes) -> tuple[str | None, str]:
+    """The plain text of a payload, None if it is no text, and the page it is taken from."""
+    kind = http.get("content-type", "").split(";")[0].strip().lower()
+    if kind and kind not in PAGES and not kind.startswith("text/"):
+        return None, ""
+    if not kind and b"\0" in body[:1024]:
+        return None, ""
+    declared = CHARSET.search(http.get("content-type", ""))
+    try:
+        page = body.decode(declared[1] if declared else "utf-8", "replace")
+    except LookupError:
+        page = body.decode("utf-8", "replace")
+    if kind.startswith("text/") and kind not in PAGES:
+        return "\n".join(line for line in map(one_line, page.split("\n")) if line), ""
+    return plain_text(page), page
+
+
 def derive(raw: bytes | None) -> list[tuple]:
-    """The metadata and the conversion record of a response, as values of ``COLUMNS``."""
+    """The metadata and the conversion record of a response, as values of ``COLUMNS``; other records give none.
+
+    A payload that is no text, or cannot be unpacked, has metadata only.
+    """
+    error = ""
     try:
         headers, block = read_record(raw or b"")
+        if headers.get("warc-type", "response").lower() != "response":
+            return []
         head, _, body = block.partition(b"\r\n\r\n")
         lines = head.decode("utf-8", "replace").split(CRLF)
         status, http = lines[0], _fields(lines[1:])
-        declared = CHARSET.search(dict(http).get("content-type", ""))
         try:
-            page = body.decode(declared[1] if declared else "utf-8", "replace")
-        except LookupError:
-            page = body.decode("utf-8", "replace")
+            text, page = text_of(dict(http), unpacked(dict(http), body))
+        except ValueError as broken:
+            text, page, error = None, "", str(broken)
     except ValueError:
-        headers, body, page, status, http = {}, b"", "", "unreadable", []
+        headers, body, text, page, status, http = {}, b"", "", "", "unreadable", []
     source = headers.get("warc-record-id", "")
-    text = plain_text(page).encode("utf-8", "replace")
+    converted = text is not None
+    text = (text or "").encode("utf-8", "replace")
     title = TITLE.search(page)
     payload = headers.get("warc-payload-digest") or digest(body)
     meta_id, text_id = name_id(source, "metadata"), name_id(source, "conversion")
@@ -121,8 +193,9 @@ def derive(raw: bytes | None) -> list[tuple]:
         *((f"source-header-{k}", v) for k, v in http),
         ("title", html.unescape(TAG.sub("", title[1])) if title else ""),
         ("links", str(len(LINK.findall(page)))),
-        ("conversion-digest", digest(text)),
-        ("conversion-length", str(len(text))),
+        ("payload-error", error),
+        ("conversion-digest", digest(text) if converted else ""),
+        ("conversion-length", str(len(text)) if converted else ""),
     ]
     meta = "".join(f"{k}: {one_line(v)}{CRLF}" for k, v in fields if v).encode("utf-8", "replace")
     uri, date = headers.get("warc-target-uri", ""), headers.get("warc-date", "")
@@ -130,6 +203,8 @@ def derive(raw: bytes | None) -> list[tuple]:
     def made(kind, own, other, content, block):
         return kind, own, source, other, uri, date, content, payload, digest(block), len(block), block.decode()
 
+    if not converted:
+        return [made("metadata", meta_id, "", "application/warc-fields", meta)]
     return [
         made("metadata", meta_id, text_id, "application/warc-fields", meta),
         made("conversion", text_id, "", "text/plain; charset=utf-8", text),
@@ -160,14 +235,15 @@ def as_responses(pages: DataFrame, key: str = "page_id", url: str = "url", body:
 
 
 def derivatives(responses: DataFrame, key: str = "page_id", raw: str = "record") -> DataFrame:
-    """key and the columns of two derived records for every row of ``responses``."""
+    """key and the columns of the derived records, two as a rule, for every row of ``responses``."""
     names = [n for n, _ in COLUMNS]
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        rows = [r for x in batch.column(1) for r in derive(x.as_py())]
+        derived = [derive(x.as_py()) for x in batch.column(1)]
+        rows = [r for rs in derived for r in rs]
         kinds = [pa.int64() if k == "long" else pa.string() for _, k in COLUMNS]
         columns = zip(*rows) if rows else [[]] * len(names)
-        twice = batch.column(0).take(pa.array([i for i in range(batch.num_rows) for _ in (0, 1)], pa.int64()))
+        twice = batch.column(0).take(pa.array([i for i, rs in enumerate(derived) for _ in rs], pa.int64()))
         return pa.RecordBatch.from_arrays([twice, *(pa.array(list(c), k) for c, k in zip(columns, kinds))], [key, *names])
 
     schema = f"`{key}` {responses.schema[key].dataType.simpleString()}, " + ", ".join(f"{n} {k}" for n, k in COLUMNS)

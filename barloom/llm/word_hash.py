@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
+import regex
 
-WORD = re.compile(r"[^\W\d_]+")
+#: Letters only: numbers such as a half or a raised two are none.
+WORD = regex.compile(r"\p{L}+")
 #: Features are hashed to so many bits; n-grams have these lengths, the word's two edges included.
 BITS, GRAMS = 17, range(2, 6)
 _STEP = np.uint64(0x9E3779B97F4A7C15)

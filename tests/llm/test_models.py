@@ -137,3 +137,25 @@ def test_toxicity_edges(spark, edge_docs, no_docs):
 
 def test_held_out_rows_are_a_fifth(spark):
     assert 150 < spark.range(1000).select(held_out("id").alias("h")).where("h").count() < 250
+
+
+def test_numbers_are_no_letters(spark):
+    rows = [(i, f"{'der die das und' if i % 2 else 'the and of to'} word{i}", "de" if i % 2 else "en") for i in range(60)]
+    docs = spark.createDataFrame([*rows, (900, "½ ² Ⅷ 12 ³", None), (901, "½ x", None)], "doc_id long, text string, lang string")
+    found = {r.doc_id: r.lang_pred for r in crf_language.identify(docs, crf_language.learn(docs), ["doc_id"]).collect()}
+    assert found[900] == "und" and found[901] != "und"
+
+
+def test_texts_in_no_learned_language_are_unfamiliar(spark):
+    docs = table(spark, "/root/testdata/sf0.01", "documents")
+    model = crf_language.learn(docs)
+    strange = [
+        "日本語の文章をここに書きますが、これは学習されていない言語です。" * 3,
+        "Это предложение написано на языке, которого модель никогда не видела раньше. " * 3,
+        "qwkjx zxqpv wvtrbg hjkqw xcvzq pqlmzk rtgbhy vfrxq zaqxsw cderfv " * 3,
+        "ეს წინადადება დაწერილია უცნობ ენაზე, რომელიც მოდელს არასოდეს უნახავს " * 2,
+    ]
+    assert model.judge(strange)[2] == [False] * 4
+    judged = crf_language.identify(docs, model, ["doc_id"], familiar="usual").where(held_out() & (F.col("lang_pred") != "und"))
+    kept, all_ = judged.where("usual").count(), judged.count()
+    assert kept >= 0.995 * all_, (kept, all_)

@@ -1,5 +1,8 @@
 import base64
+import gzip
 import hashlib
+import zlib
+from html.parser import HTMLParser
 
 import pytest
 
@@ -86,3 +89,67 @@ def test_edges(spark):
     assert len(out) == 8 and {r.record_type for r in out} == {"metadata", "conversion"}
     assert [r.target_uri for r in out if r.page_id is None] == ["http://c.org/ X: y"] * 2
     assert W.derivatives(W.as_responses(pages.where("false"))).count() == 0
+
+
+def http_record(kind, headers, body, status="HTTP/1.1 200 OK"):
+    http = "\r\n".join([status, *(f"{k}: {v}" for k, v in headers)]).encode() + b"\r\n\r\n" + body
+    return W.record([("WARC-Type", kind), ("WARC-Record-ID", f"<urn:{kind}>"), ("WARC-Target-URI", "http://a/")], http)
+
+
+class Extractor(HTMLParser):
+    """Text of a page by the standard library's parser, blocks and scripts as the operator has them."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.parts, self.hidden = [], 0
+
+    def handle_starttag(self, tag, attrs):
+        self.hidden += tag in ("script", "style", "noscript", "template")
+        self.parts.append("" if self.hidden else "\n" if W.BREAK.fullmatch(f"<{tag}>") else "")
+
+    def handle_endtag(self, tag):
+        self.hidden -= tag in ("script", "style", "noscript", "template") and self.hidden > 0
+        self.parts.append("\n" if W.BREAK.fullmatch(f"</{tag}>") else "")
+
+    def handle_data(self, data):
+        self.parts.append(" " if self.hidden else data)
+
+
+def extracted(page):
+    parser = Extractor()
+    parser.feed(page)
+    parser.close()
+    return "\n".join(line for line in (" ".join(x.split()) for x in "".join(parser.parts).split("\n")) if line)
+
+
+def test_text_as_another_extractor_has_it(spark, sf_dir):
+    pages = {r.page_id: r.html for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect()}
+    rows = W.derivatives(W.as_responses(spark.read.parquet(f"{sf_dir}/pages.parquet"))).where("record_type = 'conversion'").collect()
+    words = lambda text: text.split()
+    same = sum(words(r.block) == words(extracted(pages[r.page_id] or "")) for r in rows)
+    assert same >= 0.98 * len(rows) > 0, (same, len(rows))
+
+
+def test_encodings_types_and_other_records():
+    page = "<html><body><p>Grüße &amp; so</p></body></html>".encode()
+    chunked = b"".join(b"%x;x=y\r\n%s\r\n" % (len(c), c) for c in (page[:7], page[7:])) + b"0\r\n\r\n"
+    html_type = ("Content-Type", "text/html; charset=utf-8")
+    raw = zlib.compressobj(wbits=-15)
+    cases = [
+        ([html_type, ("Transfer-Encoding", "chunked")], chunked),
+        ([html_type, ("Content-Encoding", "gzip")], gzip.compress(page)),
+        ([html_type, ("Content-Encoding", "deflate")], zlib.compress(page)),
+        ([html_type, ("Content-Encoding", "deflate")], raw.compress(page) + raw.flush()),
+        ([html_type, ("Content-Encoding", "gzip"), ("Transfer-Encoding", "Chunked")], b"%x\r\n%s\r\n0\r\n\r\n" % (len(gzip.compress(page)), gzip.compress(page))),
+        ([("Content-Type", "application/xhtml+xml")], page),
+        ([], page),
+    ]
+    for headers, body in cases:
+        meta, text = W.derive(http_record("response", headers, body))
+        assert text[-1] == "Grüße & so" and meta[3] == text[1], headers
+    assert W.derive(http_record("response", [("Content-Type", "text/plain")], b"a <b> c\n\n d"))[1][-1] == "a <b> c\nd"
+    for headers, body in (([("Content-Type", "image/png")], b"\x89PNG"), ([], b"\0\1"), ([html_type, ("Content-Encoding", "gzip")], b"no"), ([html_type, ("Content-Encoding", "br")], page), ([("Transfer-Encoding", "chunked")], b"ff\r\nshort")):
+        found = W.derive(http_record("response", headers, body))
+        assert [f[0] for f in found] == ["metadata"] and found[0][3] == "" and "source-status: HTTP/1.1 200 OK" in found[0][-1]
+    assert W.derive(http_record("request", [], b"", "GET / HTTP/1.1")) == []
+    assert [f[0] for f in W.derive(b"junk")] == ["metadata", "conversion"]

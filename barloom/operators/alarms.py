@@ -5,6 +5,7 @@ from __future__ import annotations
 import operator
 from collections.abc import Sequence
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,7 +35,16 @@ LAG_MS = Rule("max", 60, ">", 60_000, periods=2)
 THROTTLES = Rule("sum", 60, ">=", 1)
 DEAD_LETTERS = Rule("sum", 300, ">=", 1)
 FAILED_TASKS = Rule("sum", 60, ">", 0)
-PROCESSOR_ERRORS = ERRORS
+
+
+def _inside(ts: str, within: tuple[datetime, datetime]) -> Column:
+    at = F.col(ts).cast("timestamp")
+    return (at >= F.lit(within[0])) & (at < F.lit(within[1]))
+
+
+def strays(df: DataFrame, ts: str, within: tuple[datetime, datetime]) -> DataFrame:
+    """The samples that an alarm over ``within`` does not count: their time is unknown or lies outside."""
+    return df.filter(~F.coalesce(_inside(ts, within), F.lit(False)))
 
 
 def eval_alarm(
@@ -43,9 +53,13 @@ def eval_alarm(
     value: Column,
     rule: Rule,
     dims: Sequence[str] = (),
+    within: tuple[datetime, datetime] | None = None,
 ) -> DataFrame:
     """State of an alarm at every period between the first and the last one seen.
 
+    ``within`` (from, up to but without) bounds the periods, so that a stray time stamp cannot stretch them over
+    years; what lies outside is left to :func:`strays`.
+
     Returns ``dims, period_start, metric, in_alarm``. A period without data has a null
     metric and does not breach.
 
@@ -55,6 +69,8 @@ def eval_alarm(
     no window that would draw a whole series into one task.
     """
     dims = list(dims)
+    if within is not None:
+        df = df.filter(_inside(ts, within))
     step = F.lit(rule.period_s).cast("bigint")
     second = F.unix_seconds(F.col(ts).cast("timestamp"))
     metric = df.groupBy(*dims, (second - F.pmod(second, step)).alias("_second")).agg(

@@ -394,6 +394,33 @@ def alarm_lag_by_symbol(spark, sf):
     return alarms.eval_alarm(samples, "at", F.col("lag_ms"), alarms.LAG_MS, dims=["symbol"])
 
 
+JANUARY = datetime(2024, 1, 1, tzinfo=timezone.utc), datetime(2024, 2, 1, tzinfo=timezone.utc)
+
+
+def _stamped_errors(spark, sf) -> DataFrame:
+    """Errors, some of them stamped forty years late."""
+    errors = D.load(spark, sf, "events").filter("event_type = 'error'").select("event_id", "ts")
+    late = F.col("ts") + F.make_ym_interval(F.lit(40))
+    return errors.withColumn("ts", F.when(F.col("event_id") % 97 == 0, late).otherwise(F.col("ts")))
+
+
+def alarm_error_rate_within(spark, sf):
+    return alarms.eval_alarm(_stamped_errors(spark, sf), "ts", F.lit(1), alarms.ERRORS, within=JANUARY)
+
+
+def alarm_strays(spark, sf):
+    return alarms.strays(_stamped_errors(spark, sf), "ts", JANUARY)
+
+
+def close_series_range(spark, sf):
+    """Two days and a half of the price line, out of a table in date folders."""
+    path = shared_path(spark, "silver")
+    write_silver(_slim(spark, sf), path, ["trade_date"])
+    bars = register_table(spark, path, "silver_for_a_range")
+    at = lambda day, hour, minute: datetime(2024, 1, day, hour, minute, tzinfo=timezone.utc)
+    return R.close_series(bars, at(10, 6, 0), at(12, 18, 30))
+
+
 def alarm_throttles(spark, sf):
     """The vendor's refusals a minute."""
     hx = F.expr("timestamp div 60000")
@@ -695,6 +722,9 @@ QUERIES: dict[str, Query] = {
     "alarm_lag_by_symbol": alarm_lag_by_symbol,
     "alarm_dead_letters": alarm_dead_letters,
     "alarm_throttles": alarm_throttles,
+    "alarm_error_rate_within": alarm_error_rate_within,
+    "alarm_strays": alarm_strays,
+    "close_series_range": close_series_range,
     "alarm_failed_tasks": alarm_failed_tasks,
     # streams
     "stream_ohlcv_1h": stream_ohlcv_1h,

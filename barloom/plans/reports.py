@@ -6,7 +6,7 @@ scalar subquery that the scan uses as a partition or row-group filter.
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -81,27 +81,26 @@ def close_by_symbol(bars: DataFrame, as_of: Day = None) -> DataFrame:
     return on_day(bars, as_of).select("symbol", close.alias("close")).orderBy(F.desc("close"))
 
 
-def close_series(bars: DataFrame) -> DataFrame:
-    return bars.select("symbol", "event_time", F.col("close").cast("double").alias("close")).orderBy(
-        "symbol", "event_time"
-    )
+def close_series(bars: DataFrame, since: datetime | None = None, until: datetime | None = None) -> DataFrame:
+    """Closes over time, from ``since`` up to but without ``until``; of a table in date folders only those in between are read."""
+    folder = FOLDER_OF["trade_date"]
+    days = [c for c in ("trade_date", folder) if c in bars.columns]
+    if since is not None:
+        bars = bars.filter(F.col("event_time") >= F.lit(since))
+        for day in days:
+            bars = bars.filter(F.col(day) >= F.to_date(F.lit(since)))
+    if until is not None:
+        bars = bars.filter(F.col("event_time") < F.lit(until))
+        for day in days:
+            bars = bars.filter(F.col(day) <= F.to_date(F.lit(until)))
+    return bars.select("symbol", "event_time", F.col("close").cast("double").alias("close")).orderBy("symbol", "event_time")
 
 
 def symbol_history(bars: DataFrame, symbol: str, rows: int = HISTORY_ROWS) -> DataFrame:
-    """The latest bars of one symbol; the symbol is a bound parameter."""
-    return bars.sparkSession.sql(
-        """
-        SELECT trade_date,
-               CAST(open AS DOUBLE) AS open, CAST(high AS DOUBLE) AS high,
-               CAST(low AS DOUBLE) AS low, CAST(close AS DOUBLE) AS close, volume
-        FROM {bars}
-        WHERE symbol = :symbol
-        ORDER BY trade_date DESC, event_time DESC
-        LIMIT :rows
-        """,
-        args={"symbol": symbol, "rows": rows},
-        bars=bars,
-    )
+    """The latest bars of one symbol, newest first; the symbol is a value and never part of a query's text."""
+    prices = [F.col(c).cast("double").alias(c) for c in ("open", "high", "low", "close")]
+    newest = bars.filter(F.col("symbol") == F.lit(symbol)).orderBy(F.desc("trade_date"), F.desc("event_time")).limit(rows)
+    return newest.select("trade_date", *prices, "volume")
 
 
 # --- movers -------------------------------------------------------------------

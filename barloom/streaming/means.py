@@ -138,6 +138,12 @@ class MeanTable:
         self.order = order
         self.bucket_ms = bucket_ms
         self.out = out
+        self.scratch: list[str] = []
+
+    def _between(self, purpose: str) -> str:
+        """A folder for the time of one change."""
+        self.scratch.append(shared_path(self.spark, purpose))
+        return self.scratch[-1]
 
     def stored(self, version: Version, dates: list) -> DataFrame:
         """The stored rows of some dates, with their folder."""
@@ -163,6 +169,8 @@ class MeanTable:
             place = self.tails.save(fresh, earlier, mark)
             self.table.commit(version, added, gone, mark, tails=place)
         finally:
+            while self.scratch:
+                remove(self.spark, self.scratch.pop())
             if symbols is not None:
                 symbols.unpersist()
         return change
@@ -187,7 +195,7 @@ class MeanTable:
             kind = self.schema[self.out].dataType
             again = again.withColumn("_mean", F.col("_mean").try_cast(kind)).filter(~F.col("_mean").eqNullSafe(F.col("_was")))
             gone_rows = near.join(replaced, ["symbol", "timestamp"], "left_semi").select("symbol", "timestamp", F.lit(None).cast(kind).alias("_mean"), "write", BY, F.lit(True).alias("_away"))
-            marks = shared_path(self.spark, "changed-bars")
+            marks = self._between("changed-bars")
             again.select("symbol", "timestamp", "_mean", "write", BY, F.lit(False).alias("_away")).unionByName(gone_rows).write.parquet(marks)
             changed = self.spark.read.schema(f"symbol string, timestamp bigint, _mean {kind.simpleString()}, write string, {BY} date, _away boolean").parquet(marks)
             folders = [Folder(str(r[0]), r[1]) for r in changed.select(BY, "write").distinct().collect()]
@@ -200,7 +208,7 @@ class MeanTable:
                 .select(*self.schema.fieldNames(), BY)
             )
             history = kept.select(*slim).unionByName(earlier.join(symbols, "symbol", "left_anti"))
-            between = shared_path(self.spark, "batch-rows")  # cut here: the frames' inputs are let go below
+            between = self._between("batch-rows")  # cut here: the frames' inputs are let go below
             self.complete(fresh, history).select(*self.schema.fieldNames(), BY).write.parquet(between)
             rows = self.spark.read.schema(T.StructType([*self.schema.fields, T.StructField(BY, T.DateType())])).parquet(between)
             return rows.unionByName(fixed), folders, mended

@@ -385,6 +385,12 @@ FROM aged WHERE age < 30 GROUP BY trade_date, age""",
         "fresh_bronze": f"{HOURLY} SELECT {BRONZE_COLUMNS} FROM bronze",
         "tracked_symbols": f"WITH {DAILY_BRONZE} SELECT {BRONZE_COLUMNS} FROM bronze "
         "WHERE symbol IN (SELECT 'S' || s_suppkey FROM supplier WHERE s_acctbal > 0)",
+        "alarm_error_rate_within": _alarm(
+            "WITH samples AS (SELECT ts AS seen, 1 AS value FROM events WHERE event_type = 'error' AND event_id % 97 <> 0 "
+            "AND ts >= TIMESTAMP '2024-01-01' AND ts < TIMESTAMP '2024-02-01')",
+            "CAST(SUM(value) AS BIGINT)", 60, "metric >= 1", 1,
+        ),
+        "alarm_strays": "SELECT event_id, ts + INTERVAL 40 YEAR AS ts FROM events WHERE event_type = 'error' AND event_id % 97 = 0",
         "alarm_throttles": _alarm(
             f"""WITH {bronze(1)},
 samples AS (SELECT make_timestamp(timestamp * 1000) AS seen, 1 AS value FROM bronze WHERE timestamp // 60000 % 13 = 0)""",
@@ -490,11 +496,13 @@ ORDER BY latency_ms DESC, symbol, timestamp_ms LIMIT 20""",
         "daily_summary_all_days": f"{SILVER} {_SUMMARY.format(where='TRUE')}",
         "daily_summary_as_written": f"""{SILVER},
 recent AS (SELECT * FROM silver WHERE {_LAST_7}),
-ends AS (SELECT symbol, trade_date, arg_min(open, event_time) AS day_open,
-                arg_max(close, event_time) AS day_close FROM recent GROUP BY ALL)
-SELECT symbol, trade_date, day_open, high AS day_high, low AS day_low, day_close,
-       volume AS day_volume
-FROM recent JOIN ends USING (symbol, trade_date)""",
+grouped AS (SELECT symbol, trade_date, open, close, event_time, MAX(high) AS day_high, MIN(low) AS day_low,
+                CAST(SUM(volume) AS BIGINT) AS day_volume
+         FROM recent GROUP BY symbol, trade_date, open, close, event_time)
+SELECT symbol, trade_date, first_value(open) OVER day AS day_open, day_high, day_low,
+       last_value(close) OVER day AS day_close, day_volume
+FROM grouped WINDOW day AS (PARTITION BY symbol, trade_date ORDER BY event_time
+                         ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)""",
         "completeness": f"""{SILVER}
 SELECT trade_date, symbol, COUNT(*) AS bar_count, MIN(event_time) AS first_bar,
        MAX(event_time) AS last_bar FROM silver GROUP BY trade_date, symbol""",
@@ -505,6 +513,8 @@ FROM silver GROUP BY trade_date ORDER BY trade_date DESC LIMIT 10""",
         f"WHERE {DAY}",
         "close_series": f"{SILVER} SELECT symbol, event_time, CAST(close AS DOUBLE) AS close "
         "FROM silver",
+        "close_series_range": f"{SILVER} SELECT symbol, event_time, CAST(close AS DOUBLE) AS close FROM silver "
+        "WHERE event_time >= TIMESTAMP '2024-01-10 06:00:00' AND event_time < TIMESTAMP '2024-01-12 18:30:00'",
         "volume_by_symbol": f"{SILVER} SELECT symbol, CAST(SUM(volume) AS BIGINT) AS total_volume "
         f"FROM silver WHERE {DAY} GROUP BY symbol",
         "avg_latency": f"{SILVER} SELECT {_MEAN_LATENCY} AS avg_latency_ms FROM silver WHERE {DAY}",

@@ -30,9 +30,9 @@ EPOCHS, RATE, SHRINK = 3, 0.5, 1e-4
 #: Bytes that the words a worker remembers the scores of may take, and what one takes beside its letters.
 MEMORY, EACH = 32 << 20, 200
 NONE = "und"
-#: Texts that are left to measure what is familiar, and threes of letters that make a long one; how far beyond the least
-#: familiar of them a text may fall short.
-LEAST, LONG, SLACK = 10, 1_000, 1.5
+#: Texts that have to be left to measure what is familiar; the share by which any text may fall short, and how much further than
+#: the least familiar of them a short one may.
+LEAST, SHORT, SLACK = 10, 0.25, 1.5
 
 
 def forward_backward(scores: np.ndarray, lengths: np.ndarray, trans: np.ndarray, pairs: bool = False):
@@ -87,17 +87,17 @@ class Familiar:
 
     The letters come from four fifths of the sample; the rest tells what share of a text that is in one of the
     languages is known, and by how much a text may fall short of it: by a fixed part, and by more the shorter it is.
+    Each word counts once, however often a text repeats it.
     """
 
     def __init__(self, texts: list[str]):
         words = [WORD.findall(t.lower()) for t in texts]
         self.grams = frozenset(g for i, ws in enumerate(words) if i % 5 for w in set(ws) for g in self.of(w))
-        shares = [self.count(ws) for ws in words[::5]]
+        shares = [self.count(list(set(ws))) for ws in words[::5]]
         known, total = (np.array([s[k] for s in shares if s[1]], float) for k in (0, 1))
         self.usual = float(known.sum() / total.sum()) if len(total) >= LEAST else 0.0
         short = self.usual - known / np.maximum(total, 1)
         self.spread = float((short * np.sqrt(total)).max(initial=0.0))
-        self.part = float(short[total >= LONG].max(initial=0.0))
 
     @staticmethod
     def of(word: str) -> list[str]:
@@ -110,7 +110,7 @@ class Familiar:
 
     def least(self, total: float) -> float:
         """The share that a text of so many threes needs."""
-        return self.usual - SLACK * max(self.part, self.spread / max(total, 1.0) ** 0.5) - 0.02
+        return self.usual - max(SHORT, SLACK * self.spread / max(total, 1.0) ** 0.5)
 
 
 class Model:
@@ -149,7 +149,7 @@ class Model:
         """Whether the letters of the words are what the sampled languages are written with."""
         if not self.familiar or not words:
             return bool(words)
-        at = self.numbers(words)
+        at = np.unique(self.numbers(words))
         known, total = self.counts[at].sum(axis=0, dtype=np.int64)
         return bool(known >= self.familiar.least(total) * total)
 

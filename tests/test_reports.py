@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from barloom.plans import reports as R
 from barloom.plans.silver import silver
-from barloom.sinks.tables import refresh_gold_full
+from barloom.sinks.gold import GoldTable
 
 DAY = 86_400_000
 
@@ -74,7 +74,7 @@ def test_order_of_rows(bars):
 
 
 def test_the_latest_day_prunes_partitions_of_a_stored_table(spark, tmp_path, bars):
-    refresh_gold_full(bars, str(tmp_path / "gold"), "gold_prune")
+    GoldTable(spark, str(tmp_path / "gold"), "gold_prune").refresh_full(bars)
     out = R.volume_by_symbol(spark.table("gold_prune"))
     plan = out._jdf.queryExecution().executedPlan().toString()
     scan = next(line for line in plan.splitlines() if "FileScan" in line and "volume" in line)
@@ -83,8 +83,9 @@ def test_the_latest_day_prunes_partitions_of_a_stored_table(spark, tmp_path, bar
 
 
 def test_latest_bar_is_reduced_before_the_shuffle(spark, tmp_path, bars):
-    path = refresh_gold_full(bars, str(tmp_path / "gold"), "gold_latest")
-    plan = R.latest_bar_per_symbol(spark.read.parquet(path))._jdf.queryExecution().executedPlan().toString()
+    gold = GoldTable(spark, str(tmp_path / "gold"))
+    gold.refresh_full(bars)
+    plan = R.latest_bar_per_symbol(gold.read())._jdf.queryExecution().executedPlan().toString()
     assert "partial_max_by" in plan and "Window" not in plan and "SortAggregate" not in plan
 
 

@@ -13,12 +13,31 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barloom.session import shared_path
+from barloom.sources.files import remove
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: What is being written below each open :func:`only_last`.
+_made: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def only_last(spark: SparkSession):
+    """Of the tables that :func:`stored` writes within, the last stays; the folders of the others are removed at the end."""
+    _made.append([])
+    try:
+        yield
+    finally:
+        paths = _made.pop()
+        for path in paths[:-1]:
+            remove(spark, path)
+        if _made:
+            _made[-1] += paths[-1:]
+
+
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """Write ``df`` below ``spark.checkpoint.dir`` and read it back.
 
@@ -26,6 +45,8 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     """
     path = shared_path(df.sparkSession, purpose)
     df.write.parquet(path)
+    if _made:
+        _made[-1].append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -45,7 +45,7 @@ KEEP = {"s": (1, -1, -1, -1), "u": (2, 2, -1, 2), "a": (-1, -1, 3, -1), "": (-1,
 ROLE = {2: "user", 3: "assistant"}
 #: Costs of what is still to insert after the last row.
 END = (0, 2 * INSERT, INSERT, 0)
-NEVER = 1 << 40
+NEVER = 1 << 60
 LEGAL = {"su", "ua", "au"}
 MOST = (1 << 63) - 1
 

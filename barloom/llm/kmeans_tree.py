@@ -315,15 +315,24 @@ def search(vectors: DataFrame, query: Column, key: str = "vec_id", vector: str =
 
 
 def calibrated(tree: Tree, trial: list[tuple[int, int, bytes]], truth: list, recall: float) -> int:
-    """Leaves to visit: widened by an eighth until ``recall`` of the true neighbours of the trial queries is reached."""
+    """Leaves to visit: widened by an eighth until ``recall`` of the true neighbours of the trial queries is reached.
+
+    A query's own entry, which always lies in the first leaf, does not count.
+    """
     place: dict[tuple[int, int], list[int]] = {}
-    for r in truth:
-        place.setdefault((r["h1"], r["h2"]), []).append(r["leaf"])
+    own: set[tuple[int, int]] = set()
+    for r in sorted(truth, key=lambda r: -r["score"]):
+        query = (r["h1"], r["h2"])
+        if query not in own:
+            own.add(query)  # its nearest entry holds itself
+            if len(r["ids"]) == 1:
+                continue
+        place.setdefault(query, []).append(r["leaf"])
     ranks = []
     for h1, h2, vec in trial:
         order = {leaf: i for i, leaf in enumerate(tree.visits(np.frombuffer(vec, np.float64), tree.leaves))}
         ranks += [order[leaf] for leaf in place.get((h1, h2), [])]
     limit = 1
-    while limit < tree.leaves and np.mean(np.array(ranks) < limit) < recall:
+    while ranks and limit < tree.leaves and np.mean(np.array(ranks) < limit) < recall:
         limit = min(tree.leaves, limit + max(1, limit // 8))
     return limit

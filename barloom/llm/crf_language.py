@@ -9,6 +9,9 @@ how much of it each language holds.
 Training learns from documents with one label each. Sequences are spliced from pieces of several
 documents, so that the transitions learn how long a language lasts in code-switched text.
 
+If asked, the field learns one more label, for words in none of the languages, from texts made of the sampled words'
+lengths and other letters. A text most of whose words bear that label is ``und``.
+
 A text that is null or has no letter is ``und`` with score 0; so is every text if no row can be
 learned from. Texts of any length are read whole. Repeated rows are judged alike, ties between
 languages fall to the first in alphabetical order; columns besides the key and the text are not read.
@@ -30,6 +33,10 @@ EPOCHS, RATE, SHRINK = 3, 0.5, 1e-4
 #: Bytes that the words a worker remembers the scores of may take, and what one takes beside its letters.
 MEMORY, EACH = 32 << 20, 200
 NONE = "und"
+#: Label of words in no learned language, which no table holds; a text is in none if that label's mean marginal is larger.
+FOREIGN, MOST_FOREIGN = "\x00", 2 / 3
+#: Letters of a script that lie together, of which a foreign text is made.
+SCRIPT = 60
 #: Texts that have to be left to measure what is familiar; the share by which any text may fall short, and how much further than
 #: the least familiar of them a short one may.
 LEAST, SHORT, SLACK = 10, 0.25, 1.5
@@ -171,6 +178,7 @@ class Model:
     def judge(self, texts: list[str | None]) -> tuple[list[str], list[float], list[bool]]:
         """Language, score and whether the text is familiar, for each text."""
         names, scores, familiar = [], [], []
+        foreign = self.languages.index(FOREIGN) if FOREIGN in self.languages else None
         for words, marginals in self.label_words(texts):
             familiar.append(self.is_familiar(words))
             if not len(words) or not self.languages:
@@ -178,14 +186,49 @@ class Model:
                 scores.append(0.0)
                 continue
             mean = marginals.mean(axis=0, dtype=np.float64)
+            if foreign is not None and mean[foreign] > MOST_FOREIGN:
+                names.append(NONE)
+                scores.append(float(min(1.0, mean[foreign])))
+                continue
+            if foreign is not None:
+                mean[foreign] = -1.0
             best = int(mean.argmax())
             names.append(self.languages[best])
             scores.append(float(min(1.0, mean[best])))
         return names, scores, familiar
 
 
-def train(texts: list[str], labels: list[str], seed: int = 11) -> Model:
-    """Fit features and transitions by stochastic gradients (AdaGrad) on spliced sequences."""
+def foreign_texts(texts: list[str], seed: int = 13) -> list[str]:
+    """For each text one of as many words, as long as its own, in no language.
+
+    Its letters are in turn the text's own in another order, drawn from the text's alphabet, or from another script.
+    """
+    rng = np.random.default_rng(seed)
+    letters = [c for c in map(chr, range(0x110000)) if c.isalpha()]
+    made = []
+    for k, text in enumerate(texts):
+        words = WORD.findall(text.lower())
+        own = list("".join(words))
+        if k % 3 == 0:
+            rng.shuffle(own)
+        elif own:
+            at = int(rng.integers(len(letters) - SCRIPT))
+            alphabet = sorted(set(own)) if k % 3 == 1 else letters[at : at + SCRIPT]
+            own = [alphabet[i] for i in rng.integers(len(alphabet), size=len(own))]
+        ends = np.cumsum([len(w) for w in words]).tolist()
+        made.append(" ".join("".join(own[e - len(w) : e]) for w, e in zip(words, ends)))
+    return made
+
+
+def train(texts: list[str], labels: list[str], seed: int = 11, foreign: int = 0) -> Model:
+    """Fit features and transitions by stochastic gradients (AdaGrad) on spliced sequences.
+
+    ``foreign``: of so many texts at most, spread over all, foreign ones are made for the label of no language.
+    """
+    sampled = texts
+    if foreign and texts:
+        made = foreign_texts([texts[i] for i in np.unique(np.linspace(0, len(texts) - 1, foreign, dtype=int))])
+        texts, labels = [*texts, *made], [*labels, *[FOREIGN] * len(made)]
     languages = sorted(set(labels))
     weights = np.zeros((1 << BITS, len(languages)), np.float32)
     trans = np.zeros((len(languages),) * 2, np.float32)
@@ -225,11 +268,14 @@ def train(texts: list[str], labels: list[str], seed: int = 11) -> Model:
             g = expected / len(lengths) + SHRINK * trans
             square_t += g * g
             trans -= RATE * 0.2 * g / np.sqrt(square_t)
-    return Model(languages, weights, trans, Familiar(texts))
+    return Model(languages, weights, trans, Familiar(sampled))
 
 
-def learn(docs: DataFrame, key: str = "doc_id", text: str = "text", label: str = "lang", sample: int = SAMPLE) -> Model:
-    """Train on at most about ``sample`` rows a language that are not held out, cut by hash, whichever the table's size."""
+def learn(docs: DataFrame, key: str = "doc_id", text: str = "text", label: str = "lang", sample: int = SAMPLE, foreign: bool = False) -> Model:
+    """Train on at most about ``sample`` rows a language that are not held out, cut by hash, whichever the table's size.
+
+    With ``foreign`` the model also tells texts in none of the languages, which are then ``und``.
+    """
     rows = docs.where(~held_out(key) & F.col(label).isNotNull() & F.col(text).isNotNull() & (F.length(text) <= SAMPLE_CHARS))
     counts = {r[0]: r[1] for r in rows.groupBy(label).count().collect()}
     if not counts:
@@ -239,7 +285,7 @@ def learn(docs: DataFrame, key: str = "doc_id", text: str = "text", label: str =
         share = F.when(F.col(label) == name, min(1.0, sample / counts[name])).otherwise(share)
     drawn = (hash_order(key) + F.lit(0)) / F.lit(2.0**64) + 0.5 < share
     taken = rows.where(drawn).select(key, text, label).orderBy(hash_order(key), text).limit(2 * sample * len(counts)).collect()
-    return train([r[1] for r in taken], [r[2] for r in taken])
+    return train([r[1] for r in taken], [r[2] for r in taken], foreign=sample if foreign else 0)
 
 
 def identify(

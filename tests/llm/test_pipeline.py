@@ -4,9 +4,10 @@ from array import array
 import corpus_pipeline as P
 import public_tokenizers
 import tiktoken
+from pyspark.sql import functions as F
 from test_trie_join import shingles
 
-from barloom.llm import spm_bpe
+from barloom.llm import crf_language, spm_bpe
 from barloom.llm.common import only_last, stored, table
 
 
@@ -82,3 +83,31 @@ def test_only_the_last_table_stays(spark, tmp_path):
                 df = stored(df, name)
     left = set(children(spark, shared_root(spark))) - before
     assert [n.split("-")[0] for n in left] == ["two"] and df.count() == 3
+
+
+def test_language_is_judged_by_the_random_field(spark):
+    docs = table(spark, "/root/testdata/sf0.01", "documents")
+    strange = [
+        "Η πρόταση",
+        "Tämä lause on kirjoitettu kielellä jota malli ei ole koskaan nähnyt",
+        "Ta věta je napsána v jazyce který model nikdy předtím neviděl",
+        "asdf jkl qwer zxcv hjkl uiop",
+        "日本語の文章をここに書きますが、これは学習されていない言語です。",
+    ]
+    usual = docs.where("lang = 'en' AND length(text) > 500").orderBy("doc_id").first().text.split()[:40]
+    strange.append(" ".join(["qwkjx zxqpv"] * 60 + usual))  # few distinct words are strange, most words are
+    added = spark.createDataFrame([(10**9 + i, t) for i, t in enumerate(strange)], "doc_id long, text string")
+    kept = {r.doc_id for r in P.language(spark, docs.unionByName(added, allowMissingColumns=True), "").select("doc_id").collect()}
+    assert not {i for i in kept if i >= 10**9}
+    with_letters = {r.doc_id for r in docs.where(F.col("text").rlike(r"\p{L}")).collect()}
+    assert kept == with_letters
+
+
+def test_learned_labels_are_the_only_languages(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model = crf_language.learn(docs, foreign=True)
+    texts = [r.text for r in docs.limit(50).collect()] + [None, "", "123", "word " * 3, "Это предложение"]
+    assert set(model.judge(texts)[0]) <= {r.lang for r in docs.select("lang").distinct().collect()} | {"und"}
+    assert crf_language.learn(docs.where("false"), foreign=True).judge(["some text"])[0] == ["und"]
+    made = crf_language.foreign_texts(["some words, and more", "", "one two"])
+    assert [[len(w) for w in t.split()] for t in made] == [[4, 5, 3, 4], [], [3, 3]]

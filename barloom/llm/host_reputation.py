@@ -66,15 +66,17 @@ def domain_of(host: Column) -> Column:
 
 def bad_page(html: Column) -> Column:
     """The labelled outcome of a page by its own text: 1 bad, 0 good, null without html."""
-    text = F.regexp_replace(html, MARKUP, " ")
-    letters = F.length(F.regexp_replace(text, r"[^\p{L}]+", ""))
-    symbols = F.length(F.regexp_replace(text, r"[\p{L}\p{M}\p{N}\s.,;:!?'\"()-]+", ""))
-    return (
-        F.when(html.isNull(), None)
-        .when((letters < MIN_LETTERS) | (symbols > MAX_SYMBOLS * (letters + symbols)), 1)
-        .otherwise(0)
-        .cast("long")
+    # each step is named once, so that Spark evaluates it once; symbols are sought in what is no letter
+    rest = lambda text: F.struct(F.length(text).alias("n"), F.regexp_replace(text, r"\p{L}+", "").alias("text"))
+    sizes = lambda r: F.struct(
+        (r["n"] - F.length(r["text"])).alias("letters"),
+        F.length(F.regexp_replace(r["text"], r"[\p{M}\p{N}\s.,;:!?'\"()-]+", "")).alias("symbols"),
     )
+    bad = lambda c: (c["letters"] < MIN_LETTERS) | (c["symbols"] > MAX_SYMBOLS * (c["letters"] + c["symbols"]))
+    found = F.array(F.regexp_replace(html, MARKUP, " "))
+    for step in (rest, sizes, bad):
+        found = F.transform(found, step)
+    return F.when(html.isNotNull(), F.get(found, F.lit(0)).cast("long"))
 
 
 def correlation(level: DataFrame, parents: list[str], n: str = "n", bad: str = "bad") -> float:
@@ -114,7 +116,8 @@ def shrunk(prior: Column, rho: float) -> Column:
 
 def reputation(outcomes: DataFrame, deviations: float = DEVIATIONS) -> DataFrame:
     """From (host, bad 0/1) rows to host, n, bad, mean and lower bound of the posterior rate."""
-    counts = outcomes.where(F.col("bad").isNotNull()).groupBy("host").agg(F.count("*").alias("n"), F.sum("bad").alias("bad"))
+    # a filter on the outcome would evaluate it a second time
+    counts = outcomes.groupBy("host").agg(F.count("bad").alias("n"), F.sum("bad").alias("bad")).where("n > 0")
     hosts = stored(
         counts.withColumns({"domain": domain_of(F.col("host")), "suffix": suffix_of(F.col("host"))}), "host-counts"
     )

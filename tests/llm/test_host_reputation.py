@@ -60,3 +60,15 @@ def test_suffixes_and_domains(spark):
     hosts = {"a.b.co.uk": ("co.uk", "b.co.uk"), "x.y.com": ("com", "y.com"), "y.com:80": ("com", "y.com"), "1.2.3.4": ("4", "1.2.3.4"), "localhost": ("localhost", "localhost"), "": ("", "")}
     df = spark.createDataFrame([(h,) for h in hosts], "h string").select("h", H.suffix_of(F.col("h")), H.domain_of(F.col("h")))
     assert {r[0]: (r[1], r[2]) for r in df.collect()} == hosts
+
+
+def test_a_page_is_read_once(spark, monkeypatch):
+    counted = []
+    monkeypatch.setattr(H, "stored", lambda df, purpose: counted.append(df) or df)
+    made = pages(spark, [("http://a.org/", 1)]).withColumn("html", F.concat(F.lit("<p>"), "url"))
+    H.judge(made.repartition(2), H.bad_page(F.col("html")))
+    plan = counted[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("<script") == 1, plan
+    odd = {"a" * 49: 1, "a" * 50: 0, "*" * 6 + "a" * 54: 0, "*" * 6 + "a" * 53: 1, "𝔸" * 50: 0, "<script>x</script>" + "日本" * 25: 0, "_" * 7 + "é 1" * 60: 1}
+    got = spark.createDataFrame([(t,) for t in odd], "h string").select("h", H.bad_page(F.col("h"))).collect()
+    assert {r[0]: r[1] for r in got} == odd

@@ -188,6 +188,7 @@ def volume_spikes(bars: DataFrame, as_of: Day = None, all_days: bool = False) ->
             .try_cast("decimal(18,2)")
             .alias("volume_ratio"),
         )
+        .hint("rebalance")  # the sort samples its input first: the spikes, not the means once more
         .orderBy(F.desc("volume_ratio"), "symbol", "event_time")
     )
 

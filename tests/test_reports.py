@@ -96,3 +96,15 @@ def test_top_k_needs_no_full_sort(bars):
 
 def test_symbol_column_is_untouched(bars):
     assert bars.select(F.max(F.length("symbol"))).first()[0] == 4
+
+
+def test_spikes_are_sorted_without_a_second_pass_over_the_means(spark, sf_dir):
+    from compare import connect, differences, run_sql
+
+    import oracles
+    from barloom.plans.catalog import catalog
+
+    got = catalog()["volume_spikes_daily"](spark, sf_dir)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("rangepartitioning") < plan.index("REBALANCE_PARTITIONS") < plan.index("Window")
+    assert not differences(got.toArrow(), run_sql(connect(sf_dir), oracles.oracle_sql()["volume_spikes_daily"]))

@@ -91,8 +91,8 @@ class WordMemory(dict):
         return fits
 
 
-def _let_go() -> None:
-    """Give memory that a task no longer uses back to the system, as the worker stays for other tasks."""
+def let_go() -> None:
+    """Give memory that is no longer used back to the system, as the worker stays for other tasks and the driver for other stages."""
     gc.collect()
     pa.default_memory_pool().release_unused()
     with contextlib.suppress(OSError, AttributeError):
@@ -116,7 +116,7 @@ def in_batches(
                     yield out
         finally:
             state = batch = out = None
-            _let_go()
+            let_go()
 
     return df.mapInArrow(run, schema)
 
@@ -163,6 +163,6 @@ def _grouped(keys: list[str], work):
         if held:
             yield from work(pa.Table.from_batches(held))
         held = batch = columns = None
-        _let_go()
+        let_go()
 
     return run

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barloom.llm.common import WordMemory, hash_order, held_out, in_batches
+from barloom.llm.common import WordMemory, hash_order, held_out, in_batches, let_go
 from barloom.llm.word_hash import BITS, WORD, word_features
 
 #: Documents sampled per language for training, their longest text, and their words per sequence.
@@ -285,7 +285,10 @@ def learn(docs: DataFrame, key: str = "doc_id", text: str = "text", label: str =
         share = F.when(F.col(label) == name, min(1.0, sample / counts[name])).otherwise(share)
     drawn = (hash_order(key) + F.lit(0)) / F.lit(2.0**64) + 0.5 < share
     taken = rows.where(drawn).select(key, text, label).orderBy(hash_order(key), text).limit(2 * sample * len(counts)).collect()
-    return train([r[1] for r in taken], [r[2] for r in taken], foreign=sample if foreign else 0)
+    model = train([r[1] for r in taken], [r[2] for r in taken], foreign=sample if foreign else 0)
+    taken = None
+    let_go()
+    return model
 
 
 def identify(

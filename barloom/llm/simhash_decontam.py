@@ -90,8 +90,8 @@ def identity(key: str) -> Column:
     return F.md5(F.concat_ws("\n", F.coalesce(F.concat(F.lit("="), F.col(f"`{key}`").cast("string")), F.lit("")), "text"))
 
 
-def _found(docs: DataFrame, benchmark: DataFrame, radius: int, similarity: float, key: str) -> DataFrame:
-    """Windows that match, as rows (key, __id, begin, n_words, content, item, item_id, similarity, distance)."""
+def _found(docs: DataFrame, benchmark: DataFrame, radius: int, similarity: float, key: str) -> tuple[DataFrame, DataFrame]:
+    """Windows that match, as rows (key, __id, begin, n_words, content, item, similarity, distance, by_blocks); item and item_id."""
     items = stored(
         benchmark.select("item_id", words_of(F.col("text")).alias("words"))
         .where(F.size("words") >= SHINGLE)
@@ -143,8 +143,9 @@ def _found(docs: DataFrame, benchmark: DataFrame, radius: int, similarity: float
     known = _small(rarity, n_rows)
     valued = pieces.join(known, "shingle", "left").withColumn("weight", F.coalesce("weight", F.log1p(F.lit(float(total)))))
     valued = stored(valued, "valued-windows")
-    left = fingerprints(valued, ["content"]).withColumnRenamed("fp", "window_fp")
-    right = fingerprints(weighted, ["item"]).withColumnRenamed("fp", "item_fp")
+    # written out: a plan holds the sums by bit once, not again for each use of a fingerprint
+    left = stored(fingerprints(valued, ["content"]).withColumnRenamed("fp", "window_fp"), "window-fingerprints")
+    right = stored(fingerprints(weighted, ["item"]).withColumnRenamed("fp", "item_fp"), "item-fingerprints")
     pairs = windows.select("content", F.explode("items").alias("item")).distinct()
     far = F.bit_count(F.col("window_fp").bitwiseXOR(F.col("item_fp"))).alias("distance")
     anchored = pairs.join(left, "content").join(_small(right, n_rows), "item").select("content", "item", far, F.lit(False).alias("by_blocks"))
@@ -164,10 +165,9 @@ def _found(docs: DataFrame, benchmark: DataFrame, radius: int, similarity: float
     scored = met.groupBy("content", "item", "distance", "by_blocks").agg(
         (F.sum(F.least("a", "b") * F.col("weight")) / F.sum(F.greatest("a", "b") * F.col("weight"))).alias("similarity")
     )
-    verified = scored.where(F.col("similarity") >= similarity - 1e-12)
-    names = items.select("item", "item_id").distinct()
+    verified = stored(scored.where(F.col("similarity") >= similarity - 1e-12), "verified")
     places = windows.select(key, "__id", "begin", F.size("words").alias("n_words"), "content")
-    return places.join(verified, "content").join(names, "item")
+    return places.join(verified, "content"), items.select("item", "item_id").distinct()
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, radius: int = RADIUS, similarity: float = SIMILARITY, key: str = "doc_id") -> DataFrame:
@@ -175,7 +175,8 @@ def matches(docs: DataFrame, benchmark: DataFrame, radius: int = RADIUS, similar
 
     found_by: ``blocks`` if the fingerprints met by their blocks, ``anchor`` if only an anchor in common brought them together.
     """
-    found = _found(docs, benchmark, radius, similarity, key)
+    found, names = _found(docs, benchmark, radius, similarity, key)
+    found = found.join(names, "item")
     best = F.max_by(
         F.struct(F.greatest("begin", F.lit(0)).alias("start"), "n_words", "similarity", "distance", F.when(F.col("by_blocks"), "blocks").otherwise("anchor").alias("found_by")),
         F.struct("similarity", -F.col("begin"), -F.col("n_words")),
@@ -185,6 +186,6 @@ def matches(docs: DataFrame, benchmark: DataFrame, radius: int = RADIUS, similar
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id") -> DataFrame:
     """The documents without a match."""
-    found = _found(docs, benchmark, RADIUS, SIMILARITY, key).select("__id").distinct()
-    kept = docs.withColumn("__id", identity(key)).join(found, "__id", "left_anti")
+    found, _ = _found(docs, benchmark, RADIUS, SIMILARITY, key)
+    kept = docs.withColumn("__id", identity(key)).join(found.select("__id").distinct(), "__id", "left_anti")
     return kept.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -366,6 +366,7 @@ def _groups(texts: DataFrame, width: int, percent: int) -> DataFrame:
     family = stored(components(tied, "doc", "least").select(F.col("node").alias("doc"), F.col("component").alias("family")), "families")
     sizes = family.join(rows.select("doc", "n").distinct(), "doc").groupBy("family").agg(F.sum(cost()).alias("members"))
     small = family.join(sizes.where(F.col("members") <= SHINGLES * BLOCKS), "family").select("doc", F.col("family").alias("token"), F.col("members").alias("size"))
+    small = stored(small, "small-families")  # used twice
     once = rows.select("doc", "n", "component").distinct().join(small, "doc").select("token", "doc", "n", "component", "size")
     apart = rows.join(small.select("doc"), "doc", "left_anti").select("token", "doc", "n", "component", "size")
     rows = stored(once.unionByName(apart), "walk-families")

@@ -128,3 +128,24 @@ def test_rows_of_one_key_are_judged_by_their_texts(spark, monkeypatch):
         kept = sorted(map(str, S.drop_contaminated(docs, bench).collect()))
         assert kept == sorted(str(r) for r in docs.collect() if r.text is None or "lean" in r.text)
         assert {(r.doc_id, r.item_id) for r in S.matches(docs, bench).collect()} == {(None, 1), (1, 1), (2, 1), (2, 2)}
+
+
+def test_no_plan_holds_the_sums_by_bit_twice(spark, sf_dir, monkeypatch, capsys):
+    """The driver keeps and prints every plan; one with four copies of the sums took 276,000 characters."""
+    plans, write = [], S.stored
+
+    def plan(df):
+        capsys.readouterr()
+        df.explain()
+        plans.append(capsys.readouterr().out)
+
+    def stored(df, purpose):
+        plan(df)
+        return write(df, purpose)
+
+    monkeypatch.setattr(S, "stored", stored)
+    docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    plan(S.matches(docs, benchmark))
+    plan(S.drop_contaminated(docs, benchmark))
+    assert len(plans) > 10 and max(map(len, plans)) < 60_000
+    assert all(p.count("partial_sum(CASE WHEN") <= 64 for p in plans)

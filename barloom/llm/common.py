@@ -50,6 +50,12 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Have Spark remove the shuffle files of steps that are over; it does when the driver's garbage is collected."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 #: Rows without a key of their own are numbered from here on; keys are taken to lie below.
 UNKEYED = 1 << 62
 

@@ -13,9 +13,12 @@ documents whose prefix holds fewer shingles that others post have no partner and
 
 Groups of thousands of near copies would make every posting quadratic. So each node is first compared with
 one node, of the lowest-priority nodes of its postings the one it meets most often, and linked if it is similar
-enough; only postings that still hold nodes of different groups are walked. Postings that hang together are one
-family and share one trie, so that a set is sent once; a family too large for a task is walked in blocks of neighbouring
-sizes, and beyond some blocks by its single postings, equal ones once, long ones in such blocks. A walk skips subtrees that lie in the
+enough; only postings that still hold nodes of different groups are walked, one class of sizes and the next at a time, as
+similar sets are at most a class apart. Postings that hang together are one family and share one trie, so that a set is sent
+once for each of its two classes; a family too large for a task is walked in blocks of neighbouring sizes. Beyond some blocks
+a family is cut into cores, whose nodes have in common one of the few postings that each is known by: a single
+shingle that nodes share by chance seldom is among them. Postings inside a core are walked with it, those
+between cores one by one, equal ones once, long ones in such blocks. A walk skips subtrees that lie in the
 probe's group already: links inside a group cannot change any group, links between groups are all found.
 
 Texts that are null or hold no word have the empty set and are linked with nothing. Rows that repeat a key, or have
@@ -24,6 +27,7 @@ none, are documents of their own, each with its text; a group without any key ha
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from barloom.llm.common import in_batches, in_groups, stored, unique_key
+from barloom.llm.common import free_shuffles, in_batches, in_groups, only_last, stored, unique_key
 from barloom.llm.components import components
 from barloom.llm.shingle_sets import Shingler
 
@@ -45,6 +49,8 @@ BLOCK, SHINGLES, BLOCKS, STEP = 1500, 3_000_000, 16, 64
 MARGIN = 6
 #: Times that nodes with too few mixed postings leave before the rest is walked.
 PEEL = 3
+#: Postings that a node of a family with too many blocks is known by.
+TIES = 2
 
 
 def sketch(texts: DataFrame, width: int) -> np.ndarray:
@@ -325,14 +331,18 @@ def later_copies(docs: DataFrame, key: str, width: int = 5, percent: int = 80, t
 def _groups(texts: DataFrame, width: int, percent: int) -> DataFrame:
     """doc, n and component (the smallest of the group) of rows (doc, text) with a doc each."""
     cells = sketch(texts.select("text"), width)
-    signed = stored(_signatures(texts, width, percent, cells), "signatures")
-    classes = signed.where("n > 0").groupBy("f1", "f2").agg(F.min("doc").alias("rep"))
-    classes = stored(classes, "classes")
+    spark = texts.sparkSession
     # Who shares enough of what it posts. The first k shingles that two similar sets share lie in both prefixes for all k up
     # to the larger margin, less one because both the overlap and the margin are rounded to whole shingles.
-    shared = _postings(signed.select(F.explode("prefix").alias("token"), "doc", "n")).groupBy("doc").agg(F.count("*").alias("shared"))
+    with only_last(spark):  # the prefixes are as large as the sets below
+        signed = stored(_signatures(texts, width, percent, cells), "signatures")
+        shared = _postings(signed.select(F.explode("prefix").alias("token"), "doc", "n")).groupBy("doc").agg(F.count("*").alias("shared"))
+        signed = stored(signed.select("doc", "n", "f1", "f2").join(shared, "doc", "left"), "shared")
+    free_shuffles(spark)
+    classes = signed.where("n > 0").groupBy("f1", "f2").agg(F.min("doc").alias("rep"))
+    classes = stored(classes, "classes")
     enough = F.greatest(F.lit(1), F.expr(f"n * {MARGIN} div 100") - 1)
-    involved = shared.join(signed.select("doc", "n", "f1", "f2"), "doc").where(F.col("shared") >= enough).select("f1", "f2").distinct()
+    involved = signed.where(F.col("shared") >= enough).select("f1", "f2").distinct()
     reps = stored(classes.join(involved, ["f1", "f2"]).select(F.col("rep").alias("doc")).distinct(), "involved")
     sets = stored(_sets(texts.join(reps, "doc", "left_semi"), width, percent, cells), "sets")
     postings = stored(_postings(sets.select(F.explode("prefix").alias("token"), "doc", "n")), "postings")
@@ -344,32 +354,26 @@ def _groups(texts: DataFrame, width: int, percent: int) -> DataFrame:
     pairs = met.groupBy("doc").agg(F.max(F.struct("times", F.xxhash64("hub").alias("p"), "hub")).alias("h")).select("doc", "h.hub")
     near = _verified(pairs, sets, percent)
     first = stored(near, "hub-links")
+    free_shuffles(spark)
     labels = stored(components(first, "doc", "hub"), "hub-groups")
     # walks where groups still differ
     label = lambda rows: rows.join(labels.withColumnRenamed("node", "doc"), "doc", "left").withColumn("component", F.coalesce("component", "doc"))
-    posted = label(postings.select("token", "doc", "n"))
+    posted = _by_size(label(postings.select("token", "doc", "n")), percent)
     sums = [
-        F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size"), F.sum(cost()).alias("cost"),
+        F.max("own").alias("own"), F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size"), F.sum(cost()).alias("cost"),
         F.sum(F.xxhash64("doc").bitwiseAND(0xFFFFFFFFFF)).alias("m1"), F.bit_xor(F.xxhash64(F.lit(1), "doc")).alias("m2"),
     ]
     for _ in range(PEEL):  # similar nodes of different groups share enough of these postings, so who has fewer leaves
-        mixed = posted.groupBy("token").agg(*sums).where("low < high").select("token")
+        mixed = posted.groupBy("token").agg(*sums).where("low < high AND own").select("token")
         left = posted.join(mixed, "token", "left_semi")
-        busy = left.groupBy("doc", "n").agg(F.count("*").alias("shared")).where(F.col("shared") >= enough).select("doc")
-        posted = stored(left.join(busy, "doc", "left_semi"), "mixed-postings")
-    mixed = posted.groupBy("token").agg(*sums).where("low < high")
+        busy = left.groupBy("node", "n").agg(F.count("*").alias("shared")).where(F.col("shared") >= enough).select("node")
+        posted = stored(left.join(busy, "node", "left_semi"), "mixed-postings")
+        free_shuffles(spark)
+    mixed = posted.groupBy("token").agg(*sums).where("low < high AND own")
     walks = stored(mixed.groupBy("size", "cost", "m1", "m2").agg(F.min("token").alias("token")).select("token", F.col("cost").alias("size")), "walks")
-    rows = stored(posted.join(walks, "token"), "walk-rows")
-    # a family: postings that share documents
-    tied = rows.groupBy("token").agg(F.min("doc").alias("least"))
-    tied = rows.join(tied, "token").where("doc <> least").select("doc", "least").distinct()
-    family = stored(components(tied, "doc", "least").select(F.col("node").alias("doc"), F.col("component").alias("family")), "families")
-    sizes = family.join(rows.select("doc", "n").distinct(), "doc").groupBy("family").agg(F.sum(cost()).alias("members"))
-    small = family.join(sizes.where(F.col("members") <= SHINGLES * BLOCKS), "family").select("doc", F.col("family").alias("token"), F.col("members").alias("size"))
-    small = stored(small, "small-families")  # used twice
-    once = rows.select("doc", "n", "component").distinct().join(small, "doc").select("token", "doc", "n", "component", "size")
-    apart = rows.join(small.select("doc"), "doc", "left_anti").select("token", "doc", "n", "component", "size")
-    rows = stored(once.unionByName(apart), "walk-families")
+    rows = stored(posted.join(walks, "token").drop("own"), "walk-rows")
+    rows = stored(_dealt(rows), "walk-families")
+    free_shuffles(spark)
     links = first.select(F.col("doc").alias("a"), F.col("hub").alias("b")).unionByName(_walked(rows, sets, cells, percent))
     joined = components(links)
     final = classes.join(joined.withColumnRenamed("node", "rep"), "rep", "left").select("f1", "f2", F.coalesce("component", "rep").alias("component"))
@@ -377,6 +381,44 @@ def _groups(texts: DataFrame, width: int, percent: int) -> DataFrame:
     return out.select("doc", "n", F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc")).alias("component"))
 
 
+def _by_size(posted: DataFrame, percent: int) -> DataFrame:
+    """Rows (token, doc, n, component) once for the class of their size, there their ``own``, and once for the one below.
+
+    Sets that can be similar are at most a class apart, so they meet in the lower one of their own. ``token`` then stands for
+    the shingle and the class, ``node`` for the document and the class; should two of them fall together, more is compared.
+    """
+    step = math.log(100 / percent * (1 + 1e-6))
+    both = posted.withColumn("own", F.explode(F.array(F.lit(True), F.lit(False))))
+    level = F.floor(F.log("n") / F.lit(step)) - F.when(F.col("own"), 0).otherwise(1)
+    return both.select(F.xxhash64("token", level).alias("token"), F.xxhash64("doc", level).alias("node"), "doc", "n", "component", "own")
+
+
+def _tied(rows: DataFrame) -> DataFrame:
+    """node, family and members (cost) of the nodes that hang together by tokens, of families that blocks can walk."""
+    least = rows.groupBy("token").agg(F.min("node").alias("least"))
+    ties = rows.join(least, "token").where("node <> least").select("node", "least").distinct()
+    family = stored(components(ties, "node", "least").select("node", F.col("component").alias("family")), "families")
+    sizes = family.join(rows.select("node", "n").distinct(), "node").groupBy("family").agg(F.sum(cost()).alias("members"))
+    return stored(family.join(sizes.where(F.col("members") <= SHINGLES * BLOCKS), "family"), "small-families")
+
+
+def _dealt(rows: DataFrame) -> DataFrame:
+    """Rows (token, doc, n, component, size) of what is walked together, families or single postings, from the postings' rows."""
+    fit = _tied(rows)
+    crowd = rows.join(fit.select("node"), "node", "left_anti").select("token", "node", "n")
+    apart = rows.select("token").where("false")
+    if not crowd.isEmpty():
+        order = Window.partitionBy("node").orderBy(F.xxhash64(F.lit(2), "token"), "token")
+        cores = _tied(crowd.withColumn("place", F.row_number().over(order)).where(F.col("place") <= TIES))
+        fit = fit.unionByName(cores)
+        met = crowd.join(cores, "node", "left").groupBy("token")
+        met = met.agg(F.count("*").alias("all"), F.count("family").alias("placed"), F.min("family").alias("low"), F.max("family").alias("high"))
+        apart = stored(met.where("placed < all OR low < high").select("token"), "apart")
+    whole = rows.join(apart, "token", "left_anti").select("node", "doc", "n", "component").distinct().join(fit, "node")
+    single = rows.join(apart, "token").select("token", "doc", "n", "component", "size")
+    return whole.select(F.col("family").alias("token"), "doc", "n", "component", F.col("members").alias("size")).unionByName(single)
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (doc, hub) that are similar enough, by their whole sets."""
 

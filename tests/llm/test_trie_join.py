@@ -160,3 +160,74 @@ def test_blocks_by_shingles_lose_no_link(spark, monkeypatch, shingles):
         texts[key] = " ".join(base)
     docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
     assert got(T.groups(docs, 3, 80)) == plain(texts, 3, 80)
+
+
+def walked_rows(monkeypatch):
+    """What the next joins send to be walked, as rows (token, doc, n)."""
+    seen, walked = [], T._walked
+
+    def spy(rows, *rest):
+        seen.extend((r.token, r.doc, r.n) for r in rows.collect())
+        return walked(rows, *rest)
+
+    monkeypatch.setattr(T, "_walked", spy)
+    return seen
+
+
+def edited(rng, words, edits):
+    out = list(words)
+    for at in rng.sample(range(len(out)), edits):
+        out[at] = f"edit{rng.getrandbits(40)}"
+    return out
+
+
+def test_families_that_hang_together_by_chance_are_sent_about_once(spark, monkeypatch):
+    monkeypatch.setattr(T, "SHINGLES", 3000)
+    monkeypatch.setattr(T, "BLOCKS", 1)
+    seen = walked_rows(monkeypatch)
+    rng = random.Random(11)
+    texts = {}
+    for family in range(30):  # each has four texts that are not similar enough, and a phrase in common with the next
+        base = [f"w{family}x{i}" for i in range(300)]
+        for i in range(4):
+            phrase = [f"p{(family + (i == 3)) % 30}x{j}" for j in range(5)] if i in (0, 3) else []
+            texts[4 * family + i] = " ".join(edited(rng, base, 10) + phrase)
+    texts[500] = texts[2] + " more"  # and some have one that is
+    texts[501] = texts[70] + " and more"
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    found = got(T.groups(docs, 3, 80))
+    assert found == plain(texts, 3, 80)
+    assert found[500][1] == 2 and found[501][1] == 70
+    assert {doc for _, doc, _ in seen} >= set(range(120))
+    assert len(seen) < 3 * len(texts)
+
+
+def test_sets_of_other_sizes_are_not_walked_together(spark, monkeypatch):
+    seen = walked_rows(monkeypatch)
+    rng = random.Random(12)
+    texts = {}
+    for family in range(8):  # a short and a long text have a phrase in common, each with a text of its size that is not similar enough
+        for i in range(2):
+            phrase = [f"p{family}x{i}x{j}" for j in range(8)]
+            for size in (60, 120):
+                texts[len(texts)] = " ".join(edited(rng, [f"w{family}x{size}x{j}" for j in range(size)], size // 40) + phrase)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    assert got(T.groups(docs, 3, 80)) == plain(texts, 3, 80)
+    sizes = {}
+    for token, _, n in seen:
+        sizes.setdefault(token, []).append(n)
+    assert sizes
+    assert all(max(s) < min(s) * 1.25**2 for s in sizes.values())
+
+
+@pytest.mark.parametrize("percent", [50, 80, 90, 97])
+def test_sizes_that_can_be_similar_meet(spark, percent):
+    pairs = [(a, 100 * a // percent) for a in [*range(1, 400), 9_999, 123_456, 8_000_000]]
+    rows = [(1, i, n, i) for pair in pairs for i, n in enumerate(pair)]
+    got = T._by_size(spark.createDataFrame(sorted(set(rows)), "token long, doc long, n long, component long"), percent)
+    classes, own = {}, {}
+    for r in got.collect():
+        classes.setdefault(r.n, set()).add(r.token)
+        if r.own:
+            own[r.n] = r.token
+    assert all({own[a], own[b]} & classes[a] & classes[b] for a, b in pairs)
